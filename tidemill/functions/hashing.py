@@ -21,3 +21,9 @@ def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
 def hash_unit(key: Column, seed: int) -> Column:
     """A double in [0, 1)."""
     return hash_draw(key, seed).cast("double") / F.lit(float(DRAWS))
+
+
+def wide_draw(key: Column, seed: int) -> Column:
+    """A whole number in [0, 2^60), for draws over ranges beyond 2^32."""
+    text = F.concat(key.cast("string"), F.lit(f":{seed}"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

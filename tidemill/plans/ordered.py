@@ -208,3 +208,29 @@ def asof_fill(
         .withColumn("_value", F.coalesce(F.last("_value", True).over(local), F.col("_carry")))
         .select(*others, *[F.col(f"_value.{v}").alias(v) for v in values])
     )
+
+
+def string_cuts(df: DataFrame, key: str, ranges: int) -> list[str]:
+    """Strings that split a column of distinct strings about evenly, from a bottom-k hash sample."""
+    sample = (
+        df.orderBy(F.xxhash64(key)).limit(ranges * 16).select(key).orderBy(key).collect()
+    )
+    return [sample[i][0] for i in range(16, len(sample), 16)]
+
+
+def ranked_ids(df: DataFrame, key: str, out: str, ranges: int | None = None) -> DataFrame:
+    """Number distinct non-null strings from 0 in code-point order without a global sort task."""
+    df = materialize(df.select(key), "ids")
+    cuts = string_cuts(df, key, min(ranges or range_count(df), 256))
+    at = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(key))) if cuts else F.lit(0)
+    cut = df.withColumn("_r", at)
+    before = W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy("_r")
+        .agg(F.count(F.lit(1)).alias("_t"))
+        .select("_r", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    )
+    local = W.partitionBy("_r").orderBy(key)
+    return cut.join(F.broadcast(offsets), "_r").select(
+        key, (F.col("_o") + F.row_number().over(local) - 1).cast("bigint").alias(out)
+    )

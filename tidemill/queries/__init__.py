@@ -1,6 +1,7 @@
 """All named queries; importing the package registers them."""
 
 from tidemill.queries import (  # noqa: F401
+    corpus_queries,
     trend_queries,
 )
 from tidemill.queries.registry import ORACLES, QUERIES
