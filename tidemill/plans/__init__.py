@@ -1,7 +1,7 @@
 """Plan shapes that keep order-dependent work spread over many tasks."""
 
 from tidemill.plans.decay import decayed_sum
-from tidemill.plans.lookup import lookup_join, small_table
+from tidemill.plans.lookup import lookup_join, param_join, small_table
 from tidemill.plans.ordered import asof_fill, exact_quantiles, prefix_sum
 from tidemill.plans.scratch import materialize, scratch_path
 
@@ -11,6 +11,7 @@ __all__ = [
     "exact_quantiles",
     "lookup_join",
     "materialize",
+    "param_join",
     "prefix_sum",
     "scratch_path",
     "small_table",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.plans.scratch import materialize
+
 SMALL_ROWS = 10_000
 BROADCAST_ROWS = 1_000_000
 HOT_SHARE = 1_000
@@ -56,6 +58,14 @@ def lookup_join(
     return split_join(big, dim, on, how, share)
 
 
+def param_join(df: DataFrame, params: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a fitted parameter table: shipped with the plan if small, else a checked lookup."""
+    few = small_table(params)
+    if few is not None:
+        return df.join(few, list(on), how)
+    return lookup_join(df, materialize(params, "params"), on, how)
+
+
 def split_join(
     big: DataFrame, dim: DataFrame, on: Sequence[str], how: str, share: int = HOT_SHARE
 ) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from tidemill.queries import (  # noqa: F401
     corpus_queries,
+    feature_queries,
     trend_queries,
 )
 from tidemill.queries.registry import ORACLES, QUERIES

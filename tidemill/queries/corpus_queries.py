@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import corpus as co
 from tidemill.queries import checks as sql
-from tidemill.queries.registry import query
+from tidemill.queries.registry import query, r
 from tidemill.sources import views
 
 WIDTH = 64  # dimensions of the embedding table
@@ -17,10 +17,6 @@ def joined(column: str) -> Column:
     return F.array_join(F.col(column).cast("array<string>"), " ").alias(column)
 
 
-def r(column: str, digits: int = 6) -> Column:
-    return F.round(column, digits).alias(column)
-
-
 CHARS = """
 chars AS (
 SELECT doc_id, unnest(string_split(text, '')) AS c, unnest(range(CAST(length(text) AS BIGINT))) AS p

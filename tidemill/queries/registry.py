@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,3 +23,8 @@ def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return register
+
+
+def r(column: str, digits: int = 6) -> Column:
+    """A rounded column under its own name."""
+    return F.round(column, digits).alias(column)

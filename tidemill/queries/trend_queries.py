@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import trends
 from tidemill.queries import checks as sql
-from tidemill.queries.registry import query
+from tidemill.queries.registry import query, r
 from tidemill.sources import views
 
 DAY = "1 day"
@@ -33,10 +33,6 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return trends.zscore(_stats(spark, folder))
 
 
-def r(column: str, digits: int = 6):
-    return F.round(column, digits).alias(column)
-
-
 @query(
     "parse_record",
     f"""WITH {sql.POSTS}
