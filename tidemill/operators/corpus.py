@@ -394,16 +394,20 @@ def bigram_loss(pieces: DataFrame, size: int) -> DataFrame:
     )
 
 
-def sampled_loss(windows: DataFrame, train_counts: DataFrame, size: int) -> DataFrame:
-    """Mean over sampled batches of the batch loss, per split, under add-one smoothed counts."""
+def batch_losses(windows: DataFrame, train_counts: DataFrame, size: int) -> DataFrame:
+    """Mean loss of every sampled batch under add-one smoothed train counts."""
     train = materialize(train_counts, "bigrams")
     drawn = materialize(bigram_counts(windows, "split", "step"), "drawn")
-    per_batch = (
+    return (
         _smoothed(drawn, train, size, F.col("n"))
         .groupBy("split", "step")
         .agg((F.sum(F.col("nll") * F.col("weight")) / F.sum("weight")).alias("batch_loss"))
     )
-    return per_batch.groupBy("split").agg(
+
+
+def sampled_loss(losses: DataFrame) -> DataFrame:
+    """Mean over sampled batches of the batch loss, per split."""
+    return losses.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_batches"), F.avg("batch_loss").alias("loss")
     )
 

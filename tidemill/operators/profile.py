@@ -74,8 +74,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
     long = unpivot(df, columns, "double").where(F.col("value").isNotNull())
 
     def per_column(prefix: str) -> Column:
-        pairs = [x for c in columns for x in (F.lit(c), F.lit(ends[f"{prefix}_{c}"]))]
-        return F.create_map(*pairs)[F.col("column")]
+        return F.coalesce(
+            *[F.when(F.col("column") == c, F.lit(ends[f"{prefix}_{c}"])) for c in columns]
+        )
 
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(

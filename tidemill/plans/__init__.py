@@ -2,7 +2,7 @@
 
 from tidemill.plans.decay import decayed_sum
 from tidemill.plans.lookup import lookup_join, param_join, small_table
-from tidemill.plans.ordered import asof_fill, exact_quantiles, prefix_sum
+from tidemill.plans.ordered import asof_fill, exact_quantiles, prefix_sum, previous, running
 from tidemill.plans.scratch import materialize, scratch_path
 
 __all__ = [
@@ -13,6 +13,8 @@ __all__ = [
     "materialize",
     "param_join",
     "prefix_sum",
+    "previous",
+    "running",
     "scratch_path",
     "small_table",
 ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemill.plans.scratch import materialize
 
 MAX_RANGES = 4096
+ONE_RANGE_ROWS = 100_000  # counted values beyond which a quantile works in ranges
 
 
 def range_count(df: DataFrame) -> int:
@@ -42,39 +43,94 @@ def with_range(df: DataFrame, key: Column, cuts: Sequence[float], out: str) -> D
     return cut.withColumn(out, F.col("_range").cast("int")).drop("_key", "_range")
 
 
-def prefix_sum(
+COMBINE = {"sum": F.sum, "max": F.max, "min": F.min}
+
+
+def running(
     df: DataFrame,
     order: str,
-    values: Sequence[str],
+    outputs: dict[str, tuple[str, str]],
     by: Sequence[str] = (),
     descending: bool = False,
+    inclusive: bool = True,
     ranges: int | None = None,
+    one_range_rows: int = 0,
 ) -> DataFrame:
-    """Add ``cum_<v>``, the inclusive running sum of each value in the order of a numeric column.
+    """Add running sums, maxima or minima, ``outputs`` being ``{out: (kind, column)}``.
 
-    ``order`` must be unique within ``by``: aggregate equal keys first, which also removes hot keys.
+    ``order`` is a numeric column, unique within ``by``: aggregate equal keys first, which also
+    removes hot keys. Without ``inclusive`` the own row is left out. A table of at most
+    ``one_range_rows`` rows is not cut.
     """
     by = list(by)
-    cuts = cut_points(df, F.col(order), ranges or range_count(df))
+    if ranges is None and one_range_rows and df.count() <= one_range_rows:
+        cuts = []
+    else:
+        cuts = cut_points(df, F.col(order), ranges or range_count(df))
     cut = with_range(df, F.col(order), cuts, "_r")
     direction = F.col("_r").desc() if descending else F.col("_r").asc()
     before = W.partitionBy(*by).orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*by, "_r")
-        .agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-        .select(
-            *by,
-            "_r",
-            *[F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0)).alias(f"_o_{v}") for v in values],
-        )
-    )
+    totals = [COMBINE[kind](value).alias(f"_t_{out}") for out, (kind, value) in outputs.items()]
+    carries = [
+        COMBINE[kind](f"_t_{out}").over(before).alias(f"_o_{out}")
+        for out, (kind, _) in outputs.items()
+    ]
+    offsets = cut.groupBy(*by, "_r").agg(*totals).select(*by, "_r", *carries)
     if not by:
         offsets = F.broadcast(offsets)  # one row per range
     inner = F.col(order).desc() if descending else F.col(order).asc()
-    local = W.partitionBy(*by, "_r").orderBy(inner).rowsBetween(W.unboundedPreceding, 0)
+    last = 0 if inclusive else -1
+    local = W.partitionBy(*by, "_r").orderBy(inner).rowsBetween(W.unboundedPreceding, last)
+
+    def joined(out: str, kind: str, value: str) -> Column:
+        here, carry = COMBINE[kind](value).over(local), F.col(f"_o_{out}")
+        if kind == "sum":
+            return F.coalesce(carry, F.lit(0)) + F.coalesce(here, F.lit(0))
+        return (F.greatest if kind == "max" else F.least)(carry, here)
+
     return cut.join(offsets, [*by, "_r"]).select(
-        *df.columns,
-        *[(F.col(f"_o_{v}") + F.sum(v).over(local)).alias(f"cum_{v}") for v in values],
+        *df.columns, *[joined(out, k, v).alias(out) for out, (k, v) in outputs.items()]
+    )
+
+
+def prefix_sum(
+    df: DataFrame,
+    order: str,
+    values: Sequence[str],
+    by: Sequence[str] = (),
+    descending: bool = False,
+    ranges: int | None = None,
+    one_range_rows: int = 0,
+) -> DataFrame:
+    """Add ``cum_<v>``, the inclusive running sum of each value; see :func:`running`."""
+    outputs = {f"cum_{v}": ("sum", v) for v in values}
+    return running(
+        df, order, outputs, by, descending, ranges=ranges, one_range_rows=one_range_rows
+    )
+
+
+def previous(
+    df: DataFrame,
+    order: str,
+    values: Sequence[str],
+    by: Sequence[str] = (),
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add ``prev_<v>`` from the row before in ``order`` (numeric, unique within ``by``)."""
+    by = list(by)
+    cuts = cut_points(df, F.col(order), ranges or range_count(df))
+    cut = with_range(df, F.col(order), cuts, "_r").withColumn("_v", F.struct(*values))
+    back = W.partitionBy(*by).orderBy("_r")
+    carried = (
+        cut.groupBy(*by, "_r")
+        .agg(F.max_by("_v", order).alias("_last"))
+        .select(*by, "_r", F.lag("_last").over(back).alias("_carry"))
+    )
+    local = W.partitionBy(*by, "_r").orderBy(order)
+    return (
+        cut.join(carried, [*by, "_r"])
+        .withColumn("_p", F.coalesce(F.lag("_v").over(local), F.col("_carry")))
+        .select(*df.columns, *[F.col(f"_p.{v}").alias(f"prev_{v}") for v in values])
     )
 
 
@@ -99,7 +155,10 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n")),
         "quantile",
     )
-    cuts = cut_points(counted, F.col("_v"), ranges or range_count(df))
+    if ranges is None and counted.count() <= ONE_RANGE_ROWS:
+        cuts = []
+    else:
+        cuts = cut_points(counted, F.col("_v"), ranges or range_count(df))
     cut = with_range(counted, F.col("_v"), cuts, "_r")
     group = W.partitionBy(*by)
     upto = group.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)

@@ -2,8 +2,10 @@
 
 from tidemill.queries import (  # noqa: F401
     corpus_queries,
+    evaluation_queries,
     feature_queries,
     trend_queries,
+    trial_queries,
 )
 from tidemill.queries.registry import ORACLES, QUERIES
 

@@ -269,11 +269,15 @@ WHERE next IS NOT NULL GROUP BY ALL)
 SELECT split, count(*) AS n_batches, round(avg(batch_loss), 6) AS loss FROM per_batch GROUP BY split""",
 )
 def sampled_loss(spark, folder):
+    return co.sampled_loss(batch_losses(spark, folder)).select("split", "n_batches", r("loss"))
+
+
+def batch_losses(spark, folder) -> DataFrame:
     corpus, pieces, sizes = _stream(spark, folder)
     size = co.vocab_size(corpus).first()["vocab_size"]
     train = co.bigram_counts(pieces.where(F.col("split") == "train"))
     windows = _drawn(pieces, sizes, "train").unionByName(_drawn(pieces, sizes, "val"))
-    return co.sampled_loss(windows, train, size).select("split", "n_batches", r("loss"))
+    return co.batch_losses(windows, train, size)
 
 
 @query(
