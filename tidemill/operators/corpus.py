@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_unit, wide_draw
-from tidemill.plans import lookup_join, materialize, prefix_sum
+from tidemill.plans import lookup_join, materialize, param_join, prefix_sum
 from tidemill.plans.ordered import ranked_ids
 
 # Defaults of the training set-up.
@@ -74,7 +74,8 @@ class CharCodec:
         rows = vocab.limit(CODE_POINTS + 1).collect()
         if len(rows) > CODE_POINTS:
             raise ValueError("a character vocabulary has at most one entry per code point")
-        table = np.full(max((ord(r["token"]) for r in rows), default=0) + 1, -1, dtype=np.int32)
+        # the last slot stands for everything outside the alphabet
+        table = np.full(max((ord(r["token"]) for r in rows), default=0) + 2, -1, dtype=np.int32)
         names = [""] * (max((r["id"] for r in rows), default=-1) + 1)
         for r in rows:
             table[ord(r["token"])] = r["id"]
@@ -83,17 +84,19 @@ class CharCodec:
 
     def ids(self, text: Column, on_unknown: str = "error") -> Column:
         """``text`` -> array of ids; an unknown character raises or becomes null."""
-        table = F.lit(self.by_code_point)
-
-        def one(c: Column) -> Column:
-            found = F.nullif(F.get(table, F.ascii(c)), F.lit(-1))
-            if on_unknown == "null":
-                return found
-            message = F.concat(F.lit("character not in vocabulary: "), c)
-            return F.coalesce(found, F.raise_error(message).cast("int"))
-
-        empty = F.array().cast("array<int>")
-        return F.when(text == "", empty).otherwise(F.transform(chars(text), one))
+        table, last = F.lit(self.by_code_point), F.lit(len(self.by_code_point) - 1)
+        found = F.transform(chars(text), lambda c: F.get(table, F.least(F.ascii(c), last)))
+        if on_unknown == "null":
+            found = F.transform(found, lambda i: F.nullif(i, F.lit(-1)))
+        else:
+            error = F.raise_error(F.lit("text has characters outside the vocabulary"))
+            # a one-element array binds the ids, so they are worked out once
+            checked = F.transform(
+                F.array(found),
+                lambda ids: F.when(F.array_contains(ids, -1), error.cast("array<int>")).otherwise(ids),
+            )
+            found = checked[0]
+        return F.when(text == "", F.array().cast("array<int>")).otherwise(found)
 
     def text(self, ids: Column) -> Column:
         names = F.lit(self.tokens)
@@ -337,29 +340,42 @@ def with_xy(windows: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE)
 # --- bigrams --------------------------------------------------------------------------------------
 
 
-def pairs_of(text: Column) -> Column:
-    """Adjacent character pairs of a text, in order."""
-    letters = chars(text)
-    n = F.greatest(F.char_length(text) - 1, F.lit(0))
-    return F.zip_with(
+def bigram_pairs(corpus: DataFrame, *keep: str) -> DataFrame:
+    """Adjacent character pairs with their position, in order."""
+    letters, n = chars("text"), F.greatest(F.char_length("text") - 1, F.lit(0))
+    pairs = F.zip_with(
         F.slice(letters, F.lit(1), n),
         F.slice(letters, F.lit(2), n),
         lambda a, b: F.struct(a.alias("prev"), b.alias("next")),
     )
-
-
-def bigram_pairs(corpus: DataFrame, *keep: str) -> DataFrame:
     return (
         non_empty(corpus)
-        .select(*keep, F.explode(pairs_of(F.col("text"))).alias("p"))
-        .select(*keep, "p.prev", "p.next")
+        .select(*keep, F.posexplode(pairs).alias("pos", "p"))
+        .select(*keep, "pos", "p.prev", "p.next")
     )
 
 
 def bigram_counts(corpus: DataFrame, *by: str) -> DataFrame:
-    """Counts per pair, summed inside each task first."""
-    return bigram_pairs(corpus, *by).groupBy(*by, "prev", "next").agg(
-        F.count(F.lit(1)).alias("n")
+    """Counts per pair, summed inside each task first.
+
+    Order does not matter here: pairs starting at odd and at even places are matched in two sweeps.
+    """
+    two = F.lit("(?s)..")
+    pairs = F.concat(
+        F.regexp_extract_all("text", two, F.lit(0)),
+        F.regexp_extract_all(F.expr("substring(text, 2)"), two, F.lit(0)),
+    )
+    return (
+        non_empty(corpus)
+        .select(*by, F.explode(pairs).alias("pair"))
+        .groupBy(*by, "pair")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            *by,
+            F.substring("pair", 1, 1).alias("prev"),
+            F.substring("pair", 2, 1).alias("next"),
+            "n",
+        )
     )
 
 
@@ -443,7 +459,7 @@ def sample_next(contexts: DataFrame, weights: DataFrame, seed: int = SEED) -> Da
     )
     spin = hash_unit(F.col("id"), seed) * F.col("total")
     return (
-        lookup_join(contexts, wheel, ["prev"], "inner")
+        param_join(contexts, wheel, ["prev"], "inner")
         .withColumn("_spin", spin)
         .select(
             "id",
@@ -503,10 +519,16 @@ def positional_encoding(positions: DataFrame, width: int) -> DataFrame:
 
 
 def encoder_input(embedded: DataFrame, width: int) -> DataFrame:
-    """Token vector plus position vector, element by element."""
-    return embedded.withColumn(
-        "vector",
-        F.zip_with("vector", positional_vector(F.col("pos"), width), lambda a, b: a + b),
+    """Token vector plus position vector, element by element.
+
+    Position vectors are worked out once per position and looked up.
+    """
+    places = embedded.select("pos").distinct()
+    encoded = places.withColumn("_place", positional_vector(F.col("pos"), width))
+    return (
+        param_join(embedded, encoded, ["pos"])
+        .withColumn("vector", F.zip_with("vector", "_place", lambda a, b: a + b))
+        .drop("_place")
     )
 
 

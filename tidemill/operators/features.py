@@ -53,6 +53,27 @@ def fit_median(train: DataFrame, value: str, by: Sequence[str] = (), method: str
     return exact_quantiles(train, value, [0.5], ["median"], by)
 
 
+def fit_medians(train: DataFrame, series: dict[str, tuple[str, Sequence[str]]]) -> DataFrame:
+    """Several medians in one pass: ``{name: (value, by)}`` -> (series, k0, k1, ..., median)."""
+    width = max(len(by) for _, by in series.values())
+
+    def entry(name: str, value: str, by: Sequence[str]) -> Column:
+        keys = [F.col(k).cast("string") for k in by] + [F.lit("")] * (width - len(by))
+        named = [k.alias(f"k{i}") for i, k in enumerate(keys)]
+        return F.struct(F.lit(name).alias("series"), *named, F.col(value).cast("double").alias("value"))
+
+    entries = F.array(*[entry(name, value, by) for name, (value, by) in series.items()])
+    long = train.select(F.explode(entries).alias("e")).select("e.*")
+    return exact_quantiles(long, "value", [0.5], ["median"], ["series", *[f"k{i}" for i in range(width)]])
+
+
+def pick_medians(medians: DataFrame, name: str, train: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The (by..., median) table of one series, with the key types of the training rows."""
+    types = dict(train.dtypes)
+    keys = [F.col(f"k{i}").cast(types[k]).alias(k) for i, k in enumerate(by)]
+    return medians.where(F.col("series") == name).select(*keys, "median")
+
+
 def impute_group_median(df: DataFrame, value: str, by: Sequence[str], groups: DataFrame, overall: DataFrame) -> DataFrame:
     """Fill by the median of the group, then by the overall median."""
     joined = param_join(df, groups, by)
@@ -250,15 +271,19 @@ def _local(df: DataFrame) -> DataFrame:
     return df if few is None else few
 
 
+MEDIANS = {
+    "age_median": ("age", ["pclass", "sex"]),
+    "age_median_all": ("age", []),
+    "fare_median": ("fare", ["pclass"]),
+    "fare_median_all": ("fare", []),
+}
+
+
 def fit_features(train: DataFrame) -> FeatureBundle:
-    b = {
-        "age_median": _local(fit_median(train, "age", ["pclass", "sex"])),
-        "age_median_all": _local(fit_median(train, "age")),
-        "fare_median": _local(fit_median(train, "fare", ["pclass"])),
-        "fare_median_all": _local(fit_median(train, "fare")),
-        "embarked_mode": _local(fit_mode(train, "embarked")),
-        "titles": _local(fit_titles(train)),
-    }
+    medians = _local(fit_medians(train, MEDIANS))
+    b = {name: pick_medians(medians, name, train, by) for name, (_, by) in MEDIANS.items()}
+    b["embarked_mode"] = _local(fit_mode(train, "embarked"))
+    b["titles"] = _local(fit_titles(train))
     filled = _filled(train, b)
     return FeatureBundle(
         **b,

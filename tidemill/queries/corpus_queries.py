@@ -226,13 +226,24 @@ def sample_batches(spark, folder):
 
 @query(
     "bigram_pairs",
-    f"""WITH {DOC_PAIRS}
-SELECT doc_id, prev || next AS pair, count(*) AS n FROM doc_pairs GROUP BY ALL""",
+    f"""WITH {CHARS},
+ordered AS (SELECT doc_id, p, c, lead(c) OVER (PARTITION BY doc_id ORDER BY p) AS d FROM chars)
+SELECT doc_id, count(*) AS n_pairs, CAST(sum((p + 1) * unicode(c)) AS BIGINT) AS prev_sum,
+  CAST(sum((p + 1) * unicode(d)) AS BIGINT) AS next_sum, count(DISTINCT c || d) AS n_distinct
+FROM ordered WHERE d IS NOT NULL GROUP BY doc_id""",
 )
 def bigram_pairs(spark, folder):
+    """Every pair with its position, summed up per document."""
     pairs = co.bigram_pairs(views.corpus(spark, folder), "doc_id")
-    return pairs.groupBy("doc_id", F.concat("prev", "next").alias("pair")).agg(
-        F.count(F.lit(1)).alias("n")
+    place = F.col("pos").cast("bigint") + 1
+    per_pair = pairs.groupBy("doc_id", "prev", "next").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(place).alias("places")
+    )
+    return per_pair.groupBy("doc_id").agg(
+        F.sum("n").alias("n_pairs"),
+        F.sum(F.col("places") * F.ascii("prev")).alias("prev_sum"),
+        F.sum(F.col("places") * F.ascii("next")).alias("next_sum"),
+        F.count(F.lit(1)).alias("n_distinct"),
     )
 
 

@@ -376,22 +376,21 @@ def batch_predict(spark, folder):
 
 
 def _linear(x):
-    names = list(WEIGHTS)
-    return sum((F.get(x, F.lit(i)) * WEIGHTS[n] for i, n in enumerate(names)), F.lit(INTERCEPT))
+    return sum((x[n] * w for n, w in WEIGHTS.items()), F.lit(INTERCEPT))
 
 
 def _shapley(spark, folder) -> DataFrame:
     rows = _filled(spark, folder)
-    medians = {"pclass": 3.0, "age": 30.0, "fare": 100.0, "family_size": 7.0}
+    medians = mo.feature_medians(rows, list(WEIGHTS))
     return mo.sampled_shapley(rows, "passenger_id", list(WEIGHTS), medians, _linear)
 
 
 SHAPLEY = f"""{FILLED},
 shap AS (
-SELECT passenger_id, 'pclass' AS feature, -0.6::DOUBLE * (pclass - 3) AS value FROM filled
-UNION ALL SELECT passenger_id, 'age', -0.02::DOUBLE * (age - 30) FROM filled
-UNION ALL SELECT passenger_id, 'fare', 0.004::DOUBLE * (fare - 100) FROM filled
-UNION ALL SELECT passenger_id, 'family_size', -0.1::DOUBLE * (family_size - 7) FROM filled)"""
+SELECT passenger_id, 'pclass' AS feature, -0.6::DOUBLE * (pclass - (SELECT median(pclass) FROM filled)) AS value FROM filled
+UNION ALL SELECT passenger_id, 'age', -0.02::DOUBLE * (age - (SELECT median(age) FROM filled)) FROM filled
+UNION ALL SELECT passenger_id, 'fare', 0.004::DOUBLE * (fare - (SELECT median(fare) FROM filled)) FROM filled
+UNION ALL SELECT passenger_id, 'family_size', -0.1::DOUBLE * (family_size - (SELECT median(family_size) FROM filled)) FROM filled)"""
 
 
 @query(

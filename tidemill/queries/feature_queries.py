@@ -9,6 +9,7 @@ from tidemill.operators import features as ft
 from tidemill.operators import lookups as lk
 from tidemill.operators import profile as pf
 from tidemill.operators import validation as va
+from tidemill.plans import materialize
 from tidemill.queries import checks as sql
 from tidemill.queries.registry import query, r
 from tidemill.sources import views
@@ -543,7 +544,7 @@ FROM filled, s)"""
 
 @query("feature_table", f"WITH {FEATURE_TABLE} SELECT * FROM prepared")
 def feature_table(spark, folder):
-    rows = _all(spark, folder)
+    rows = materialize(_all(spark, folder), "passengers")  # read by every fit
     bundle = ft.fit_features(ft.train_rows(rows, "passenger_id"))
     out = ft.apply_features(rows, bundle, drop_first=True)
     return out.withColumns({c: F.round(c, 6) for c in ft.SCALED})
