@@ -340,34 +340,32 @@ def with_xy(windows: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE)
 # --- bigrams --------------------------------------------------------------------------------------
 
 
-def bigram_pairs(corpus: DataFrame, *keep: str) -> DataFrame:
-    """Adjacent character pairs with their position, in order."""
-    letters, n = chars("text"), F.greatest(F.char_length("text") - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(letters, F.lit(1), n),
-        F.slice(letters, F.lit(2), n),
-        lambda a, b: F.struct(a.alias("prev"), b.alias("next")),
+def _two_sweeps() -> Column:
+    """All adjacent pairs of a text: those that start at even places, then those at odd ones."""
+    two = F.lit("(?s)..")
+    return F.concat(
+        F.regexp_extract_all("text", two, F.lit(0)),
+        F.regexp_extract_all(F.expr("substring(text, 2)"), two, F.lit(0)),
     )
+
+
+def bigram_pairs(corpus: DataFrame, *keep: str) -> DataFrame:
+    """Adjacent character pairs ``(pos, pair)``."""
+    even = F.floor(F.char_length("text") / 2).cast("int")
+    i = F.col("i")
+    place = F.when(i < F.col("even"), 2 * i).otherwise(2 * (i - F.col("even")) + 1)
     return (
         non_empty(corpus)
-        .select(*keep, F.posexplode(pairs).alias("pos", "p"))
-        .select(*keep, "pos", "p.prev", "p.next")
+        .select(*keep, even.alias("even"), F.posexplode(_two_sweeps()).alias("i", "pair"))
+        .select(*keep, place.alias("pos"), "pair")
     )
 
 
 def bigram_counts(corpus: DataFrame, *by: str) -> DataFrame:
-    """Counts per pair, summed inside each task first.
-
-    Order does not matter here: pairs starting at odd and at even places are matched in two sweeps.
-    """
-    two = F.lit("(?s)..")
-    pairs = F.concat(
-        F.regexp_extract_all("text", two, F.lit(0)),
-        F.regexp_extract_all(F.expr("substring(text, 2)"), two, F.lit(0)),
-    )
+    """Counts per pair, summed inside each task first."""
     return (
         non_empty(corpus)
-        .select(*by, F.explode(pairs).alias("pair"))
+        .select(*by, F.explode(_two_sweeps()).alias("pair"))
         .groupBy(*by, "pair")
         .agg(F.count(F.lit(1)).alias("n"))
         .select(

@@ -236,13 +236,13 @@ def bigram_pairs(spark, folder):
     """Every pair with its position, summed up per document."""
     pairs = co.bigram_pairs(views.corpus(spark, folder), "doc_id")
     place = F.col("pos").cast("bigint") + 1
-    per_pair = pairs.groupBy("doc_id", "prev", "next").agg(
+    per_pair = pairs.groupBy("doc_id", "pair").agg(
         F.count(F.lit(1)).alias("n"), F.sum(place).alias("places")
     )
     return per_pair.groupBy("doc_id").agg(
         F.sum("n").alias("n_pairs"),
-        F.sum(F.col("places") * F.ascii("prev")).alias("prev_sum"),
-        F.sum(F.col("places") * F.ascii("next")).alias("next_sum"),
+        F.sum(F.col("places") * F.ascii("pair")).alias("prev_sum"),
+        F.sum(F.col("places") * F.ascii(F.substring("pair", 2, 1))).alias("next_sum"),
         F.count(F.lit(1)).alias("n_distinct"),
     )
 
