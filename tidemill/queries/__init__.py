@@ -4,6 +4,8 @@ from tidemill.queries import (  # noqa: F401
     corpus_queries,
     evaluation_queries,
     feature_queries,
+    source_queries,
+    stream_queries,
     trend_queries,
     trial_queries,
 )
