@@ -135,7 +135,7 @@ SELECT hashtag, window_start, n, least(7, date_diff('hour', min(window_start) OV
 def state_ttl(spark, folder):
     """Hourly windows; a tag silent for more than one whole hour is forgotten."""
     hour = DAY_US // 24
-    processor = TrendState(hour, 7, 3.0, 0, forget=1, ttl_ms=3_600_000)
+    processor = TrendState(hour, 7, 3.0, 0, forget=1)
     return _scored(spark, folder, "1 hour", processor).select(
         "hashtag", "window_start", "n", "history"
     )

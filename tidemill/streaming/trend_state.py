@@ -13,8 +13,11 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tidemill.streaming.jobs import instant
+
 STATE = (
     "last bigint, counts array<bigint>, sums array<double>, posts array<bigint>, alerted bigint"
 )
@@ -28,9 +31,9 @@ MIN_HISTORY = 2
 class TrendState(StatefulProcessor):
     """Last counts and last alert of one tag.
 
-    Windows without posts count as zero. A tag silent for more than ``forget`` windows starts anew,
-    which depends on event time only and so gives the same result on a replay; ``ttl_ms`` also lets
-    the store drop tags by processing time.
+    Windows without posts count as zero. A tag silent for more than ``forget`` windows starts anew.
+    That depends on event time only, so a replay gives the same result; an event-time timer takes
+    the state of such a tag out of the store.
     """
 
     def __init__(
@@ -40,17 +43,16 @@ class TrendState(StatefulProcessor):
         threshold: float,
         cooldown_us: int,
         forget: int | None = None,
-        ttl_ms: int | None = None,
     ):
         self.width_us = width_us
         self.n_windows = n_windows
         self.threshold = threshold
         self.cooldown_us = cooldown_us
         self.forget = forget
-        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("trend", STATE, self.ttl_ms)
+        self.handle = handle
+        self.state = handle.getValueState("trend", STATE)
 
     def close(self) -> None:
         pass
@@ -85,8 +87,18 @@ class TrendState(StatefulProcessor):
             last = at
         keep = (x[-self.n_windows :] for x in (counts, sums, posts))
         self.state.update((last, *keep, alerted))
+        if self.forget is not None:
+            self.handle.registerTimer(self._expiry_ms(last))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in OUTPUT.split(", ")])
 
+    def _expiry_ms(self, last: int) -> int:
+        return (last + (self.forget + 2) * self.width_us) // 1000
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        if self.state.exists() and self._expiry_ms(self.state.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
+        return iter([])
+
     def _score(self, row, counts, sums, posts):
         """(mean, deviation, z-score, sentiment shift) of a window against the ones before."""
         mean = statistics.fmean(counts) if counts else None
@@ -101,9 +113,9 @@ class TrendState(StatefulProcessor):
 
 def score_stream(counts: DataFrame, processor: TrendState) -> DataFrame:
     """All closed windows with their score; ``emitted`` marks the alerts."""
-    return counts.groupBy("hashtag").transformWithStateInPandas(
-        processor,
-        OUTPUT,
-        "append",
-        "None" if processor.ttl_ms is None else "ProcessingTime",
-    )
+    mode = "None"
+    if processor.forget is not None:
+        mode = "EventTime"
+        slack = f"{2 * processor.width_us} microseconds"
+        counts = counts.withColumn("at", instant(F.col("window_start"))).withWatermark("at", slack)
+    return counts.groupBy("hashtag").transformWithStateInPandas(processor, OUTPUT, "append", mode)
