@@ -103,7 +103,7 @@ SELECT k.hashtag, (SELECT min(h.window_start) FROM hits h
 FROM kept k WHERE EXISTS (SELECT 1 FROM hits h
   WHERE h.hashtag = k.hashtag AND h.window_start >= k.window_start + INTERVAL 4 DAY))
 SELECT hashtag, window_start, n, history, round(baseline_mean, 6) AS baseline_mean, round(baseline_std, 6) AS baseline_std,
-  round(zscore, 6) AS zscore, round(sentiment_shift, 6) + 0.0 AS sentiment_shift
+  round(zscore, 6) AS zscore, round(sentiment_shift, 10) + 0.0 AS sentiment_shift
 FROM hits SEMI JOIN kept USING (hashtag, window_start)""",
 )
 def stream_trend_state(spark, folder):
@@ -117,7 +117,7 @@ def stream_trend_state(spark, folder):
         r("baseline_mean"),
         r("baseline_std"),
         r("zscore"),
-        r("sentiment_shift"),
+        r("sentiment_shift", 10),
     )
 
 

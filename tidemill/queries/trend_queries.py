@@ -120,7 +120,7 @@ def densify_windows(spark, folder):
     "rolling_stats",
     f"""WITH {sql.SCORED}
 SELECT hashtag, window_start, n, history, round(baseline_mean, 6) AS baseline_mean,
-  round(baseline_std, 6) AS baseline_std, round(baseline_sentiment, 6) + 0.0 AS baseline_sentiment
+  round(baseline_std, 6) AS baseline_std, round(baseline_sentiment, 10) + 0.0 AS baseline_sentiment
 FROM stats""",
 )
 def rolling_stats(spark, folder):
@@ -131,7 +131,7 @@ def rolling_stats(spark, folder):
         "history",
         r("baseline_mean"),
         r("baseline_std"),
-        r("baseline_sentiment"),
+        r("baseline_sentiment", 10),
     )
 
 
@@ -233,11 +233,11 @@ def cooldown(spark, folder):
 @query(
     "sentiment_shift",
     f"""WITH {sql.SCORED}
-SELECT hashtag, window_start, round(sentiment_shift, 6) + 0.0 AS sentiment_shift FROM scored""",
+SELECT hashtag, window_start, round(sentiment_shift, 10) + 0.0 AS sentiment_shift FROM scored""",
 )
 def sentiment_shift(spark, folder):
     return trends.sentiment_shift(_stats(spark, folder)).select(
-        "hashtag", "window_start", r("sentiment_shift")
+        "hashtag", "window_start", r("sentiment_shift", 10)
     )
 
 
@@ -282,7 +282,7 @@ def representative_posts(spark, folder):
     f"""WITH {sql.SCORED}, {REPRESENTATIVE}
 SELECT hashtag, window_start, n, round(baseline_mean, 6) AS baseline_mean,
   round(baseline_std, 6) AS baseline_std, round(zscore, 6) AS zscore, round(magnitude, 6) AS magnitude,
-  round(sentiment_shift, 6) + 0.0 AS sentiment_shift, post_ids
+  round(sentiment_shift, 10) + 0.0 AS sentiment_shift, post_ids
 FROM scored LEFT JOIN pointers USING (hashtag, window_start) WHERE zscore >= 3""",
 )
 def trend_alerts(spark, folder):
@@ -294,7 +294,7 @@ def trend_alerts(spark, folder):
         r("baseline_std"),
         r("zscore"),
         r("magnitude"),
-        r("sentiment_shift"),
+        r("sentiment_shift", 10),
         "post_ids",
     )
 
@@ -309,14 +309,14 @@ def hashtag_sketch(spark, folder):
     f"""WITH {sql.DENSE}
 SELECT hashtag, window_start,
   round(CASE WHEN sum(sentiment_n) OVER a > 0 THEN sum(sentiment_sum) OVER a / sum(sentiment_n) OVER a END
-      - CASE WHEN sum(sentiment_n) OVER b > 0 THEN sum(sentiment_sum) OVER b / sum(sentiment_n) OVER b END, 6)
+      - CASE WHEN sum(sentiment_n) OVER b > 0 THEN sum(sentiment_sum) OVER b / sum(sentiment_n) OVER b END, 10)
     + 0.0 AS drift
 FROM dense
 WINDOW a AS (PARTITION BY hashtag ORDER BY window_start ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
        b AS (PARTITION BY hashtag ORDER BY window_start ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)""",
 )
 def sentiment_drift(spark, folder):
-    return trends.sentiment_drift(_dense(spark, folder)).select("hashtag", "window_start", r("drift"))
+    return trends.sentiment_drift(_dense(spark, folder)).select("hashtag", "window_start", r("drift", 10))
 
 
 @query(
