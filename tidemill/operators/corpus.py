@@ -535,7 +535,7 @@ def pad_sequences(sequences: DataFrame, batch: str, pad: int = 0) -> DataFrame:
     longest = sequences.groupBy(batch).agg(F.max(F.size("ids")).alias("_len"))
     missing = F.col("_len") - F.size("ids")
     return (
-        lookup_join(sequences, longest, [batch])
+        lookup_join(sequences, materialize(longest, "longest"), [batch])
         .withColumn("ids", F.concat("ids", F.array_repeat(F.lit(pad).cast("bigint"), missing)))
         .drop("_len")
     )

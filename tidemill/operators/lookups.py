@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.plans import asof_fill, lookup_join, param_join
+from tidemill.plans import asof_fill, lookup_join, materialize, param_join
 
 
 def feature_import(
@@ -33,7 +33,7 @@ def latest_features(values: DataFrame) -> DataFrame:
 
 def feature_lookup(requests: DataFrame, values: DataFrame) -> DataFrame:
     """Latest features for every requested entity; unknown entities get nulls."""
-    return lookup_join(requests, latest_features(values), ["entity_id"])
+    return lookup_join(requests, materialize(latest_features(values), "latest"), ["entity_id"])
 
 
 def feature_asof(labels: DataFrame, values: DataFrame, ts: str = "label_ts") -> DataFrame:
@@ -44,6 +44,7 @@ def feature_asof(labels: DataFrame, values: DataFrame, ts: str = "label_ts") ->
         .withColumn("_tie", F.lit(0))
         .unionByName(labels.withColumn("_tie", F.lit(1)), allowMissingColumns=True)
     )
+    timeline = materialize(timeline, "timeline")  # read three times
     filled = asof_fill(timeline, ["entity_id"], ts, "_tie", features)
     return filled.where(F.col("_tie") == 1).drop("_tie")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions import posts as px
-from tidemill.plans import decayed_sum, lookup_join, small_table
+from tidemill.plans import decayed_sum, lookup_join, materialize, small_table
 from tidemill.plans.ordered import micros
 
 # Default window length and alert threshold of the settings.
@@ -252,10 +252,42 @@ def representative_posts(tagged: DataFrame, alerts: DataFrame, width: str, k: in
     )
 
 
+def active_stats(counts: DataFrame, width: str = ROLLING_WINDOW, n_windows: int = 7) -> DataFrame:
+    """:func:`rolling_stats` of the windows that have posts, without writing out the empty ones.
+
+    Empty windows add nothing to the sums, so a range frame over the active windows and the number
+    of windows since the first one give the same mean and deviation. A rare tag with a long life
+    costs a few rows instead of one per window. Sums of squares are decimals, so nothing cancels.
+    """
+    step = pd.Timedelta(width).value // 1000
+    tag = W.partitionBy("hashtag").orderBy("_at")
+    back = tag.rangeBetween(-n_windows * step, -step)
+    first = F.min("_at").over(W.partitionBy("hashtag").orderBy("_at").rowsBetween(W.unboundedPreceding, 0))
+    k = F.least(F.lit(n_windows), ((F.col("_at") - first) / step).cast("bigint"))
+    whole = F.col("n").cast("decimal(18,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = counts.withColumn("_at", micros(F.col("window_start"))).withColumns(
+        {
+            "history": k,
+            "_s1": F.coalesce(F.sum(whole).over(back).cast("decimal(18,0)"), zero.cast("decimal(18,0)")),
+            "_s2": F.coalesce(F.sum(whole * whole).over(back).cast("decimal(38,0)"), zero),
+            "baseline_sentiment": _weighted(back),
+        }
+    )
+    spread = (F.col("_s2") * F.col("history") - F.col("_s1") * F.col("_s1")).cast("double")
+    pairs = F.col("history") * (F.col("history") - 1)
+    return sums.withColumns(
+        {
+            "baseline_mean": F.try_divide(F.col("_s1").cast("double"), F.col("history")),
+            "baseline_std": F.sqrt(F.try_divide(spread, pairs)),
+        }
+    ).drop("_at", "_s1", "_s2")
+
+
 def score_windows(posts: DataFrame, width: str = ROLLING_WINDOW, n_windows: int = 7) -> DataFrame:
-    """Posts -> dense, scored windows per tag."""
+    """Posts -> scored windows per tag. Only windows with posts can be alerts."""
     counts = tumbling_counts(extract_hashtags(posts), width)
-    return zscore(rolling_stats(densify_windows(counts, width), n_windows))
+    return zscore(active_stats(counts, width, n_windows))
 
 
 def trend_alerts(
@@ -278,7 +310,7 @@ def trend_alerts(
         "sentiment_shift",
     )
     few = small_table(alerts)
-    alerts = alerts if few is None else few
+    alerts = materialize(alerts, "alerts") if few is None else few
     pointers = representative_posts(extract_hashtags(posts), alerts, width, k)
     return alerts.join(pointers, ["hashtag", "window_start"], "left")
 

@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.plans import exact_quantiles, lookup_join, param_join, prefix_sum, previous, running
+from tidemill.plans import (
+    exact_quantiles,
+    lookup_join,
+    materialize,
+    param_join,
+    prefix_sum,
+    previous,
+    running,
+)
 
 
 def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
@@ -121,10 +129,10 @@ def runs_table(runs: DataFrame, params: Sequence[str], metrics: Sequence[str], *
 
 def _mid_ranks(trials: DataFrame, column: str, out: str) -> DataFrame:
     """Average rank of each value within its study, from counts of distinct values."""
-    counts = trials.groupBy("study", column).agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(trials.groupBy("study", column).agg(F.count(F.lit(1)).alias("n")), "ranks")
     summed = prefix_sum(counts, column, ["n"], ["study"])
     rank = F.col("cum_n") - (F.col("n") - 1) / 2
-    return summed.select("study", column, rank.alias(out))
+    return materialize(summed.select("study", column, rank.alias(out)), "ranks")
 
 
 def param_importance(trials: DataFrame, params: Sequence[str], value: str) -> DataFrame:
@@ -161,7 +169,7 @@ def pareto_front(trials: DataFrame, gain: str, cost: str) -> DataFrame:
 
     A cost level survives if its best gain exceeds the best gain of all cheaper levels.
     """
-    levels = trials.groupBy("study", cost).agg(F.max(gain).alias(gain))
+    levels = materialize(trials.groupBy("study", cost).agg(F.max(gain).alias(gain)), "levels")
     beaten = running(levels, cost, {"_cheaper": ("max", gain)}, ["study"], inclusive=False)
     front = beaten.where(F.col("_cheaper").isNull() | (F.col(gain) > F.col("_cheaper")))
     return param_join(trials, front.drop("_cheaper"), ["study", cost, gain], "inner")
@@ -170,6 +178,7 @@ def pareto_front(trials: DataFrame, gain: str, cost: str) -> DataFrame:
 def median_prune(steps: DataFrame, warmup: int) -> DataFrame:
     """First step, after the warm-up, at which a trial is below the median of its study."""
     medians = exact_quantiles(steps, "value", [0.5], ["median"], ["study", "step"])
+    medians = materialize(medians, "medians")
     late = steps.where(F.col("step") > warmup)
     return (
         lookup_join(late, medians, ["study", "step"])

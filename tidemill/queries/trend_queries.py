@@ -144,6 +144,25 @@ def zscore(spark, folder):
     return _scored(spark, folder).select("hashtag", "window_start", "n", r("zscore"))
 
 
+@query(
+    "active_stats",
+    f"""WITH {sql.SCORED}
+SELECT hashtag, window_start, n, history, round(baseline_mean, 6) AS baseline_mean,
+  round(baseline_std, 6) AS baseline_std, round(baseline_sentiment, 10) + 0.0 AS baseline_sentiment
+FROM stats WHERE n > 0""",
+)
+def active_stats(spark, folder):
+    return trends.active_stats(_counts(spark, folder), DAY).select(
+        "hashtag",
+        "window_start",
+        "n",
+        "history",
+        r("baseline_mean"),
+        r("baseline_std"),
+        r("baseline_sentiment", 10),
+    )
+
+
 EWMA = f"""{sql.DENSE},
 numbered AS (SELECT *, row_number() OVER (PARTITION BY hashtag ORDER BY window_start) AS i FROM dense),
 smooth AS (
