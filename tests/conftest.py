@@ -12,11 +12,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 SMALL = "/root/testdata/sf0.001"
 
 
-def session(cores: int = 4) -> SparkSession:
+def session(cores: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemill-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
