@@ -36,17 +36,25 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejected lines) of CSV files with a header."""
-    rows = spark.read.csv(
-        path,
-        schema=f"{schema}, _bad string",
-        header=True,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord="_bad",
-        escape='"',
+    """(typed rows, rejected lines) of CSV files with a header.
+
+    Column pruning is off in the parser: a line must be good or bad whatever columns are used later.
+    """
+    rows = (
+        spark.read.option("columnPruning", "false")
+        .option("escape", '"')
+        .csv(
+            path,
+            schema=f"{schema}, _bad string",
+            header=True,
+            mode="PERMISSIVE",
+            columnNameOfCorruptRecord="_bad",
+        )
     )
     bad = F.col("_bad").isNotNull()
-    return rows.where(~bad).drop("_bad"), rows.where(bad).select(F.col("_bad").alias("line"))
+    # Spark refuses to read the rejects' column alone, so a typed column takes part
+    line = F.coalesce("_bad", F.col(rows.columns[0]).cast("string"))
+    return rows.where(~bad).drop("_bad"), rows.where(bad).select(line.alias("line"))
 
 
 def read_runs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
