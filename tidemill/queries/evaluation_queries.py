@@ -398,18 +398,18 @@ UNION ALL SELECT passenger_id, 'family_size', -0.1::DOUBLE * (family_size - (SEL
     f"WITH {SHAPLEY} SELECT passenger_id, feature, round(value, 6) + 0.0 AS value FROM shap",
 )
 def sampled_shapley(spark, folder):
-    return _shapley(spark, folder).withColumn("value", r("value"))
+    return _shapley(spark, folder).withColumn("value", r("value", 9))
 
 
 @query(
     "top_features",
     f"""WITH {SHAPLEY}
 SELECT passenger_id, feature, value, rank FROM (
-  SELECT passenger_id, feature, round(value, 6) + 0.0 AS value, CAST(row_number() OVER (PARTITION BY passenger_id
-    ORDER BY abs(round(value, 6)) DESC, feature) AS INT) AS rank FROM shap) WHERE rank <= 2""",
+  SELECT passenger_id, feature, round(value, 9) + 0.0 AS value, CAST(row_number() OVER (PARTITION BY passenger_id
+    ORDER BY abs(round(value, 9)) DESC, feature) AS INT) AS rank FROM shap) WHERE rank <= 2""",
 )
 def top_features(spark, folder):
-    rounded = _shapley(spark, folder).withColumn("value", r("value"))
+    rounded = _shapley(spark, folder).withColumn("value", r("value", 9))
     return ev.top_features(rounded, "passenger_id", 2)
 
 
