@@ -395,7 +395,7 @@ UNION ALL SELECT passenger_id, 'family_size', -0.1::DOUBLE * (family_size - (SEL
 
 @query(
     "sampled_shapley",
-    f"WITH {SHAPLEY} SELECT passenger_id, feature, round(value, 6) + 0.0 AS value FROM shap",
+    f"WITH {SHAPLEY} SELECT passenger_id, feature, round(value, 9) + 0.0 AS value FROM shap",
 )
 def sampled_shapley(spark, folder):
     return _shapley(spark, folder).withColumn("value", r("value", 9))
