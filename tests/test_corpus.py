@@ -79,7 +79,7 @@ def test_sequential_batches(spark, batch, block):
     table = {r["token"]: r["id"] for r in vocab.collect()}
     sizes = co.split_sizes(docs, 1.0)
     ids = [table[c] for c in "".join(TEXTS)]
-    out = co.seq_batches(co.split_prefix(docs, sizes), sizes, vocab, "train", batch, block).collect()
+    out = co.seq_batches(co.split_prefix(docs, sizes), sizes, vocab, ["train"], batch, block).collect()
     assert {(r["batch_id"], r["row"]): (r["x"], r["y"]) for r in out} == sequential(ids, batch, block)
     stream = "".join(TEXTS)
     for r in out:
@@ -105,7 +105,7 @@ def test_sampled_windows_come_from_the_stream(spark):
     sizes = co.split_sizes(docs, 0.8)
     pieces = co.split_prefix(docs, sizes)
     stream = "".join(TEXTS)[: sizes.train]
-    rows = co.sample_batches(pieces, sizes, "train", 40, 4, 6).collect()
+    rows = co.sample_batches(pieces, sizes, {"train": 40}, 4, 6).collect()
     assert len(rows) == 160
     starts = [r["start"] for r in rows]
     assert min(starts) >= 0 and max(starts) < sizes.train - 6

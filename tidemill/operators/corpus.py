@@ -7,7 +7,9 @@ about the size of the text itself.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,7 @@ BATCH_SIZE = 64
 BLOCK_SIZE = 128
 EVAL_ITERS = 200
 SEED = 1337
+SPLITS = ("train", "val")
 
 CODE_POINTS = 0x110000  # no alphabet can have more characters
 
@@ -251,18 +254,27 @@ def seq_batches(
     pieces: DataFrame,
     sizes: SplitSizes,
     vocab: DataFrame,
-    split: str = "train",
+    splits: Sequence[str] = SPLITS,
     batch_size: int = BATCH_SIZE,
     block_size: int = BLOCK_SIZE,
 ) -> DataFrame:
-    """Non-overlapping batches ``(batch_id, row, x, y, original_text)``; y is x moved by one."""
-    count = batch_count(sizes.of(split), batch_size * block_size)
-    codec = CharCodec.of(vocab)
-    whole = blocks(pieces.where(F.col("split") == split), block_size).where(
-        F.col("block") < count * batch_size
+    """Non-overlapping batches ``(split, batch_id, row, x, y, original_text)``; y is x moved by one.
+
+    All splits are cut in the same pass. A split too short for one batch is an error.
+    """
+    span = batch_size * block_size
+    counts = {split: batch_count(sizes.of(split), span) for split in splits}
+    whole = F.lit(False)
+    for split, count in counts.items():
+        whole = whole | ((F.col("split") == split) & (F.col("block") < count * batch_size))
+    chosen = pieces.where(F.col("split").isin(*splits))
+    ids = (
+        blocks(chosen, block_size)
+        .where(whole)
+        .select("split", "block", "text", CharCodec.of(vocab).ids(F.col("text")).alias("ids"))
     )
-    ids = whole.select("block", "text", codec.ids(F.col("text")).alias("ids"))
     return ids.select(
+        "split",
         F.floor(F.col("block") / batch_size).cast("bigint").alias("batch_id"),
         (F.col("block") % batch_size).cast("int").alias("row"),
         F.slice("ids", 1, block_size).alias("x"),
@@ -293,28 +305,31 @@ def sample_windows(
 def sample_batches(
     pieces: DataFrame,
     sizes: SplitSizes,
-    split: str,
-    steps: int,
+    steps: dict[str, int],
     batch_size: int = BATCH_SIZE,
     block_size: int = BLOCK_SIZE,
     seed: int = SEED,
 ) -> DataFrame:
     """Random windows of ``block_size + 1`` characters, drawn with replacement.
 
-    A window touches two neighbouring blocks, so this is an equi-join on the block number.
+    ``steps`` says how many batches to draw from each split. A window touches two neighbouring
+    blocks, so this is an equi-join on the block number.
     """
-    n = sizes.of(split)
-    if n <= block_size:
-        raise ValueError(f"split {split!r} of {n} tokens is too short for windows of {block_size}")
     spark = pieces.sparkSession
+    drawn = []
+    for split, count in steps.items():
+        n = sizes.of(split)
+        if n <= block_size:
+            raise ValueError(f"split {split!r} of {n} tokens is too short for windows of {block_size}")
+        drawn.append(sample_windows(spark, split, n, count, batch_size, block_size, seed))
     wanted = (
-        sample_windows(spark, split, n, steps, batch_size, block_size, seed)
+        reduce(DataFrame.unionByName, drawn)
         .withColumn("first", F.floor(F.col("start") / block_size).cast("bigint"))
         .withColumn("block", F.explode(F.array(F.col("first"), F.col("first") + 1)))
     )
-    stock = blocks(pieces.where(F.col("split") == split), block_size, overlap=False)
+    stock = blocks(pieces.where(F.col("split").isin(*steps)), block_size, overlap=False)
     return (
-        wanted.join(stock.drop("split"), "block")
+        wanted.join(stock, ["split", "block"])
         .groupBy("split", "step", "row", "start")
         .agg(F.sort_array(F.collect_list(F.struct("block", "text"))).alias("_p"))
         .withColumn("_t", F.array_join(F.transform("_p", lambda p: p["text"]), ""))

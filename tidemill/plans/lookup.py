@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.plans.scratch import materialize
 
 SMALL_ROWS = 10_000
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 1_000
 
 
@@ -25,9 +27,26 @@ def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _bytes(column: str, kind: T.DataType) -> Column:
+    """About what a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        size = F.size(column) * 8
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        size = F.lit(0)
+    return F.coalesce(size, F.lit(0)) + 16
+
+
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """True if rows and bytes of ``df`` stay within the limits; both are summed up task by task."""
+    width = sum((_bytes(f.name, f.dataType) for f in df.schema.fields), F.lit(0))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("bigint")).alias("b")).first()
+    return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
 def _hot_keys(big: DataFrame, on: Sequence[str], share: int) -> DataFrame:

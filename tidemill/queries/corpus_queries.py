@@ -154,18 +154,19 @@ def split_stats(spark, folder):
     return co.split_stats(_stream(spark, folder)[1])
 
 
-@query("seq_batches", f"WITH {BATCHES} SELECT batch_id, row, x, y FROM batch_rows WHERE split = 'train'")
-def seq_batches(spark, folder):
+def _batches(spark, folder, splits=co.SPLITS) -> DataFrame:
     corpus, pieces, sizes = _stream(spark, folder)
-    batches = co.seq_batches(pieces, sizes, co.build_vocab(corpus))
-    return batches.select("batch_id", "row", joined("x"), joined("y"))
+    return co.seq_batches(pieces, sizes, co.build_vocab(corpus), splits)
+
+
+@query("seq_batches", f"WITH {BATCHES} SELECT split, batch_id, row, x, y FROM batch_rows")
+def seq_batches(spark, folder):
+    return _batches(spark, folder).select("split", "batch_id", "row", joined("x"), joined("y"))
 
 
-@query("batch_text", f"WITH {BATCHES} SELECT batch_id, row, original_text FROM batch_rows WHERE split = 'val'")
+@query("batch_text", f"WITH {BATCHES} SELECT split, batch_id, row, original_text FROM batch_rows")
 def batch_text(spark, folder):
-    corpus, pieces, sizes = _stream(spark, folder)
-    batches = co.seq_batches(pieces, sizes, co.build_vocab(corpus), "val")
-    return batches.select("batch_id", "row", "original_text")
+    return _batches(spark, folder).select("split", "batch_id", "row", "original_text")
 
 
 @query(
@@ -173,16 +174,16 @@ def batch_text(spark, folder):
     f"""WITH {BATCHES},
 n_batches AS (SELECT count(DISTINCT batch_id) AS k FROM batch_rows WHERE split = 'val'),
 requests AS (SELECT c_custkey AS step, c_custkey % k AS batch_id FROM customer, n_batches)
-SELECT step, batch_id, row, original_text FROM requests JOIN batch_rows USING (batch_id)
-WHERE split = 'val' AND row = 0""",
+SELECT step, batch_id, row, original_text FROM requests JOIN batch_rows USING (batch_id) WHERE split = 'val'""",
 )
 def batch_cursor(spark, folder):
-    corpus, pieces, sizes = _stream(spark, folder)
+    """One validation batch for every customer in turn."""
+    sizes = co.split_sizes(views.corpus(spark, folder))
     n_batches = co.batch_count(sizes.val, co.BATCH_SIZE * co.BLOCK_SIZE)
-    batches = co.seq_batches(pieces, sizes, co.build_vocab(corpus), "val")
+    batches = _batches(spark, folder, ["val"])
     requests = views.table(spark, folder, "customer").select(F.col("c_custkey").alias("step"))
-    first_rows = batches.where(F.col("row") == 0).select("batch_id", "row", "original_text")
-    return co.batch_cursor(first_rows, requests, n_batches)
+    served = co.batch_cursor(batches, requests, n_batches)
+    return served.select("step", "batch_id", "row", "original_text")
 
 
 def _epoch(sizes: co.SplitSizes, split: str) -> int:
@@ -207,21 +208,21 @@ SELECT a.split, a.step, a.row, a.start, a.s, b.c, b.id FROM sampled a JOIN split
 )
 
 
-def _drawn(pieces, sizes, split):
-    return co.sample_batches(pieces, sizes, split, _epoch(sizes, split))
+def _windows(pieces, sizes) -> DataFrame:
+    return co.sample_batches(pieces, sizes, {split: _epoch(sizes, split) for split in co.SPLITS})
 
 
 @query(
     "sample_batches",
     f"""WITH {SAMPLES}
-SELECT step, row, start, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY s) FILTER (s < start + 128) AS x,
+SELECT split, step, row, start, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY s) FILTER (s < start + 128) AS x,
   string_agg(CAST(id AS VARCHAR), ' ' ORDER BY s) FILTER (s > start) AS y
-FROM sampled_ids WHERE split = 'train' GROUP BY ALL""",
+FROM sampled_ids GROUP BY ALL""",
 )
 def sample_batches(spark, folder):
     corpus, pieces, sizes = _stream(spark, folder)
-    drawn = co.with_xy(_drawn(pieces, sizes, "train"), co.build_vocab(corpus))
-    return drawn.select("step", "row", "start", joined("x"), joined("y"))
+    drawn = co.with_xy(_windows(pieces, sizes), co.build_vocab(corpus))
+    return drawn.select("split", "step", "row", "start", joined("x"), joined("y"))
 
 
 @query(
@@ -287,8 +288,7 @@ def batch_losses(spark, folder) -> DataFrame:
     corpus, pieces, sizes = _stream(spark, folder)
     size = co.vocab_size(corpus).first()["vocab_size"]
     train = co.bigram_counts(pieces.where(F.col("split") == "train"))
-    windows = _drawn(pieces, sizes, "train").unionByName(_drawn(pieces, sizes, "val"))
-    return co.batch_losses(windows, train, size)
+    return co.batch_losses(_windows(pieces, sizes), train, size)
 
 
 @query(
