@@ -335,7 +335,7 @@ def crop_context(spark, folder):
 
 
 def _word_ids(spark, folder) -> DataFrame:
-    return co.word_tokens(views.table(spark, folder, "conversations"), "conv_id", "turn")
+    return co.word_tokens(views.conversations(spark, folder), "conv_id", "turn")
 
 
 @query("word_tokens", f"WITH {WORDS} SELECT conv_id, turn, pos, word, id FROM word_ids")
@@ -381,7 +381,7 @@ SELECT CAST(pos AS INT) AS pos, dim,
     ELSE cos(pos / pow(10000, 2 * (dim // 2) / 64.0::DOUBLE)) END, 9) + 0.0 AS value FROM grid""",
 )
 def positional_encoding(spark, folder):
-    words = co.words(views.table(spark, folder, "conversations"), "conv_id", "turn")
+    words = co.words(views.conversations(spark, folder), "conv_id", "turn")
     table = co.positional_encoding(words.select("pos").distinct(), WIDTH)
     return table.select("pos", "dim", r("value", 9))
 

@@ -13,8 +13,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Share rows with heavy work among all cores when the scan has fewer tasks than that.
+
+    A large table has far more tasks than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+
+
+def conversations(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "text")
+    return spread(turns, "conv_id", "turn")
 
 
 def posts(spark: SparkSession, folder: str) -> DataFrame:
