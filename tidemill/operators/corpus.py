@@ -472,7 +472,7 @@ def sample_next(contexts: DataFrame, weights: DataFrame, seed: int = SEED) -> Da
     )
     spin = hash_unit(F.col("id"), seed) * F.col("total")
     return (
-        param_join(contexts, wheel, ["prev"], "inner")
+        lookup_join(contexts, materialize(wheel, "wheel"), ["prev"], "inner")
         .withColumn("_spin", spin)
         .select(
             "id",

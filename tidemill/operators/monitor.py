@@ -152,8 +152,10 @@ def ab_summary(log: DataFrame, key: str, outcome: str, seed: int = 42, share: in
         F.count_if(arm & won).alias("x_a"),
         F.count_if(~arm & won).alias("x_b"),
     )
-    pooled = (F.col("x_a") + F.col("x_b")) / (F.col("n_a") + F.col("n_b"))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_a") + 1 / F.col("n_b")))
+    one = F.lit(1.0)
+    pooled = F.try_divide(F.col("x_a") + F.col("x_b"), F.col("n_a") + F.col("n_b"))
+    per_arm = F.try_divide(one, F.col("n_a")) + F.try_divide(one, F.col("n_b"))
+    spread = F.sqrt(pooled * (1 - pooled) * per_arm)
     return (
         sums.withColumns(
             {

@@ -101,10 +101,10 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
 
 
 def artifact_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and size of every file below ``path``."""
+    """SHA-256 and size of every file below ``path``, named by its place below that folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.substring_index("path", f"{path.rstrip('/')}/", -1).alias("file"),
         "length",
         F.sha2("content", 256).alias("sha256"),
     )
