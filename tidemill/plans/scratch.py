@@ -13,14 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+_private: dict[str, str] = {}  # application id -> folder, where the setting is absent
+
+
+def shared_folder(spark: SparkSession) -> str:
+    base = spark.conf.get(SETTING, None)
+    if base:
+        return base
+    app = spark.sparkContext.applicationId
+    if app not in _private:
+        _private[app] = tempfile.mkdtemp(prefix="run-")
+    return _private[app]
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder."""
-    base = spark.conf.get(SETTING, None) or spark.sparkContext.getConf().get(SETTING)
-    if not base:
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(SETTING, base)
-    return f"{base.rstrip('/')}/tidemill/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark).rstrip('/')}/tidemill/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
