@@ -158,3 +158,12 @@ def test_scans_read_only_what_is_needed(spark, folder):
     assert "props" not in text
     assert "PushedFilters" in text and "GreaterThanOrEqual(doc_id,0)" in text
     assert F.col("x") is not None
+
+
+def test_large_tables_get_more_ranges_than_partitions(keyed):
+    from tidemill.plans.ordered import cut_points
+
+    assert len(cut_points(keyed, F.col("i"))) == 7
+    many = cut_points(keyed, F.col("i"), rows_per_range=20)
+    assert 60 < len(many) < 75 and many == sorted(set(many))
+    assert cut_points(keyed.where("i < 0"), F.col("i")) == []

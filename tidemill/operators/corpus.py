@@ -28,6 +28,7 @@ EVAL_ITERS = 200
 SEED = 1337
 SPLITS = ("train", "val")
 
+DOCS_PER_RANGE = 100_000  # documents one task puts in order
 CODE_POINTS = 0x110000  # no alphabet can have more characters
 
 
@@ -133,7 +134,7 @@ def placed(corpus: DataFrame) -> DataFrame:
     sized = non_empty(corpus).select(
         "doc_id", "text", F.char_length("text").cast("bigint").alias("n")
     )
-    return prefix_sum(sized, "doc_id", ["n"]).select(
+    return prefix_sum(sized, "doc_id", ["n"], rows_per_range=DOCS_PER_RANGE).select(
         "doc_id", "text", "n", (F.col("cum_n") - F.col("n")).alias("start")
     )
 

@@ -17,19 +17,39 @@ from pyspark.sql import functions as F
 
 from tidemill.plans.scratch import materialize
 
-MAX_RANGES = 4096
+MAX_RANGES = 16_384
+ROWS_PER_RANGE = 5_000_000
 ONE_RANGE_ROWS = 100_000  # counted values beyond which a quantile works in ranges
 
 
 def range_count(df: DataFrame) -> int:
+    """Ranges to begin with: one per shuffle partition."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(8, min(MAX_RANGES, partitions))
 
 
-def cut_points(df: DataFrame, key: Column, ranges: int) -> list[float]:
-    """Increasing approximate quantiles of a numeric key, at most ``ranges - 1`` of them."""
-    probs = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(key.cast("double"), probs, 10_000).alias("c")).first()
+def cut_points(
+    df: DataFrame, key: Column, ranges: int | None = None, rows_per_range: int = ROWS_PER_RANGE
+) -> list[float]:
+    """Increasing approximate quantiles of a numeric key.
+
+    Without a given number, a large table gets as many ranges as keep a range sortable by one task;
+    a second pass is needed only where the shuffle partitions are too few for that.
+    """
+    keys = df.select(key.cast("double").alias("_key"))
+
+    def quantiles(n: int):
+        probs = ", ".join(f"{i / n!r}D" for i in range(1, n))
+        cuts = F.expr(f"percentile_approx(_key, array({probs}), {max(10_000, 4 * n)})")
+        return keys.agg(F.count(F.lit(1)).alias("n"), cuts.alias("c")).first()
+
+    if ranges == 1:
+        return []
+    begin = ranges or range_count(df)
+    row = quantiles(begin)
+    wanted = min(MAX_RANGES, row["n"] // rows_per_range)
+    if ranges is None and wanted > begin:
+        row = quantiles(wanted)
     return sorted({float(c) for c in (row["c"] or [])})
 
 
@@ -55,6 +75,7 @@ def running(
     inclusive: bool = True,
     ranges: int | None = None,
     one_range_rows: int = 0,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add running sums, maxima or minima, ``outputs`` being ``{out: (kind, column)}``.
 
@@ -66,7 +87,7 @@ def running(
     if ranges is None and one_range_rows and df.count() <= one_range_rows:
         cuts = []
     else:
-        cuts = cut_points(df, F.col(order), ranges or range_count(df))
+        cuts = cut_points(df, F.col(order), ranges, rows_per_range)
     cut = with_range(df, F.col(order), cuts, "_r")
     direction = F.col("_r").desc() if descending else F.col("_r").asc()
     before = W.partitionBy(*by).orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
@@ -101,11 +122,19 @@ def prefix_sum(
     descending: bool = False,
     ranges: int | None = None,
     one_range_rows: int = 0,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add ``cum_<v>``, the inclusive running sum of each value; see :func:`running`."""
     outputs = {f"cum_{v}": ("sum", v) for v in values}
     return running(
-        df, order, outputs, by, descending, ranges=ranges, one_range_rows=one_range_rows
+        df,
+        order,
+        outputs,
+        by,
+        descending,
+        ranges=ranges,
+        one_range_rows=one_range_rows,
+        rows_per_range=rows_per_range,
     )
 
 
@@ -118,7 +147,7 @@ def previous(
 ) -> DataFrame:
     """Add ``prev_<v>`` from the row before in ``order`` (numeric, unique within ``by``)."""
     by = list(by)
-    cuts = cut_points(df, F.col(order), ranges or range_count(df))
+    cuts = cut_points(df, F.col(order), ranges)
     cut = with_range(df, F.col(order), cuts, "_r").withColumn("_v", F.struct(*values))
     back = W.partitionBy(*by).orderBy("_r")
     carried = (
@@ -158,7 +187,7 @@ def exact_quantiles(
     if ranges is None and counted.count() <= ONE_RANGE_ROWS:
         cuts = []
     else:
-        cuts = cut_points(counted, F.col("_v"), ranges or range_count(df))
+        cuts = cut_points(counted, F.col("_v"), ranges)
     cut = with_range(counted, F.col("_v"), cuts, "_r")
     group = W.partitionBy(*by)
     upto = group.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
@@ -250,7 +279,7 @@ def asof_fill(
     tasks; each (key, range) passes on only its last value.
     """
     by = list(by)
-    cuts = cut_points(df, micros(F.col(ts)), ranges or range_count(df))
+    cuts = cut_points(df, micros(F.col(ts)), ranges)
     packed = with_range(df, micros(F.col(ts)), cuts, "_r").withColumn(
         "_value", F.when(F.col(tie) == 0, F.struct(*values))
     )
