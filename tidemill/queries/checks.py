@@ -93,9 +93,7 @@ SELECT hashtag, window_start, coalesce(n, 0) AS n, coalesce(sentiment_sum, 0) AS
 FROM slots LEFT JOIN counts USING (hashtag, window_start))"""
 )
 
-SCORED = (
-    DENSE
-    + """,
+STATS = """
 stats AS (
 SELECT *, count(*) OVER b AS history, avg(n) OVER b AS baseline_mean,
   stddev_samp(n) OVER b AS baseline_std,
@@ -108,7 +106,8 @@ SELECT *, CASE WHEN history >= 2 AND baseline_std > 0 THEN (n - baseline_mean) /
   n / nullif(baseline_mean, 0) AS magnitude,
   CASE WHEN sentiment_n > 0 THEN sentiment_sum / sentiment_n END - baseline_sentiment AS sentiment_shift
 FROM stats)"""
-)
+
+SCORED = f"{DENSE},{STATS}"
 
 
 def bucket(key: str, seed: int, buckets: int) -> str:

@@ -58,14 +58,13 @@ FROM (SELECT conv_id, turn, regexp_extract_all(text, '[^\\s]+') AS list_words FR
 word_vocab AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS id FROM (SELECT DISTINCT word FROM word_rows)),
 word_ids AS (SELECT conv_id, turn, CAST(pos AS INT) AS pos, word, id FROM word_rows JOIN word_vocab USING (word))"""
 
-PAIRS = (
-    STREAM
-    + """,
+PAIR_COUNTS = """
 pairs AS (
 SELECT doc_id, split, s, c AS prev, lead(c) OVER (PARTITION BY doc_id, split ORDER BY p) AS next FROM split_stream),
 counts AS (SELECT prev, next, count(*) AS n FROM pairs WHERE split = 'train' AND next IS NOT NULL GROUP BY ALL),
 row_totals AS (SELECT prev, sum(n) AS c_prev FROM counts GROUP BY prev)"""
-)
+
+PAIRS = f"{STREAM},{PAIR_COUNTS}"
 
 DOC_PAIRS = (
     CHARS
@@ -270,7 +269,7 @@ def bigram_loss(spark, folder):
 @query(
     "sampled_loss",
     f"""WITH {SAMPLES},
-{PAIRS[len(STREAM) + 2:]},
+{PAIR_COUNTS},
 drawn_pairs AS (
 SELECT split, step, c AS prev, lead(c) OVER (PARTITION BY split, step, row ORDER BY s) AS next FROM sampled_ids),
 per_batch AS (

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import evaluate as ev
 from tidemill.operators import models as mo
 from tidemill.operators import monitor as mn
+from tidemill.operators.features import split_random, train_rows
 from tidemill.queries import checks as sql
 from tidemill.queries.registry import query, r
 from tidemill.sources import views
@@ -172,8 +173,6 @@ SELECT round(predicted_rate, 6) AS predicted_rate, round(train_rate, 6) AS train
   round(predicted_rate - train_rate, 6) + 0.0 AS difference FROM a, b""",
 )
 def prediction_rate(spark, folder):
-    from tidemill.operators.features import train_rows
-
     rows = _pred(spark, folder)
     out = ev.prediction_rate(rows, train_rows(rows, "passenger_id"))
     return out.select(r("predicted_rate"), r("train_rate"), r("difference"))
@@ -452,16 +451,10 @@ def permutation_importance(spark, folder):
     return out.withColumn("importance", r("importance"))
 
 
-def _model_rows(spark, folder) -> DataFrame:
-    return _filled(spark, folder)
-
-
 @query("train_classifier")
 def train_classifier(spark, folder):
     """Boosted trees on the training rows, metrics on the test rows."""
-    from tidemill.operators.features import split_random
-
-    rows = split_random(_model_rows(spark, folder), "passenger_id")
+    rows = split_random(_filled(spark, folder), "passenger_id")
     model = mo.train_classifier(
         rows.where(F.col("split") == "train"), list(WEIGHTS), trees=10, max_depth=4
     )
@@ -472,11 +465,11 @@ def train_classifier(spark, folder):
 @query("hyper_search")
 def hyper_search(spark, folder):
     space = dict(mo.SEARCH_SPACE, trees=(3, 6), max_depth=(2, 4))
-    return mo.hyper_search(_model_rows(spark, folder), list(WEIGHTS), mo.random_params(3, space))
+    return mo.hyper_search(_filled(spark, folder), list(WEIGHTS), mo.random_params(3, space))
 
 
 @query("cross_validate")
 def cross_validate(spark, folder):
     return mo.cross_validate(
-        _model_rows(spark, folder), list(WEIGHTS), "passenger_id", k=3, trees=3, max_depth=3
+        _filled(spark, folder), list(WEIGHTS), "passenger_id", k=3, trees=3, max_depth=3
     )

@@ -201,8 +201,8 @@ def decayed_count(spark, folder):
 
 @query(
     "score_anomaly",
-    f"""WITH RECURSIVE {EWMA.replace("dense AS", "dense AS", 1)},
-{sql.SCORED[len(sql.DENSE) + 2:]},
+    f"""WITH RECURSIVE {EWMA},
+{sql.STATS},
 prior AS (SELECT hashtag, window_start, lag(ewma) OVER (PARTITION BY hashtag ORDER BY window_start) AS ewma_before
 FROM smooth)
 SELECT hashtag, window_start, s.n, round(zscore, 6) AS zscore, round(ewma_before, 6) AS ewma_before

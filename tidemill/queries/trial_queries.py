@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-
 from tidemill.operators import trials as tr
 from tidemill.queries import checks as sql
 from tidemill.queries import corpus_queries as cq
@@ -70,7 +69,7 @@ def metric_trend(spark, folder):
 @query(
     "loss_history",
     f"""WITH {cq.SAMPLES},
-{cq.PAIRS[len(cq.STREAM) + 2:]},
+{cq.PAIR_COUNTS},
 drawn_pairs AS (
 SELECT split, step, c AS prev, lead(c) OVER (PARTITION BY split, step, row ORDER BY s) AS next FROM sampled_ids),
 per_batch AS (
