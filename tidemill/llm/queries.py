@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import line_cleaning, mixing
+from tidemill.llm import byte_cnn, language_id, line_cleaning, mixing
+from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +94,23 @@ FROM n, range(0, copies) AS t(i)
 def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.poisson_mix(read(spark, folder, "documents"))
     return mixed.withColumn("rate", F.round("rate", 9))
+
+
+def _held_out(modulus: int, remainder: int) -> Column:
+    return (id_remainder("doc_id", modulus) == remainder).alias("held_out")
+
+
+@query("op1_byte_cnn_quality")
+def op1_byte_cnn_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on labelled documents outside the held-out quarter; scores all."""
+    docs = read(spark, folder, "documents")
+    net = byte_cnn.fit(docs.where(~_held_out(4, 2)), read(spark, folder, "labels"))
+    return byte_cnn.score(docs, net).select("doc_id", _held_out(4, 2), "score", "predicted")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on documents with a language outside the held-out third; predicts all."""
+    docs = read(spark, folder, "documents")
+    model = language_id.fit(docs.where(~_held_out(3, 1)))
+    return language_id.identify(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
