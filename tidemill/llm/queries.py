@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_cnn, language_id, line_cleaning, mixing
+from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +116,24 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents")
     model = language_id.fit(docs.where(~_held_out(3, 1)))
     return language_id.identify(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
+
+
+def bpe_file() -> tuple[bytes, str]:
+    """Content of the public rank file and the pattern that goes with it."""
+    return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    ranks, pattern = bpe_file()
+    encoded = byte_bpe.encode(docs, ranks, pattern)
+    return encoded.select(
+        "doc_id",
+        F.size("tokens").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("tokens", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("tokens"), ranks), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_digests(read(spark, folder, "documents"))
