@@ -1,45 +1,106 @@
 """Byte-level BPE with the ranks of a public vocabulary file.
 
-Encoding splits each text by a pattern, lists the distinct pieces of a stretch of documents, folds the
-ranked merges over each distinct piece and puts the results back in place. The fold is made of Spark's
-higher-order functions: a piece is an array of token ids, next to it the ranks of its neighbouring
-pairs; each step merges the leftmost pair of the lowest rank and looks up the two new pairs. The rank
-map (pair of ids to merged id) is a literal in the plan. Spark searches a map literal from end to end,
-so the map is laid out as a collision-free hash table of two literal arrays.
+Encoding cuts each text into pieces, lists the distinct pieces of a block of documents and folds the
+ranked merges over all of them at once: a piece is an array of token ids, beside it the ranks of its
+neighbouring pairs; each step merges the leftmost pair of the lowest rank of every piece that still
+has one and looks up the two new pairs. The rank map (pair of ids to merged id) is a constant hash
+table without collisions. The ids are then put back in the order of the text. Decoding looks up the
+bytes of each id and concatenates them.
 
-Decoding looks up the bytes of each id and concatenates them.
+The steps run on numpy arrays inside ``mapInArrow``. ``fold_merges`` is the same fold as one Spark
+column, made of higher-order functions over a literal rank map. It gives the same ids but takes about
+a hundred times longer, as such functions are interpreted; the README has the figures.
 
 Null texts count as empty; empty texts have no token and decode to no bytes. Repeated rows and null ids
 pass through. Only the id and the text are read. Pieces longer than ``LONG_PIECE`` bytes are merged with
-a heap in the task that splits them, as the fold's arrays would be copied once per byte.
+a heap, as the fold takes a step for each merge.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tidemill.llm import blocks
 
-STRETCH_BYTES = 16_000_000  # text whose distinct pieces are folded together
 LONG_PIECE = 256
 NO_PAIR = 2**31 - 1
-PACKED = "ids array<bigint>, pieces array<binary>, where binary, counts array<int>, long_ids array<array<int>>"
-
-
-def python_pattern(pattern: str) -> str:
-    """The tokenizer's white space is the Unicode property, to which ``regex`` adds four separators."""
-    return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
+# The public pattern that `cut` implements, its contractions, and Unicode's White_Space.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
+WHITE_SPACE = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+
+
+@lru_cache(maxsize=1)
+def kinds() -> np.ndarray:
+    """The kind of every code point."""
+    table = np.full(0x110000, OTHER, np.uint8)
+    for code in range(0x110000):
+        first = unicodedata.category(chr(code))[0]
+        if first in "LN":
+            table[code] = LETTER if first == "L" else NUMBER
+    table[WHITE_SPACE] = SPACE
+    return table
+
+
+def cut(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text numbers of the pieces that ``PATTERN`` cuts a block into.
+
+    Runs of one kind are pieces, with two exceptions. Of white space before something else, the last
+    character is cut off; a plain space joins what follows. A lone apostrophe that no space joins takes
+    the letters of a contraction.
+    """
+    if len(data) == 0:
+        empty = np.empty(0, np.int64)
+        return empty, empty, empty
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    at = np.flatnonzero((data & 0xC0) != 0x80)  # first byte of each character
+    kind = kinds()[codes]
+    border = np.zeros(len(data) + 1, bool)
+    border[offsets] = True
+    first = border[at]  # first character of a text
+    start = first.copy()
+    start[0] = True
+    start[1:] |= kind[1:] != kind[:-1]
+    last = np.append(first[1:], True)  # last character of a text
+    ends_run = np.append(start[1:], True)
+    # The last white space before something else in the same text stands alone ...
+    tail = (kind == SPACE) & ends_run & ~last
+    start |= tail
+    # ... and a plain space takes what follows.
+    joined = np.append(False, (tail & (codes == 32))[:-1])
+    start &= ~joined
+    quote = np.flatnonzero((codes == 39) & start & ends_run & ~last)
+    quote = quote[(kind[np.minimum(quote + 1, len(kind) - 1)] == LETTER)]
+    if len(quote):
+        padded = np.append(codes, [0, 0, 0])
+        room = np.searchsorted(np.flatnonzero(np.append(first, True)), quote, "right")
+        text_end = np.flatnonzero(np.append(first, True))[room]
+        for word in CONTRACTIONS:
+            hit = np.ones(len(quote), bool)
+            for k, letter in enumerate(word):
+                hit &= padded[quote + k] == letter
+            hit &= quote + len(word) <= text_end
+            where = quote[hit]
+            start[where + 1] = False
+            after = where + len(word)
+            inside = after < len(start)
+            start[after[inside]] = True
+    starts = at[start]
+    ends = np.append(starts[1:], len(data))
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
 @lru_cache(maxsize=4)
@@ -195,85 +256,122 @@ def fold_merges(piece: Column, table: RankTable) -> Column:
     return folded
 
 
-def encode(
-    docs: DataFrame, ranks: bytes, pattern: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+@dataclass
+class _Arrays:
+    """A rank table as arrays."""
+
+    seeds: np.ndarray
+    keys: np.ndarray
+    merged: np.ndarray
+    byte_ids: np.ndarray
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left.astype(np.int64) * 65536 + right
+        slot = ((key * self.seeds[key % len(self.seeds)]) >> 13) % len(self.keys)
+        return np.where(self.keys[slot] == key, self.merged[slot], NO_PAIR).astype(np.int32)
+
+
+@lru_cache(maxsize=2)
+def _arrays(content: bytes) -> _Arrays:
+    t = rank_table(content)
+    return _Arrays(np.array(t.seeds, np.int64), np.array(t.keys, np.int64), np.array(t.merged, np.int32), np.array(t.byte_ids, np.int32))
+
+
+def fold(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, content: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces one after another, and how many each piece has."""
+    table, ranks, n = _arrays(content), read_ranks(content), len(starts)
+    done_ids: list[np.ndarray] = []
+    done_owner: list[np.ndarray] = []
+    whole = data.tobytes()
+    by_hand = set(np.flatnonzero(ends - starts > LONG_PIECE).tolist())
+    if odd := rank_table(content).odd:
+        by_hand |= {i for i in range(n) if whole[starts[i] : ends[i]] in odd}
+    for i in by_hand:
+        done_ids.append(np.array(merge_piece(whole[starts[i] : ends[i]], ranks), np.int32))
+        done_owner.append(np.full(len(done_ids[-1]), i))
+    live = np.setdiff1d(np.arange(n), np.fromiter(by_hand, np.int64, len(by_hand)))
+    size = (ends - starts)[live]
+    owner = np.repeat(live, size)
+    first = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(live) else np.empty(0, np.int64)
+    part = table.byte_ids[data[np.repeat(starts[live] - first, size) + np.arange(len(owner))]]
+    rank = np.full(len(part), NO_PAIR, np.int32)
+    if len(part) > 1:
+        rank[:-1] = np.where(owner[:-1] == owner[1:], table.rank(part[:-1], part[1:]), NO_PAIR)
+    while len(part):
+        begin = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        lowest = np.minimum.reduceat(rank, begin)
+        length = np.diff(np.append(begin, len(part)))
+        ready = np.repeat(lowest == NO_PAIR, length)
+        if ready.any():
+            done_ids.append(part[ready])
+            done_owner.append(owner[ready])
+            part, rank, owner = part[~ready], rank[~ready], owner[~ready]
+            if not len(part):
+                break
+            going = lowest < NO_PAIR
+            lowest, length = lowest[going], length[going]
+        hit = np.flatnonzero(rank == np.repeat(lowest, length))
+        hit = hit[np.append(True, owner[hit[1:]] != owner[hit[:-1]])]  # the leftmost of each piece
+        part[hit] = rank[hit]
+        keep = np.ones(len(part), bool)
+        keep[hit + 1] = False
+        moved = np.cumsum(keep) - 1
+        part, rank, owner, hit = part[keep], rank[keep], owner[keep], moved[hit]
+        for left in (hit[hit > 0] - 1, hit[hit < len(part) - 1]):
+            same = owner[left] == owner[left + 1]
+            rank[left] = np.where(same, table.rank(part[left], part[left + 1]), NO_PAIR)
+        rank[-1] = NO_PAIR
+    owner = np.concatenate([*done_owner, np.empty(0, np.int64)]).astype(np.int64)
+    ids = np.concatenate([*done_ids, np.empty(0, np.int32)]).astype(np.int32)
+    order = np.argsort(owner, kind="stable")
+    return ids[order], np.bincount(owner, minlength=n)
+
+
+def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``tokens`` (array of ids) of every row. ``ranks`` is the content of a rank file."""
-    table, cutter = rank_table(ranks), python_pattern(pattern)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(cutter).findall
-        ids, counts, where, number, size = [], [], [], {}, 0
-
-        def packed() -> pa.RecordBatch:
-            pieces = [p.encode() for p in number]
-            # Long pieces come last in the table, with their ids found here.
-            is_long = np.array([len(p) > LONG_PIECE for p in pieces], bool)
-            order = np.argsort(is_long, kind="stable")
-            new = np.empty(len(order), np.int32)
-            new[order] = np.arange(len(order))
-            flat = new[np.concatenate(where)] if where and len(pieces) else np.empty(0, np.int32)
-            found = [merge_piece(pieces[i], read_ranks(ranks)) for i in order[len(order) - int(is_long.sum()) :]]
-            row = {"ids": [ids], "pieces": [[pieces[i] for i in order[: len(order) - int(is_long.sum())]]], "where": [flat.tobytes()]}
-            row |= {"counts": [counts], "long_ids": [found]}
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(row["ids"], pa.list_(pa.int64())),
-                    pa.array(row["pieces"], pa.list_(pa.binary())),
-                    pa.array(row["where"], pa.binary()),
-                    pa.array(row["counts"], pa.list_(pa.int32())),
-                    pa.array(row["long_ids"], pa.list_(pa.list_(pa.int32()))),
-                ],
-                names=["ids", "pieces", "where", "counts", "long_ids"],
-            )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
-                found = find(text.as_py() or "")
-                where.append(np.fromiter((number.setdefault(p, len(number)) for p in found), np.int32, len(found)))
-                ids.append(doc_id.as_py())
-                counts.append(len(found))
-                size += 4 * len(found)
-                if size >= STRETCH_BYTES:
-                    yield packed()
-                    ids, counts, where, number, size = [], [], [], {}, 0
-        if ids:
-            yield packed()
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(len(batch)):
-                short, long = batch.column("folded")[k].values, batch.column("long_ids")[k].values
-                lengths = np.concatenate([np.diff(c.offsets.to_numpy()) for c in (short, long)]).astype(np.int64)
-                tokens = np.concatenate([_flat(short), _flat(long)])
-                starts = np.concatenate([[0], np.cumsum(lengths)])
-                where = np.frombuffer(batch.column("where")[k].as_py(), np.int32)
-                counts, ids = batch.column("counts")[k].values.to_numpy(), batch.column("ids")[k].values
-                cut_at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-                first = 0
-                while first < len(ids):  # some documents at a time
-                    last = max(int(np.searchsorted(cut_at, cut_at[first] + 500_000, "right")) - 1, first + 1)
-                    w = where[cut_at[first] : cut_at[last]]
-                    n = lengths[w]
-                    ends = np.cumsum(n)
-                    flat = tokens[np.repeat(starts[w] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-                    offsets = np.concatenate([[0], ends])[cut_at[first : last + 1] - cut_at[first]]
-                    listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                    yield pa.RecordBatch.from_arrays([ids.slice(first, last - first), listed], names=["doc_id", "tokens"])
-                    first = last
+            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), 4_000_000):
+                starts, ends, owner = cut(data, offsets)
+                _, one, which = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+                ids, n = fold(data, starts[one], ends[one], ranks)
+                begin = np.concatenate([[0], np.cumsum(n)])
+                count = n[which]
+                stop = np.cumsum(count)
+                flat = ids[np.repeat(begin[which] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
+                cuts = np.concatenate([[0], stop])[np.searchsorted(owner, np.arange(b - a + 1))]
+                tokens = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), tokens], names=["doc_id", "tokens"])
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    stretches = slim.mapInArrow(cut, PACKED)
-    folded = stretches.select("ids", "where", "counts", "long_ids", F.transform("pieces", lambda p: fold_merges(p, table)).alias("folded"))
-    return folded.mapInArrow(place, "doc_id bigint, tokens array<int>")
+    return slim.mapInArrow(run, "doc_id bigint, tokens array<int>")
 
 
-def _flat(lists: pa.ListArray) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
+    """``encoded`` and the column ``decoded``: the bytes of its ``tokens``. Null tokens decode to null."""
 
-
-def decode(tokens: Column, ranks: bytes) -> Column:
-    """The bytes of an array of ids."""
-    known = {rank: token.hex() for token, rank in read_ranks(ranks).items()}
-    pieces = F.split(F.lit(" ".join(known.get(i, "") for i in range(max(known) + 1))), " ")
-    return F.unhex(F.array_join(F.transform(tokens, lambda t: F.get(pieces, t)), ""))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = read_ranks(ranks)
+        pieces = [b""] * (max(table.values()) + 1)
+        for token, rank in table.items():
+            pieces[rank] = token
+        sizes = np.array([len(p) for p in pieces])
+        begin = np.concatenate([[0], np.cumsum(sizes)])
+        every = np.frombuffer(b"".join(pieces), np.uint8)
+        for batch in batches:
+            tokens = batch.column("tokens")
+            ids = tokens.flatten().to_numpy(zero_copy_only=False)
+            decoded: list[bytes | None] = []
+            lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            stops = np.concatenate([[0], np.cumsum(lengths)])
+            for k, known in enumerate(tokens.is_valid().to_pylist()):
+                mine = ids[stops[k] : stops[k + 1]]
+                size = sizes[mine]
+                stop = np.cumsum(size)
+                place = np.repeat(begin[mine] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+                decoded.append(every[place].tobytes() if known else None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+
+    schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
+    return encoded.mapInArrow(run, schema)

@@ -118,19 +118,18 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
 
 
-def bpe_file() -> tuple[bytes, str]:
-    """Content of the public rank file and the pattern that goes with it."""
-    return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes(), public_tokenizers.PATTERN
+def bpe_ranks() -> bytes:
+    """Content of the public rank file that goes with the pattern of `byte_bpe`."""
+    return Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
-    ranks, pattern = bpe_file()
-    encoded = byte_bpe.encode(docs, ranks, pattern)
-    return encoded.select(
+    ranks = bpe_ranks()
+    return byte_bpe.decode(byte_bpe.encode(docs, ranks), ranks).select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("tokens", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(F.col("tokens"), ranks), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
