@@ -6,7 +6,7 @@ neighbours overlap and the whole text is covered. Learned filters look at ``2 *
 units over all chunks feed one logistic unit. A chunk's hidden unit can react to what is there (symbols,
 capitals) and to what is not (a chunk of repeated words excites few filters).
 
-``fit`` trains on a bounded sample of labelled rows (``per_class`` rows of each class, texts of at most
+``fit`` trains on a bounded sample of labelled rows (``per_class`` rows of each class or about as many, texts of at most
 ``max_train_chars`` characters, whole); ``score`` reads every whole text. Null and empty texts are one
 chunk of padding and get the score of that. Without labels of both classes the score is the share of
 label 1, 0.5 if there are none. Repeated rows score alike; only id and text are read when scoring.
@@ -188,9 +188,9 @@ def fit(
     marked = marked.groupBy("_id").agg(F.min("_label").alias("_label"))
     short = docs.where(F.length(F.col(text_col)) <= max_train_chars)
     known = short.select(F.col(id_col).alias("_id")).join(marked, "_id")
-    picked = bounded_sample(known, "_id", "_label", per_class, seed)
-    rows = short.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")  # at most 2 * per_class ids
-    rows = sorted(rows.dropDuplicates(["_id"]).collect(), key=lambda r: r["_id"])  # bounded by per_class and max_train_chars
+    picked = bounded_sample(known, "_id", "_label", per_class, seed).dropDuplicates(["_id"])  # about 2 * per_class ids
+    rows = short.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(picked), "_id")
+    rows = sorted(rows.dropDuplicates(["_id"]).collect(), key=lambda r: r["_id"])  # no text is longer than max_train_chars
     y = np.array([r["_label"] for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         net = new_net(seed)

@@ -4,7 +4,7 @@ A text becomes the square roots of the shares of its hashed byte n-grams (two to
 words with their borders; digits and ASCII punctuation are borders). A linear classifier for each
 family picks the family; inside it, one-versus-one linear support vector machines vote. All machines
 minimise the squared hinge loss with an L2 penalty and are fitted on a bounded sample of labelled
-rows (``per_language`` rows of each language, chosen by a hash of the id).
+rows (``per_language`` rows of each language or about as many, chosen by a hash of the id).
 
 ``score`` is the product of the logistic family and language confidences. ``und`` with score 0 goes
 to null texts, texts without a letter and all texts if nothing was learned. Rows with null ids are
@@ -144,19 +144,17 @@ class LanguageModel:
 
 def fit(
     docs: DataFrame,
-    per_language: int = 400,
+    per_language: int = 500,
     seed: int = 42,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> LanguageModel:
-    """Fit on at most ``per_language`` rows of each language. The rows' texts stay on the executors:
+    """Fit on about ``per_language`` rows of each language. The rows' texts stay on the executors:
     the driver gets their non-zero features only."""
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    picked = bounded_sample(known, id_col, lang_col, per_language, seed).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
-    rows = known.join(picked, (F.col(id_col) == F.col("_id")) & (F.col(lang_col) == F.col("_lang"))).select(
-        F.col("_id").cast("bigint").alias("id"), F.col("_lang").alias("lang"), F.col(text_col).alias("text")
-    )
+    picked = bounded_sample(known, id_col, lang_col, per_language, seed)
+    rows = picked.select(F.col(id_col).cast("bigint").alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

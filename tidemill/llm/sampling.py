@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.llm.common import hash_share
+
+MAX_GROUPS = 1000
+
 
 def bounded_sample(rows: DataFrame, id_col: str, group_col: str, per_group: int, seed: int) -> DataFrame:
-    """Up to ``per_group`` ids of each group, those with the smallest seeded hashes.
+    """Rows of ``rows`` whose ids hash into the first ``per_group / n`` of a group of ``n`` rows.
 
-    Only ids and groups are ranked, and each task keeps at most ``per_group`` rows of a group before
-    the shuffle, so a group with most of the rows does not matter. Repeated rows count once.
+    About ``per_group`` rows of each group, all if it has no more. Counting combines inside tasks and
+    the choice is a filter, so no group meets in one task, whatever its size. Of more than
+    ``MAX_GROUPS`` groups the largest are taken. Rows without an id or group are left out.
     """
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")).cast("binary"))
-    slim = rows.select(F.col(id_col), F.col(group_col), key.alias("_key")).where(F.col(id_col).isNotNull())
-    rank = F.row_number().over(Window.partitionBy(group_col).orderBy("_key", id_col))
-    picked = slim.withColumn("_rank", rank).where(F.col("_rank") <= per_group)
-    return picked.groupBy(id_col).agg(F.min(group_col).alias(group_col))
+    known = rows.where(F.col(id_col).isNotNull() & F.col(group_col).isNotNull())
+    counts = known.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), group_col).limit(MAX_GROUPS).collect()
+    share = hash_share(F.lit(seed), F.col(id_col))
+    wanted = F.lit(False)
+    if counts:
+        pairs = [x for r in counts for x in (F.lit(str(r[0])), F.lit(per_group / r["n"]))]
+        wanted = share < F.element_at(F.create_map(*pairs), F.col(group_col).cast("string"))
+    return known.where(F.coalesce(wanted, F.lit(False)))
