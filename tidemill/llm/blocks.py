@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 NOT_SPACE = np.ones(256, bool)
@@ -91,7 +91,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     up = np.full(n, _BASE)
     up[0] = 1
@@ -102,7 +102,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte spans, from running sums over the block; equal spans get equal hashes."""
-    size = 1 << max(16, int(len(data)).bit_length())
+    size = (len(data) // BLOCK_BYTES + 1) * BLOCK_BYTES  # the same for all blocks of usual length
     up, down = _powers(size)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=sums[1:])

@@ -35,6 +35,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from tidemill.llm import blocks
 
 LONG_PIECE = 256
+DECODED_ROWS = 256  # rows decoded at a time
 NO_PAIR = 2**31 - 1
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # The public pattern that `cut` implements, its contractions, and Unicode's White_Space.
@@ -332,7 +333,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), 4_000_000):
+            for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
                 starts, ends, owner = cut(data, offsets)
                 _, one, which = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
                 ids, n = fold(data, starts[one], ends[one], ranks)
@@ -360,18 +361,19 @@ def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
         begin = np.concatenate([[0], np.cumsum(sizes)])
         every = np.frombuffer(b"".join(pieces), np.uint8)
         for batch in batches:
-            tokens = batch.column("tokens")
-            ids = tokens.flatten().to_numpy(zero_copy_only=False)
-            decoded: list[bytes | None] = []
-            lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            stops = np.concatenate([[0], np.cumsum(lengths)])
-            for k, known in enumerate(tokens.is_valid().to_pylist()):
-                mine = ids[stops[k] : stops[k + 1]]
-                size = sizes[mine]
+            for first in range(0, len(batch), DECODED_ROWS):
+                rows = batch.slice(first, DECODED_ROWS)
+                tokens = rows.column("tokens")
+                ids = tokens.flatten().to_numpy(zero_copy_only=False)
+                size = sizes[ids]
                 stop = np.cumsum(size)
-                place = np.repeat(begin[mine] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
-                decoded.append(every[place].tobytes() if known else None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(decoded, pa.binary())], names=[*batch.schema.names, "decoded"])
+                place = np.repeat(begin[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+                lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                cuts = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(lengths)])]
+                whole = every[place].tobytes()
+                known = tokens.is_valid().to_pylist()
+                decoded = [whole[a:b] if k else None for a, b, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), known, strict=True)]
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(decoded, pa.binary())], names=[*rows.schema.names, "decoded"])
 
     schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
     return encoded.mapInArrow(run, schema)
