@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing
+from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing, near_dedup
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,8 @@ def bpe_digests(docs: DataFrame) -> DataFrame:
 @query("op5_byte_bpe")
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_digests(read(spark, folder, "documents"))
+
+
+@query("op9_minhash_dedup")
+def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, folder, "documents"))
