@@ -7,11 +7,16 @@ follows its longest text, not its number of rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
+
+from tidemill.llm.common import without
 
 BLOCK_BYTES = 1_000_000
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -143,3 +148,28 @@ def span_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     total = np.zeros(len(values) + 1, np.int64)
     np.cumsum(values, out=total[1:])
     return total[ends] - total[starts]
+
+
+def with_text_columns(
+    docs: DataFrame,
+    text_col: str,
+    added: StructType,
+    compute: Callable[[pa.Array, np.ndarray, np.ndarray], list[pa.Array]],
+) -> DataFrame:
+    """``docs`` and the columns of ``added``, which ``compute`` makes of each block of whole texts.
+
+    Input columns called like an added one are replaced, whatever the case of their names.
+    """
+    docs = without(docs, added.names)
+    text_type = docs.schema[text_col].dataType
+    docs = docs if isinstance(text_type, StringType) else docs.withColumn(text_col, F.col(text_col).cast("string"))
+    schema = StructType([*docs.schema.fields, *added.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in text_blocks(batch.column(text_col)):
+                rows = batch.slice(a, b - a)
+                new = compute(rows.column(text_col), data, offsets)
+                yield pa.RecordBatch.from_arrays([*rows.columns, *new], names=schema.names)
+
+    return docs.mapInArrow(run, schema)

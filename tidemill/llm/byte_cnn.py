@@ -9,18 +9,19 @@ capitals) and to what is not (a chunk of repeated words excites few filters).
 ``fit`` trains on a bounded sample of labelled rows (``per_class`` rows of each class or about as many, texts of at most
 ``max_train_chars`` characters, whole); ``score`` reads every whole text. Null and empty texts are one
 chunk of padding and get the score of that. Without labels of both classes the score is the share of
-label 1, 0.5 if there are none. Repeated rows score alike; only id and text are read when scoring.
+label 1, 0.5 if there are none. Repeated rows score alike; only the text is read, the
+other columns pass through.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from tidemill.llm import blocks
 from tidemill.llm.sampling import bounded_sample
@@ -29,7 +30,7 @@ STEP = 4
 UNIT = 128  # bytes between places where chunks may start or end
 CHUNK, HOP = 4 * UNIT, 3 * UNIT
 EMBED, FILTERS, HIDDEN = 8, 24, 16
-SCHEMA = "doc_id bigint, score double, predicted int"
+ADDED = StructType([StructField("score", DoubleType()), StructField("predicted", IntegerType())])
 
 
 @dataclass
@@ -199,16 +200,11 @@ def fit(
     return train([r["_text"].encode() for r in rows], y, epochs, seed=seed)
 
 
-def score(docs: DataFrame, net: ByteNet, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``score`` and ``predicted`` of every row."""
+def score(docs: DataFrame, net: ByteNet, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """``docs`` and the columns ``score`` and ``predicted`` (1 from ``threshold`` on)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), 500_000):
-                p = probabilities(net, data, offsets)
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": batch.column("doc_id").slice(a, b - a), "score": p, "predicted": (p >= threshold).astype(np.int32)}
-                )
+    def compute(_: pa.Array, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        p = probabilities(net, data, offsets)
+        return [pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))]
 
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, SCHEMA)
+    return blocks.with_text_columns(docs, text_col, ADDED, compute)

@@ -8,7 +8,7 @@ rows (``per_language`` rows of each language or about as many, chosen by a hash
 
 ``score`` is the product of the logistic family and language confidences. ``und`` with score 0 goes
 to null texts, texts without a letter and all texts if nothing was learned. Rows with null ids are
-predicted like others; repeated rows get the same prediction; other columns are not looked at.
+predicted like others; repeated rows get the same prediction; the other columns pass through.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemill.llm import blocks
 from tidemill.llm.sampling import bounded_sample
@@ -45,7 +46,8 @@ UNDETERMINED = "und"
 BITS = 13
 SIZES = (2, 3, 4)
 SHARPNESS = 3.0  # margin to confidence
-SCHEMA = "doc_id bigint, lang_pred string, score double"
+FEATURE_ROWS = 256  # rows of features in memory at a time
+ADDED = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -187,20 +189,17 @@ def fit(
     return model
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``lang_pred`` and ``score`` of every row, from the whole text."""
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """``docs`` and the columns ``lang_pred`` and ``score``, from the whole text."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), 1_000_000):
-                texts = batch.column("text").slice(a, b - a)
-                letter = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
-                lang, score = np.full(b - a, UNDETERMINED, object), np.zeros(b - a)
-                for c in range(0, b - a, 256):  # rows of features in memory at a time
-                    cut = offsets[c : c + 257]
-                    lang[c : c + 256], score[c : c + 256] = model.predict(features(data[cut[0] : cut[-1]], cut - cut[0]))
-                lang[~letter], score[~letter] = UNDETERMINED, 0.0
-                yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(a, b - a), "lang_pred": lang.tolist(), "score": score})
-
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, SCHEMA)
+    def compute(texts: pa.Array, data: np.ndarray, offsets: np.ndarray) -> list[pa.Array]:
+        n = len(texts)
+        letter = pc.match_substring_regex(texts, r"\p{L}").fill_null(False).to_numpy(zero_copy_only=False)
+        lang, score = np.full(n, UNDETERMINED, object), np.zeros(n)
+        for a in range(0, n, FEATURE_ROWS):
+            cut = offsets[a : a + FEATURE_ROWS + 1]
+            lang[a : a + FEATURE_ROWS], score[a : a + FEATURE_ROWS] = model.predict(features(data[cut[0] : cut[-1]], cut - cut[0]))
+        lang[~letter], score[~letter] = UNDETERMINED, 0.0
+        return [pa.array(lang.tolist(), pa.string()), pa.array(score, pa.float64())]
+
+    return blocks.with_text_columns(docs, text_col, ADDED, compute)

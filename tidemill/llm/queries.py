@@ -98,7 +98,7 @@ def op8_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.withColumn("rate", F.round("rate", 9))
 
 
-def _held_out(modulus: int, remainder: int) -> Column:
+def held_out(modulus: int, remainder: int) -> Column:
     return (id_remainder("doc_id", modulus) == remainder).alias("held_out")
 
 
@@ -106,16 +106,16 @@ def _held_out(modulus: int, remainder: int) -> Column:
 def op1_byte_cnn_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Trained on labelled documents outside the held-out quarter; scores all."""
     docs = read(spark, folder, "documents")
-    net = byte_cnn.fit(docs.where(~_held_out(4, 2)), read(spark, folder, "labels"))
-    return byte_cnn.score(docs, net).select("doc_id", _held_out(4, 2), "score", "predicted")
+    net = byte_cnn.fit(docs.where(~held_out(4, 2)), read(spark, folder, "labels"))
+    return byte_cnn.score(docs.select("doc_id", "text"), net).select("doc_id", held_out(4, 2), "score", "predicted")
 
 
 @query("op2_language_id")
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Trained on documents with a language outside the held-out third; predicts all."""
     docs = read(spark, folder, "documents")
-    model = language_id.fit(docs.where(~_held_out(3, 1)))
-    return language_id.identify(docs, model).select("doc_id", _held_out(3, 1), "lang_pred", "score")
+    model = language_id.fit(docs.where(~held_out(3, 1)))
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out(3, 1), "lang_pred", "score")
 
 
 def bpe_ranks() -> bytes:
