@@ -150,8 +150,9 @@ def _gradients(net: ByteNet, data: np.ndarray, offsets: np.ndarray, y: np.ndarra
     return [d_embed, d_first, d_second, d_pooled.sum(0), d_hidden, d_hidden_bias, d_out, d_out_bias]
 
 
-def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 32, rate: float = 4e-3, seed: int = 42) -> ByteNet:
-    """Adam on the logistic loss, both classes weighing the same."""
+def train(texts: list[bytes], labels: np.ndarray, epochs: int = 12, batch: int = 32, rate: float = 4e-3, seed: int = 42, min_steps: int = 500) -> ByteNet:
+    """Adam on the logistic loss, both classes weighing the same. Small samples get more epochs."""
+    epochs = max(epochs, -(-min_steps // -(-len(texts) // batch)))
     net, rng = new_net(seed), np.random.default_rng(seed)
     weight = np.where(labels > 0, 0.5 / max((labels > 0).mean(), 1e-9), 0.5 / max((labels == 0).mean(), 1e-9))
     slow = [np.zeros_like(p) for p in net.parameters()]
