@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing, near_dedup
+from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing, near_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,3 +141,19 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_minhash_dedup")
 def op9_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, folder, "documents"))
+
+
+TOPK_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+e AS (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS d FROM v),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.d = b.d AND a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id GROUP BY ALL),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op3_topk_search", TOPK_SQL)
+def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
