@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, language_id, line_cleaning, mixing, near_dedup, topk_search
+from tidemill.llm import byte_bpe, byte_cnn, chat_format, language_id, line_cleaning, mixing, near_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +157,31 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query("op3_topk_search", TOPK_SQL)
 def op3_topk_search(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, text, len(regexp_extract_all(text, '[^ \n]+')) AS words FROM conversations),
+calls AS (SELECT conv_id, turn, conv_id || '-' || turn AS call_id, text, words FROM c WHERE role = 'user'),
+results AS (SELECT conv_id, turn, conv_id || '-' || (turn - 1) AS call_id, text FROM c WHERE role = 'assistant'),
+e AS (
+  SELECT conv_id, 2 * turn AS place, 0 AS step, 'message' AS kind, NULL AS call_id, NULL AS name, 'plain' AS status, '' AS errors,
+         '{"content":' || to_json(text) || ',"role":' || to_json(role) || '}' AS json FROM c WHERE role <> 'assistant'
+  UNION ALL
+  SELECT conv_id, 2 * turn + 1, 1, 'call', call_id, 'answer',
+         CASE WHEN EXISTS (SELECT 1 FROM results r WHERE r.conv_id = calls.conv_id AND r.call_id = calls.call_id) THEN 'answered' ELSE 'open' END,
+         concat_ws('; ', CASE WHEN length(text) < 1 THEN 'question is too short' END, CASE WHEN length(text) > 1000 THEN 'question is too long' END,
+                   CASE WHEN words < 1 THEN 'words is too small' END, CASE WHEN words > 200 THEN 'words is too large' END),
+         '{"arguments":{"question":' || to_json(text) || ',"words":' || words || '},"id":"' || call_id || '","name":"answer","role":"assistant"}' FROM calls
+  UNION ALL
+  SELECT conv_id, 2 * turn, 0, 'result', call_id, NULL,
+         CASE WHEN EXISTS (SELECT 1 FROM calls q WHERE q.conv_id = r.conv_id AND q.call_id = r.call_id) THEN 'linked' ELSE 'orphan' END, '',
+         '{"content":' || to_json(text) || ',"role":"tool","tool_call_id":"' || call_id || '"}' FROM results r)
+SELECT conv_id, CAST(place AS BIGINT) AS place, step, kind, call_id, name, status, errors, json FROM e
+"""
+
+
+@query("op7_chat_format", CHAT_SQL)
+def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as tool calls and results, linked, ordered, validated and written as JSON."""
+    messages = chat_format.as_tool_messages(read(spark, folder, "conversations"))
+    return chat_format.format_chat(messages, chat_format.ANSWER_SCHEMA).withColumn("errors", F.array_join("errors", "; "))
