@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, chat_format, language_id, line_cleaning, mixing, near_dedup, topk_search
+from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, language_id, line_cleaning, mixing, near_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +185,9 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as tool calls and results, linked, ordered, validated and written as JSON."""
     messages = chat_format.as_tool_messages(read(spark, folder, "conversations"))
     return chat_format.format_chat(messages, chat_format.ANSWER_SCHEMA).withColumn("errors", F.array_join("errors", "; "))
+
+
+@query("op4_html_extract")
+def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_extract.extract(read(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
