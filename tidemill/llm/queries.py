@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, language_id, line_cleaning, mixing, near_dedup, topk_search
+from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, katz, language_id, line_cleaning, mixing, near_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +191,8 @@ def op7_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     found = html_extract.extract(read(spark, folder, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+@query("op6_katz_scores")
+def op6_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.katz_scores(read(spark, folder, "documents"), held_out(7, 2))
