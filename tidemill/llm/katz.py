@@ -18,7 +18,7 @@ unseen pair backs off from, and rare words. (3) Rare words meet the word counts,
 alpha, and the parts of a text are added up. The counts of the ``FREQUENT`` most frequent words travel with
 the plan: a fixed bound; all other words are joined.
 
-Words are 64-bit hashes; the second word of a pair keeps 40 bits. Null texts count as empty (one token,
+Words are 64-bit hashes; the second word of a pair keeps 48 bits. Null texts count as empty (one token,
 the end). Rows with equal ids are scored one by one; a null id is scored like others. Without training
 texts every unknown word has probability one, so scores are 0. Other columns are ignored.
 """
@@ -42,6 +42,7 @@ CHUNK_TOKENS, CHUNK_TEXTS = 3_000_000, 1 << 14
 BUCKET_TOKENS, MIN_BUCKETS, MAX_BUCKETS = 400_000, 512, 1 << 20
 TASK_TOKENS, MIN_TASKS = 8_000_000, 16
 FREQUENT = 1 << 18
+CODE_BYTES = 6
 FLUSH_TEXTS = 600_000  # texts whose sums a task holds
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 HELD, SAME = 1 << 14, 1 << 15  # flags beside the text's number
@@ -51,8 +52,8 @@ _U = np.uint64
 
 
 def short(words: np.ndarray) -> np.ndarray:
-    """The 40 bits of a word that stand for it as the second of a pair."""
-    return (words >> _U(24)).astype(np.int64)
+    """The bits of a word that stand for it as the second of a pair."""
+    return (words >> _U(64 - 8 * CODE_BYTES)).astype(np.int64)
 
 
 def good_turing(n: list[int]) -> list[float]:
@@ -80,7 +81,7 @@ class Words:
     discounts: list[float]
     total: int  # denominator: n, or n + 1 where nothing is discounted
     unknown: float
-    codes: np.ndarray  # 40-bit codes of frequent words, ascending
+    codes: np.ndarray  # codes of frequent words, ascending
     shares: np.ndarray  # their probabilities
     split_words: np.ndarray  # words split by the next word, ascending
     split_counts: np.ndarray
@@ -227,9 +228,9 @@ def pack_occurrences(slim: DataFrame, known: Words) -> DataFrame:
             rows: tuple[list, list] = ([], [])
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 first = np.flatnonzero(new_history[a:b])
-                five = code[a:b][new_pair[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :5].reshape(-1)
+                packed = code[a:b][new_pair[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].reshape(-1)
                 often = np.flatnonzero(times[a:b] > 1)
-                arrays = [history[a:b][first], np.diff(np.append(first, b - a)).astype(np.int32), five, mark[a:b], often.astype(np.int32), times[a:b][often].astype(np.int32)]
+                arrays = [history[a:b][first], np.diff(np.append(first, b - a)).astype(np.int32), packed, mark[a:b], often.astype(np.int32), times[a:b][often].astype(np.int32)]
                 rows[0].append(int(bucket[a]))
                 rows[1].append(_pack(arrays))
             about = _pack([np.array([i if i is not None else 0 for i in chunk.ids], np.int64), np.array([i is None for i in chunk.ids], np.uint8), chunk.held.astype(np.uint8), chunk.lengths.astype(np.int32)])
@@ -248,9 +249,9 @@ def _read_bucket(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
     """History, code, chunk, text, held and count of all entries of a bucket."""
     out = []
     for k, (_, data) in enumerate(rows):
-        histories, sizes, five, mark, often, times = _unpack(data, ["u8", "i4", "u1", "u2", "i4", "i4"])
-        codes = np.zeros((len(five) // 5, 8), np.uint8)
-        codes[:, :5] = five.reshape(-1, 5)
+        histories, sizes, packed, mark, often, times = _unpack(data, ["u8", "i4", "u1", "u2", "i4", "i4"])
+        codes = np.zeros((len(packed) // CODE_BYTES, 8), np.uint8)
+        codes[:, :CODE_BYTES] = packed.reshape(-1, CODE_BYTES)
         codes = codes.reshape(-1).view("<i8")
         count = np.ones(len(mark), np.int64)
         count[often] = times
@@ -431,7 +432,7 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     slim = _slim(docs, held, id_col, text_col)
     words = scratch_path(spark, "words")
     known = count_words(slim, words)
-    counts = spark.read.parquet(words).select(F.shiftrightunsigned("word", 24).alias("code"), "n").groupBy("code").agg(F.max("n").alias("n"))
+    counts = spark.read.parquet(words).select(F.shiftrightunsigned("word", 64 - 8 * CODE_BYTES).alias("code"), "n").groupBy("code").agg(F.max("n").alias("n"))
 
     tasks = max(MIN_TASKS, known.n // TASK_TOKENS)
     packed = pack_occurrences(slim, known).repartition(tasks, "bucket").sortWithinPartitions("bucket")
