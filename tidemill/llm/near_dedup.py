@@ -9,9 +9,11 @@ they are past the latest register of the text.
 1. Texts with the same words are copies and count as one node (a 128-bit fingerprint).
 2. Signatures are cut into ``BANDS`` bands; nodes that share a band are candidates. Similarity 0.8 misses
    all bands with probability below 1e-4.
-3. In each band bucket all nodes are verified against one hub by their exact J_P. Buckets that still hold
-   several components are compared block by block on whole signatures, inside tasks, and what may reach
-   the threshold (four standard deviations below it) is verified exactly too.
+3. In each band bucket all nodes are verified by their exact J_P against one hub: the node that shares
+   the most bands with others, which in a group of copies is the likeliest original. Buckets that still
+   hold several components are compared block by block on whole signatures, inside tasks, and what may
+   reach the threshold (four standard deviations below it) is verified exactly too: first the likeliest
+   ``FIRST_PARTNERS`` of each node, as they join most components, then all that are still apart.
 4. Components of the verified links are the classes.
 
 No bucket is cut or skipped, and no pair is written that is not verified. Texts of one to four words are
@@ -37,6 +39,7 @@ SHINGLE = 5
 BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK = 256  # nodes of a bucket compared at a time
+FIRST_PARTNERS = 4
 NODES = "doc_id bigint, node binary, signature binary, bands array<bigint>"
 
 _U = np.uint64
@@ -166,11 +169,12 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def _cross_pairs(members: DataFrame, threshold: float) -> DataFrame:
+def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> DataFrame:
     """Pairs of nodes of one bucket but of different components whose signatures may reach the threshold.
 
     ``members`` has ``band, n, node, component, signature``. A bucket is dealt into blocks of about
-    ``BLOCK`` nodes; each pair of blocks is one row, compared inside its task.
+    ``BLOCK`` nodes; each pair of blocks is one row, compared inside its task. With ``most``, a node gives
+    its likeliest pairs with each block only.
     """
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
@@ -192,7 +196,10 @@ def _cross_pairs(members: DataFrame, threshold: float) -> DataFrame:
                 found = []
                 for i in range(len(x)):
                     agree = (one[i] == two).sum(1)
-                    found += [(x[i]["node"], y[j]["node"]) for j in np.flatnonzero((agree >= least) & (d != c[i]))]
+                    apart = np.flatnonzero((agree >= least) & (d != c[i]))
+                    if most is not None:
+                        apart = apart[np.argsort(-agree[apart], kind="stable")[:most]]
+                    found += [(x[i]["node"], y[j]["node"]) for j in apart]
                 found = [(min(p), max(p)) for p in found]
                 yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in found], pa.binary()) for s in (0, 1)], names=["a", "b"])
 
@@ -205,27 +212,32 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     one = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     # Copies have equal bands: distinct (band, node) pairs combine before the shuffle.
     banded = materialize(rows.where("node IS NOT NULL").select(F.explode("bands").alias("band"), "node").distinct(), "bands")
-    buckets = banded.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(banded.join(materialize(buckets, "buckets"), "band"), "members")
-    pairs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = materialize(pairs, "pairs")
+    buckets = materialize(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    crowd = materialize(banded.join(buckets, "band"), "crowd")
+    shared = materialize(crowd.groupBy("node").agg(F.sum("n").alias("shared")), "shared")
+    hubs = crowd.join(shared, "node").groupBy("band").agg(F.max(F.struct("shared", "node"))["node"].alias("hub"))
+    members = materialize(crowd.join(materialize(hubs, "hubs"), "band"), "members")
+    pairs = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    tested = materialize(pairs, "pairs")
     wanted = materialize(one.join(members.select("node").distinct(), "node"), "candidates")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = _own_texts(lookup_join(texts, wanted, ["doc_id"], "inner"))
     texts = materialize(texts, "texts")
-    links = materialize(_verify(pairs, texts, threshold), "verified")
+    links = materialize(_verify(tested, texts, threshold), "verified")
     parts = connected_components(links)
-
-    parted = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = parted.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("k"))
-    mixed = materialize(mixed.where("c <> d AND k > 2").select("band"), "mixed")
-    prints = rows.where("node IS NOT NULL").select("node", "signature").join(members.select("node").distinct(), "node", "left_semi")
-    signed = parted.join(mixed, "band", "left_semi").join(prints.dropDuplicates(["node"]), "node")
-    more = _cross_pairs(signed.select("band", "n", "node", "component", "signature"), threshold)
-    more = more.join(pairs, ["a", "b"], "left_anti")
-    further = materialize(_verify(more, texts, threshold), "verified")
-    if not further.isEmpty():
-        parts = connected_components(links.unionByName(further))
+    prints = rows.where("node IS NOT NULL").select("node", "signature")
+    prints = prints.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    for most in (FIRST_PARTNERS, None):
+        parted = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = parted.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("k"))
+        mixed = materialize(mixed.where("c <> d AND k > 2").select("band"), "mixed")
+        signed = parted.join(mixed, "band", "left_semi").join(prints, "node")
+        more = _cross_pairs(signed.select("band", "n", "node", "component", "signature"), threshold, most)
+        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
+        further = materialize(_verify(more, texts, threshold), "verified")
+        tested, links = tested.unionByName(more), links.unionByName(further)
+        if not further.isEmpty():
+            parts = connected_components(links)
 
     placed = rows.select("doc_id", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     placed = materialize(placed.select("doc_id", "component"), "placed")
