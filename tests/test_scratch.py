@@ -2,25 +2,42 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-from tidemill.plans.scratch import SETTING, materialize, scratch_path
+import pytest
 
+from tidemill.plans import scratch
+from tidemill.plans.scratch import SETTING, WAREHOUSE, materialize, scratch_path
 
-def fake(folder):
+
+def fake(**settings):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: folder if key == SETTING else default),
-        sparkContext=SimpleNamespace(applicationId="app-without-setting"),
+        conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)),
+        sparkContext=SimpleNamespace(applicationId="app-7", _jsc=None),
     )
 
 
 def test_the_folder_of_the_cluster_is_used():
-    path = scratch_path(fake("hdfs://shared/checkpoints/"), "x")
-    assert path.startswith("hdfs://shared/checkpoints/tidemill/x-")
+    path = scratch_path(fake(**{SETTING: "hdfs://shared/checkpoints/", WAREHOUSE: "hdfs://w"}), "x")
+    assert path.startswith("hdfs://shared/checkpoints/tidemill/app-7/x-")
 
 
-def test_one_private_folder_where_none_is_named():
-    first, second = (scratch_path(fake(None), "x") for _ in range(2))
+def test_the_warehouse_where_none_is_named():
+    first, second = (scratch_path(fake(**{WAREHOUSE: "hdfs://w"}), "x") for _ in range(2))
     assert first != second
-    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == "hdfs://w/tidemill/app-7"
+    with pytest.raises(ValueError, match="shared folder"):
+        scratch_path(fake(), "x")
+
+
+def test_tables_are_deleted_at_the_end(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(scratch, "_written", {})
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    folder = path.rsplit("/", 1)[0]
+    monkeypatch.setattr(scratch, "_written", {path: spark})  # this table only
+    scratch.clean_up()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert scratch._written == {} and folder.endswith(spark.sparkContext.applicationId)
 
 
 def test_materialized_rows(spark):

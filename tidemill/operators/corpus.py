@@ -11,13 +11,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_unit, wide_draw
-from tidemill.plans import lookup_join, materialize, param_join, prefix_sum
+from tidemill.plans import lookup_join, materialize, param_join, prefix_sum, previous
 from tidemill.plans.ordered import ranked_ids
 
 # Defaults of the training set-up.
@@ -28,8 +27,8 @@ EVAL_ITERS = 200
 SEED = 1337
 SPLITS = ("train", "val")
 
-DOCS_PER_RANGE = 100_000  # documents one task puts in order
 CODE_POINTS = 0x110000  # no alphabet can have more characters
+PAGE = 256  # code points of one page of a codec
 
 
 def chars(text: Column | str) -> Column:
@@ -63,33 +62,47 @@ def vocab_size(corpus: DataFrame) -> DataFrame:
     return alphabet(corpus).agg(F.count(F.lit(1)).alias("vocab_size"))
 
 
+def _folded(numbers: Sequence[int]) -> Column:
+    """A constant array of integers: one text literal that Spark folds, whatever its length."""
+    return F.split(F.lit(" ".join(map(str, numbers))), " ").cast("array<int>")
+
+
 @dataclass(frozen=True)
 class CharCodec:
     """Column expressions between characters and ids.
 
-    Ids sit in an array addressed by code point, so a lookup costs the same for any alphabet.
+    Ids sit in pages of ``PAGE`` code points; page 0 stands for all pages without a character. A lookup
+    is two array accesses, and the literals hold the used pages only.
     """
 
-    by_code_point: np.ndarray
-    tokens: list[str]
+    page_of: list[int]
+    table: list[int]
+    tokens: str
 
     @classmethod
     def of(cls, vocab: DataFrame) -> CharCodec:
         rows = vocab.limit(CODE_POINTS + 1).collect()
         if len(rows) > CODE_POINTS:
             raise ValueError("a character vocabulary has at most one entry per code point")
+        ids = {ord(r["token"]): r["id"] for r in rows}
+        used = {page: k + 1 for k, page in enumerate(sorted({c // PAGE for c in ids}))}
         # the last slot stands for everything outside the alphabet
-        table = np.full(max((ord(r["token"]) for r in rows), default=0) + 2, -1, dtype=np.int32)
-        names = [""] * (max((r["id"] for r in rows), default=-1) + 1)
-        for r in rows:
-            table[ord(r["token"])] = r["id"]
-            names[r["id"]] = r["token"]
-        return cls(table, names)
+        page_of = [used.get(page, 0) for page in range(max(used, default=-1) + 2)]
+        table = [-1] * PAGE * (len(used) + 1)
+        for code, i in ids.items():
+            table[used[code // PAGE] * PAGE + code % PAGE] = i
+        return cls(page_of, table, "".join(chr(c) for c in sorted(ids, key=ids.__getitem__)))
 
     def ids(self, text: Column, on_unknown: str = "error") -> Column:
         """``text`` -> array of ids; an unknown character raises or becomes null."""
-        table, last = F.lit(self.by_code_point), F.lit(len(self.by_code_point) - 1)
-        found = F.transform(chars(text), lambda c: F.get(table, F.least(F.ascii(c), last)))
+        page_of, table, last = _folded(self.page_of), _folded(self.table), F.lit(len(self.page_of) - 1)
+
+        def one(c: Column) -> Column:
+            code = F.ascii(c)
+            page = F.get(page_of, F.least(F.shiftright(code, 8), last))
+            return F.get(table, page * PAGE + code.bitwiseAND(F.lit(PAGE - 1)))
+
+        found = F.transform(chars(text), one)
         if on_unknown == "null":
             found = F.transform(found, lambda i: F.nullif(i, F.lit(-1)))
         else:
@@ -103,7 +116,7 @@ class CharCodec:
         return F.when(text == "", F.array().cast("array<int>")).otherwise(found)
 
     def text(self, ids: Column) -> Column:
-        names = F.lit(self.tokens)
+        names = chars(F.lit(self.tokens))
         return F.array_join(F.transform(ids, lambda i: F.get(names, i)), "")
 
 
@@ -130,13 +143,16 @@ def corpus_length(corpus: DataFrame) -> DataFrame:
 
 
 def placed(corpus: DataFrame) -> DataFrame:
-    """Documents with their length ``n`` and position ``start`` in the whole stream."""
+    """Documents with their length ``n`` and position ``start`` in the whole stream.
+
+    Only ids and lengths are put in order; the starts then meet the texts where those are.
+    """
     sized = non_empty(corpus).select(
         "doc_id", "text", F.char_length("text").cast("bigint").alias("n")
     )
-    return prefix_sum(sized, "doc_id", ["n"], rows_per_range=DOCS_PER_RANGE).select(
-        "doc_id", "text", "n", (F.col("cum_n") - F.col("n")).alias("start")
-    )
+    summed = prefix_sum(sized.select("doc_id", "n"), "doc_id", ["n"])
+    starts = summed.select("doc_id", (F.col("cum_n") - F.col("n")).alias("start"))
+    return lookup_join(sized, materialize(starts, "starts"), ["doc_id"], "inner")
 
 
 def global_position(corpus: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -409,13 +425,27 @@ def _smoothed(pairs: DataFrame, train_counts: DataFrame, size: int, how_many: Co
     return placed_pairs.withColumn("weight", how_many).withColumn("nll", -F.ln(p))
 
 
+def stream_bigram_counts(pieces: DataFrame) -> DataFrame:
+    """Counts per split of all adjacent pairs of its stream, those across piece borders included.
+
+    A border needs the ends of two pieces only, so one row per piece is put in order.
+    """
+    ends = pieces.select(
+        "split", "spos", F.substring("text", 1, 1).alias("first"), F.expr("right(text, 1)").alias("last")
+    )
+    across = previous(ends, "spos", ["last"], ["split"]).where("prev_last IS NOT NULL")
+    counted = across.groupBy("split", F.col("prev_last").alias("prev"), F.col("first").alias("next"))
+    both = bigram_counts(pieces, "split").unionByName(counted.agg(F.count(F.lit(1)).alias("n")))
+    return both.groupBy("split", "prev", "next").agg(F.sum("n").alias("n"))
+
+
 def bigram_loss(pieces: DataFrame, size: int) -> DataFrame:
     """Mean cross-entropy of the next character per split, under add-one smoothed train counts.
 
     ``size`` is the number of symbols. Equal pairs are counted first, so the join runs on distinct
     pairs, not on tokens.
     """
-    counts = materialize(bigram_counts(pieces, "split"), "bigrams")
+    counts = materialize(stream_bigram_counts(pieces), "bigrams")
     train = counts.where(F.col("split") == "train").drop("split")
     rated = _smoothed(counts, train, size, F.col("n"))
     return rated.groupBy("split").agg(
@@ -508,11 +538,11 @@ def word_tokens(texts: DataFrame, *keys: str) -> DataFrame:
 
 
 def embedding_lookup(token_ids: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """Attach the vector of every token; ids beyond the table wrap around."""
-    size = embeddings.agg(F.count(F.lit(1)).alias("n"))
-    keyed = token_ids.withColumn("vec_id", F.pmod(F.col("id"), size.scalar()))
-    vectors = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
-    return lookup_join(keyed, vectors, ["vec_id"])
+    """Attach the vector of every token; an id that the table does not have gets null."""
+    vectors = embeddings.select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+    return lookup_join(token_ids, vectors, ["id"])
 
 
 def positional_vector(pos: Column, width: int) -> Column:
@@ -532,13 +562,13 @@ def positional_encoding(positions: DataFrame, width: int) -> DataFrame:
     )
 
 
-def encoder_input(embedded: DataFrame, width: int) -> DataFrame:
+def encoder_input(embedded: DataFrame, positions: DataFrame, width: int) -> DataFrame:
     """Token vector plus position vector, element by element.
 
-    Position vectors are worked out once per position and looked up.
+    Vectors are worked out once for each row of ``positions (pos)`` and looked up. The caller takes the
+    positions from the texts, so that the token vectors are not joined twice.
     """
-    places = embedded.select("pos").distinct()
-    encoded = places.withColumn("_place", positional_vector(F.col("pos"), width))
+    encoded = positions.withColumn("_place", positional_vector(F.col("pos"), width))
     return (
         param_join(embedded, encoded, ["pos"])
         .withColumn("vector", F.zip_with("vector", "_place", lambda a, b: a + b))

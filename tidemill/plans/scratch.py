@@ -1,34 +1,51 @@
 """Shared scratch tables.
 
-Intermediate tables go to the folder named in ``spark.checkpoint.dir`` so that they survive the
-loss of executors. A private temporary folder is used only where that setting is absent (tests).
+Intermediate tables go to the folder named in ``spark.checkpoint.dir``, so that they survive the loss
+of executors; where that is unset, below ``spark.sql.warehouse.dir``, which all executors share as well.
+They are deleted when the driver's Python ends.
 """
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-SETTING = "spark.checkpoint.dir"
+SETTING, WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
 
-_private: dict[str, str] = {}  # application id -> folder, where the setting is absent
+_written: dict[str, SparkSession] = {}  # folder of an application -> its session
 
 
 def shared_folder(spark: SparkSession) -> str:
-    base = spark.conf.get(SETTING, None)
-    if base:
-        return base
-    app = spark.sparkContext.applicationId
-    if app not in _private:
-        _private[app] = tempfile.mkdtemp(prefix="run-")
-    return _private[app]
+    base = spark.conf.get(SETTING, None) or spark.conf.get(WAREHOUSE, None)
+    if not base:
+        raise ValueError(f"intermediate tables need a shared folder: set {SETTING}")
+    return f"{base.rstrip('/')}/tidemill/{spark.sparkContext.applicationId}"
+
+
+def _delete(folder: str, spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context._jsc is None:  # the session has ended before
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clean_up() -> None:
+    """Delete the scratch tables of all sessions that still run."""
+    while _written:
+        _delete(*_written.popitem())
+
+
+atexit.register(clean_up)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared checkpoint folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tidemill/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder."""
+    folder = shared_folder(spark)
+    _written[folder] = spark
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -60,7 +60,7 @@ word_ids AS (SELECT conv_id, turn, CAST(pos AS INT) AS pos, word, id FROM word_r
 
 PAIR_COUNTS = """
 pairs AS (
-SELECT doc_id, split, s, c AS prev, lead(c) OVER (PARTITION BY doc_id, split ORDER BY p) AS next FROM split_stream),
+SELECT doc_id, split, s, c AS prev, lead(c) OVER (PARTITION BY split ORDER BY s) AS next FROM split_stream),
 counts AS (SELECT prev, next, count(*) AS n FROM pairs WHERE split = 'train' AND next IS NOT NULL GROUP BY ALL),
 row_totals AS (SELECT prev, sum(n) AS c_prev FROM counts GROUP BY prev)"""
 
@@ -286,7 +286,7 @@ def sampled_loss(spark, folder):
 def batch_losses(spark, folder) -> DataFrame:
     corpus, pieces, sizes = _stream(spark, folder)
     size = co.vocab_size(corpus).first()["vocab_size"]
-    train = co.bigram_counts(pieces.where(F.col("split") == "train"))
+    train = co.stream_bigram_counts(pieces.where(F.col("split") == "train")).drop("split")
     return co.batch_losses(_windows(pieces, sizes), train, size)
 
 
@@ -329,7 +329,8 @@ WHERE p > last_p - 128 GROUP BY doc_id""",
 )
 def crop_context(spark, folder):
     corpus = co.non_empty(views.corpus(spark, folder))
-    encoded = co.encode(corpus, co.build_vocab(corpus))
+    tail = corpus.select("doc_id", F.expr(f"right(text, {co.BLOCK_SIZE})").alias("text"))
+    encoded = co.encode(tail, co.build_vocab(corpus))
     return encoded.withColumn("ids", co.crop_context(F.col("ids"))).select("doc_id", joined("ids"))
 
 
@@ -342,6 +343,12 @@ def word_tokens(spark, folder):
     return _word_ids(spark, folder)
 
 
+def _wrapped_ids(spark, folder, vectors: DataFrame) -> DataFrame:
+    """Word ids modulo the size of the vector table, which has fewer rows than there are words."""
+    size = vectors.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return _word_ids(spark, folder).withColumn("id", F.pmod("id", size))
+
+
 def _vector_check(df: DataFrame) -> DataFrame:
     """Whole vectors reduced to a sum weighted by dimension, plus both ends."""
     weighted = F.zip_with(
@@ -368,7 +375,7 @@ FROM word_ids JOIN sums ON vec_id = id % (SELECT count(*) FROM embeddings)""",
 )
 def embedding_lookup(spark, folder):
     vectors = views.table(spark, folder, "embeddings")
-    return _vector_check(co.embedding_lookup(_word_ids(spark, folder), vectors))
+    return _vector_check(co.embedding_lookup(_wrapped_ids(spark, folder, vectors), vectors))
 
 
 @query(
@@ -399,8 +406,9 @@ FROM inputs GROUP BY ALL""",
 )
 def encoder_input(spark, folder):
     vectors = views.table(spark, folder, "embeddings")
-    embedded = co.embedding_lookup(_word_ids(spark, folder), vectors)
-    return _vector_check(co.encoder_input(embedded, WIDTH))
+    embedded = co.embedding_lookup(_wrapped_ids(spark, folder, vectors), vectors)
+    positions = co.words(views.conversations(spark, folder)).select("pos").distinct()
+    return _vector_check(co.encoder_input(embedded, positions, WIDTH))
 
 
 @query(
