@@ -7,6 +7,9 @@ follows its longest text, not its number of rows.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import sys
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -21,6 +24,8 @@ from tidemill.llm.common import without
 BLOCK_BYTES = 1_000_000
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
+_libc = ctypes.CDLL("libc.so.6") if sys.platform == "linux" and ctypes.util.find_library("c") == "libc.so.6" else None
+
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[np.frombuffer(SPACES, np.uint8)] = False
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
@@ -48,6 +53,15 @@ def text_blocks(texts: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple
         last = min(max(last, first + 1), len(texts))
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system. Workers are kept for later tasks, and allocators keep what
+    was freed, so that idle workers would hold the memory of their largest batch."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def runs(wanted: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

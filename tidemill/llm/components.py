@@ -22,12 +22,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     labels = materialize(labels, "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component")
-        least = labels.unionByName(near).groupBy("node").agg(F.min("component").alias("component"))
+        own = labels.withColumn("before", F.col("component"))
+        least = own.unionByName(near, allowMissingColumns=True).groupBy("node")
+        least = least.agg(F.min("component").alias("component"), F.min("before").alias("before"))
         least = materialize(least, "labels")
+        if least.where("component <> before").isEmpty():
+            return least.select("node", "component")
         jump = least.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        new = least.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
-        new = materialize(new, "labels")
-        changed = new.join(labels.withColumnRenamed("component", "before"), "node").where("component <> before")
-        if changed.isEmpty():
-            return new
-        labels = new
+        labels = least.join(jump, "component", "left").select("node", F.least("component", "further").alias("component"))
+        labels = materialize(labels, "labels")

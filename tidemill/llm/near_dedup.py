@@ -12,7 +12,7 @@ they are past the latest register of the text.
 3. In each band bucket all nodes are verified by their exact J_P against one hub: the node that shares
    the most bands with others, which in a group of copies is the likeliest original. Buckets that still
    hold several components are compared block by block on whole signatures, inside tasks, and what may
-   reach the threshold (four standard deviations below it) is verified exactly too: first the likeliest
+   reach the threshold (four standard deviations of a longer signature below it) is verified exactly too: first the likeliest
    ``FIRST_PARTNERS`` of each node, as they join most components, then all that are still apart.
 4. Components of the verified links are the classes.
 
@@ -40,7 +40,8 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK = 256  # nodes of a bucket compared at a time
 FIRST_PARTNERS = 4
-NODES = "doc_id bigint, node binary, signature binary, bands array<bigint>"
+LONG = 4 * REGISTERS  # registers of the nodes that are compared pair by pair
+NODES = "doc_id bigint, node binary, bands array<bigint>"
 
 _U = np.uint64
 
@@ -73,27 +74,27 @@ def _bytes(values: np.ndarray) -> list[bytes]:
     return [whole[i : i + 8] for i in range(0, len(whole), 8)]
 
 
-def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """``n`` x ``REGISTERS`` winning shingles. Arrival number k of a shingle depends on nothing but both."""
-    time, winner = np.full(n * REGISTERS, np.inf), np.zeros(n * REGISTERS, _U)
+def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
+    """``n`` x ``registers`` winning shingles. Arrival number k of a shingle depends on nothing but both."""
+    time, winner = np.full(n * registers, np.inf), np.zeros(n * registers, _U)
     now = np.zeros(len(owner))
     k = 0
     while len(owner):
         k += 1
         draw = blocks.mix(element + _U(k * 0xA24BAED4963EE407 % 2**64))
         now = now - np.log(((draw >> _U(11)).astype(np.float64) + 1) * 2.0**-53) / weight
-        slot = owner * REGISTERS + (blocks.mix(draw ^ _U(0xC2B2AE3D27D4EB4F)) % _U(REGISTERS)).astype(np.int64)
+        slot = owner * registers + (blocks.mix(draw ^ _U(0xC2B2AE3D27D4EB4F)) % _U(registers)).astype(np.int64)
         np.minimum.at(time, slot, now)
         won = now == time[slot]
         winner[slot[won]] = element[won]
-        latest = time.reshape(n, REGISTERS).max(1)
+        latest = time.reshape(n, registers).max(1)
         go_on = now < latest[owner]
         owner, element, weight, now = owner[go_on], element[go_on], weight[go_on], now[go_on]
-    return winner.reshape(n, REGISTERS)
+    return winner.reshape(n, registers)
 
 
 def nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id``, ``node`` (fingerprint, null without words), signature (32 bits a register) and bands."""
+    """``doc_id``, ``node`` (fingerprint, null without words) and the hashes of its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(ROWS)], _U)
@@ -103,15 +104,13 @@ def nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 found = signatures(owner, element, weight, b - a)
                 cut = found.reshape(b - a, BANDS, ROWS)
                 bands = blocks.mix((cut * factors).sum(2, dtype=_U) + np.arange(BANDS, dtype=_U) * _U(0xD6E8FEB86659FD93)).view(np.int64)
-                compact = found.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
                         pa.array(prints, pa.binary()),
-                        pa.array([row.tobytes() for row in compact], pa.binary()),
                         pa.FixedSizeListArray.from_arrays(pa.array(bands.reshape(-1)), BANDS).cast(pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "node", "signature", "bands"],
+                    names=["doc_id", "node", "bands"],
                 )
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -165,6 +164,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 y = weights(b[k], batch.column("text_b")[k].as_py())
                 keep.append(probability_jaccard(x, y) >= threshold - 1e-12)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            blocks.give_back()
 
     return rows.mapInArrow(run, "a binary, b binary")
 
@@ -182,14 +182,14 @@ def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> Data
     packed = materialize(packed, "blocks")  # both sides of the join read it
     left = packed.select("band", F.col("rows").alias("rows_a"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"))
     right = packed.select("band", F.col("block").alias("j"), F.col("rows").alias("rows_b"))
-    least = (threshold - 4 * (threshold * (1 - threshold) / REGISTERS) ** 0.5) * REGISTERS
+    least = (threshold - 4 * (threshold * (1 - threshold) / LONG) ** 0.5) * LONG
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(len(batch)):
                 x, y = batch.column("rows_a")[k].as_py(), batch.column("rows_b")[k].as_py()
-                one = np.frombuffer(b"".join(r["signature"] for r in x), np.uint32).reshape(len(x), REGISTERS)
-                two = np.frombuffer(b"".join(r["signature"] for r in y), np.uint32).reshape(len(y), REGISTERS)
+                one = np.frombuffer(b"".join(r["signature"] for r in x), np.uint32).reshape(len(x), LONG)
+                two = np.frombuffer(b"".join(r["signature"] for r in y), np.uint32).reshape(len(y), LONG)
                 number: dict[bytes, int] = {}
                 c = np.array([number.setdefault(r["component"], len(number)) for r in x])
                 d = np.array([number.setdefault(r["component"], len(number)) for r in y])
@@ -225,14 +225,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     texts = materialize(texts, "texts")
     links = materialize(_verify(tested, texts, threshold), "verified")
     parts = connected_components(links)
-    prints = rows.where("node IS NOT NULL").select("node", "signature")
-    prints = prints.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    prints: DataFrame | None = None
     for most in (FIRST_PARTNERS, None):
         parted = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = parted.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("k"))
         mixed = materialize(mixed.where("c <> d AND k > 2").select("band"), "mixed")
-        signed = parted.join(mixed, "band", "left_semi").join(prints, "node")
-        more = _cross_pairs(signed.select("band", "n", "node", "component", "signature"), threshold, most)
+        crowded = materialize(parted.join(mixed, "band", "left_semi").select("band", "n", "node", "component"), "crowded")
+        if prints is None:  # the second round needs no other nodes
+            prints = materialize(_long_signatures(texts.join(crowded.select("node").distinct(), "node", "left_semi")), "signatures")
+        signed = crowded.join(prints, "node")
+        more = _cross_pairs(signed, threshold, most)
         more = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
         further = materialize(_verify(more, texts, threshold), "verified")
         tested, links = tested.unionByName(more), links.unionByName(further)
@@ -251,6 +253,21 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
     )
 
 
+def _long_signatures(texts: DataFrame) -> DataFrame:
+    """``(node, signature)``, 32 bits of each register."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
+                owner, element, weight, _ = shingles(data, offsets)
+                found = signatures(owner, element, weight, b - a, LONG).astype(np.uint32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(a, b - a), pa.array([row.tobytes() for row in found], pa.binary())], names=["node", "signature"]
+                )
+
+    return texts.mapInArrow(run, "node binary, signature binary")
+
+
 def _own_texts(rows: DataFrame) -> DataFrame:
     """``(node, text)``, one row per node: of rows with one id, those whose text is the node's."""
 
