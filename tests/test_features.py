@@ -79,10 +79,11 @@ def test_onehot_of_unseen_and_null(people, spark):
     assert ft.encode_onehot(rows, "embarked", names, drop_first=True).columns[2:] == ["embarked_Q", "embarked_S"]
 
 
-def test_too_many_categories_is_an_error(spark):
-    many = spark.range(1_001).select(F.col("id").cast("string").alias("category"))
-    with pytest.raises(ValueError):
-        ft.category_list(many)
+def test_every_category_gets_a_column(spark):
+    df = spark.range(1_200).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"))
+    names = fe.category_list(fe.fit_categories(df, "c"))
+    assert len(names) == 1_200 and names == sorted(names)
+    assert len(fe.encode_onehot(df.limit(1), "c", names).columns) == 1_201
 
 
 def test_scaler_divides_by_population_deviation(people, spark):

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from tidemill.plans import materialize, prefix_sum
 
 CLIP = 1e-15
-ONE_RANGE_ROWS = 100_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -33,9 +32,7 @@ def score_counts(predictions: DataFrame) -> DataFrame:
 def cumulative(counts: DataFrame) -> DataFrame:
     """Counts at or above each score, with the totals ``p_all`` and ``n_all``."""
     totals = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    summed = prefix_sum(
-        counts, "score", ["pos", "neg"], descending=True, one_range_rows=ONE_RANGE_ROWS
-    )
+    summed = prefix_sum(counts, "score", ["pos", "neg"], descending=True)
     return summed.withColumns(
         {"p_all": F.lit(totals["p"] or 0), "n_all": F.lit(totals["n"] or 0)}
     )

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_bucket
-from tidemill.plans import exact_quantiles, param_join, small_table
+from tidemill.plans import exact_quantiles, materialize, param_join
 from tidemill.plans.ordered import ranked_ids
 
 # Names and borders of the bins, and the final feature set.
@@ -186,15 +186,9 @@ def fit_categories(train: DataFrame, column: str) -> DataFrame:
     return train.where(F.col(column).isNotNull()).select(F.col(column).alias("category")).distinct()
 
 
-MAX_ONEHOT = 1_000
-
-
 def category_list(categories: DataFrame) -> list[str]:
-    """Sorted categories for column names; far too many of them is an error, not a cut."""
-    few = small_table(categories, MAX_ONEHOT)
-    if few is None:
-        raise ValueError(f"more than {MAX_ONEHOT} categories; use encode_label")
-    return sorted(row["category"] for row in few.collect())
+    """Sorted categories, which become names of columns: as many as a table may have columns."""
+    return [row["category"] for row in categories.orderBy("category").collect()]
 
 
 def encode_onehot(df: DataFrame, column: str, categories: Sequence[str], drop_first: bool = False) -> DataFrame:
@@ -266,9 +260,8 @@ def _filled(df: DataFrame, b) -> DataFrame:
 
 
 def _local(df: DataFrame) -> DataFrame:
-    """Hold a fitted table as plan data so that later uses do not fit again."""
-    few = small_table(df)
-    return df if few is None else few
+    """Write a fitted table so that later uses do not fit again."""
+    return materialize(df, "fitted")
 
 
 MEDIANS = {

@@ -138,7 +138,7 @@ def feature_drift(reference: DataFrame, current: DataFrame, value: str, bins: in
         .agg(F.sum((actual - expected) * F.ln(actual / expected)).alias("psi"))
     )
     gap = F.abs(F.col("cum_a") / F.lit(totals["a"]) - F.col("cum_b") / F.lit(totals["b"]))
-    ks = prefix_sum(counted, "v", ["a", "b"], one_range_rows=100_000).agg(F.max(gap).alias("ks"))
+    ks = prefix_sum(counted, "v", ["a", "b"]).agg(F.max(gap).alias("ks"))
     return psi.select(F.lit(value).alias("feature"), "psi", ks.scalar().alias("ks"))
 
 

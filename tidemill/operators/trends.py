@@ -8,7 +8,6 @@ window.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions import posts as px
-from tidemill.plans import decayed_sum, lookup_join, materialize, small_table
+from tidemill.plans import decayed_sum, lookup_join, materialize
 from tidemill.plans.ordered import micros
 
 # Default window length and alert threshold of the settings.
@@ -198,7 +197,7 @@ def cooldown(candidates: DataFrame, seconds: float) -> DataFrame:
     """Keep a candidate only if ``seconds`` have passed since the last kept one of its tag.
 
     A gap of ``seconds`` always ends the suppression, so runs between such gaps are independent and
-    spread over tasks. Within a sorted partition only the last kept time is remembered.
+    spread over tasks; a run, at most one row per window of one tag, is folded in order.
     """
     order = W.partitionBy("hashtag").orderBy("window_start")
     at = micros(F.col("window_start"))
@@ -207,26 +206,19 @@ def cooldown(candidates: DataFrame, seconds: float) -> DataFrame:
     runs = candidates.withColumn("_fresh", fresh.cast("int")).withColumn(
         "_run", F.sum("_fresh").over(order)
     )
-    ready = (
-        runs.withColumn("_at", at)
-        .drop("_fresh")
-        .repartition("hashtag", "_run")
-        .sortWithinPartitions("hashtag", "_run", "_at")
-    )
-    kept = candidates.columns
+    row = F.struct(at.alias("at"), F.struct(*candidates.columns).alias("row"))
+    sorted_rows = F.array_sort(F.collect_list(row), lambda a, b: F.signum(a["at"] - b["at"]).cast("int"))
+    listed = runs.groupBy("hashtag", "_run").agg(sorted_rows.alias("_rows"))
+    first = F.get("_rows", F.lit(0))
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last_key, last_at = None, 0
-        for batch in batches:
-            keep = []
-            for tag, run, when in zip(batch["hashtag"], batch["_run"], batch["_at"], strict=True):
-                ok = (tag, run) != last_key or when - last_at >= limit
-                if ok:
-                    last_key, last_at = (tag, run), when
-                keep.append(ok)
-            yield batch.loc[keep, kept]
+    def step(acc: Column, x: Column) -> Column:
+        ok = x["at"] - acc["last"] >= limit
+        grown = F.struct(x["at"].alias("last"), F.concat(acc["kept"], F.array(x["row"])).alias("kept"))
+        return F.when(ok, grown).otherwise(acc)
 
-    return ready.mapInPandas(emit, candidates.schema)
+    start = F.struct(first["at"].alias("last"), F.array(first["row"]).alias("kept"))
+    kept = F.aggregate(F.slice("_rows", F.lit(2), F.size("_rows")), start, step, lambda acc: acc["kept"])
+    return listed.select(F.explode(kept).alias("_row")).select("_row.*")
 
 
 def representative_posts(tagged: DataFrame, alerts: DataFrame, width: str, k: int = 3) -> DataFrame:
@@ -309,8 +301,7 @@ def trend_alerts(
         "magnitude",
         "sentiment_shift",
     )
-    few = small_table(alerts)
-    alerts = materialize(alerts, "alerts") if few is None else few
+    alerts = materialize(alerts, "alerts")
     pointers = representative_posts(extract_hashtags(posts), alerts, width, k)
     return alerts.join(pointers, ["hashtag", "window_start"], "left")
 

@@ -1,7 +1,7 @@
 """Plan shapes that keep order-dependent work spread over many tasks."""
 
 from tidemill.plans.decay import decayed_sum
-from tidemill.plans.lookup import lookup_join, param_join, small_table
+from tidemill.plans.lookup import lookup_join, param_join
 from tidemill.plans.ordered import asof_fill, exact_quantiles, prefix_sum, previous, running
 from tidemill.plans.scratch import materialize, scratch_path
 
@@ -16,5 +16,4 @@ __all__ = [
     "previous",
     "running",
     "scratch_path",
-    "small_table",
 ]

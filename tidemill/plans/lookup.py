@@ -10,21 +10,8 @@ from pyspark.sql import types as T
 
 from tidemill.plans.scratch import materialize
 
-SMALL_ROWS = 10_000
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
-HOT_SHARE = 1_000
-
-
-def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """Pull a parameter table to the driver if it has at most ``max_rows`` rows, else ``None``.
-
-    At most ``max_rows + 1`` rows travel, whatever the size of the input.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def _bytes(column: str, kind: T.DataType) -> Column:
@@ -49,49 +36,23 @@ def fits_broadcast(
     return size["n"] <= max_rows and (size["b"] or 0) <= max_bytes
 
 
-def _hot_keys(big: DataFrame, on: Sequence[str], share: int) -> DataFrame:
-    """Keys that hold more than ``1/share`` of the rows: fewer than ``share`` of them can exist."""
-    counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.where(F.col("_n") * share > total.scalar()).select(*on)
-
-
 def lookup_join(
     big: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
-    share: int = HOT_SHARE,
 ) -> DataFrame:
     """Join ``big`` to ``dim`` (unique on ``on``), ``how`` being ``left`` or ``inner``.
 
-    ``dim`` is broadcast after a check of its size. Beyond the limit, rows of hot keys meet the few
-    dimension rows they need in a broadcast join and all other rows shuffle; no row is dropped.
+    ``dim`` is broadcast after a check of its rows and bytes. Beyond the limit both sides shuffle once,
+    and Spark's adaptive execution splits the partitions of hot keys by their measured size.
     """
-    on = list(on)
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
-    if fits_broadcast(dim, max_rows):
-        return big.join(F.broadcast(dim), on, how)
-    return split_join(big, dim, on, how, share)
+    return big.join(F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, list(on), how)
 
 
 def param_join(df: DataFrame, params: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a fitted parameter table: shipped with the plan if small, else a checked lookup."""
-    few = small_table(params)
-    if few is not None:
-        return df.join(few, list(on), how)
+    """Join a fitted parameter table, which is worked out and written once."""
     return lookup_join(df, materialize(params, "params"), on, how)
-
-
-def split_join(
-    big: DataFrame, dim: DataFrame, on: Sequence[str], how: str, share: int = HOT_SHARE
-) -> DataFrame:
-    """The large-dimension branch of :func:`lookup_join`."""
-    on = list(on)
-    hot = F.broadcast(_hot_keys(big, on, share))
-    hot_dim = F.broadcast(dim.join(hot, on, "left_semi"))
-    hot_rows = big.join(hot, on, "left_semi").join(hot_dim, on, how)
-    cold_rows = big.join(hot, on, "left_anti").join(dim, on, how)
-    return hot_rows.unionByName(cold_rows)

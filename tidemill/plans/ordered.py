@@ -17,15 +17,13 @@ from pyspark.sql import functions as F
 
 from tidemill.plans.scratch import materialize
 
-MAX_RANGES = 16_384
 ROWS_PER_RANGE = 5_000_000
-ONE_RANGE_ROWS = 100_000  # counted values beyond which a quantile works in ranges
 
 
 def range_count(df: DataFrame) -> int:
     """Ranges to begin with: one per shuffle partition."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_RANGES, partitions))
+    return max(8, partitions)
 
 
 def cut_points(
@@ -47,7 +45,7 @@ def cut_points(
         return []
     begin = ranges or range_count(df)
     row = quantiles(begin)
-    wanted = min(MAX_RANGES, row["n"] // rows_per_range)
+    wanted = row["n"] // rows_per_range
     if ranges is None and wanted > begin:
         row = quantiles(wanted)
     return sorted({float(c) for c in (row["c"] or [])})
@@ -74,20 +72,15 @@ def running(
     descending: bool = False,
     inclusive: bool = True,
     ranges: int | None = None,
-    one_range_rows: int = 0,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add running sums, maxima or minima, ``outputs`` being ``{out: (kind, column)}``.
 
     ``order`` is a numeric column, unique within ``by``: aggregate equal keys first, which also
-    removes hot keys. Without ``inclusive`` the own row is left out. A table of at most
-    ``one_range_rows`` rows is not cut.
+    removes hot keys. Without ``inclusive`` the own row is left out.
     """
     by = list(by)
-    if ranges is None and one_range_rows and df.count() <= one_range_rows:
-        cuts = []
-    else:
-        cuts = cut_points(df, F.col(order), ranges, rows_per_range)
+    cuts = cut_points(df, F.col(order), ranges, rows_per_range)
     cut = with_range(df, F.col(order), cuts, "_r")
     direction = F.col("_r").desc() if descending else F.col("_r").asc()
     before = W.partitionBy(*by).orderBy(direction).rowsBetween(W.unboundedPreceding, -1)
@@ -121,7 +114,6 @@ def prefix_sum(
     by: Sequence[str] = (),
     descending: bool = False,
     ranges: int | None = None,
-    one_range_rows: int = 0,
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add ``cum_<v>``, the inclusive running sum of each value; see :func:`running`."""
@@ -133,7 +125,6 @@ def prefix_sum(
         by,
         descending,
         ranges=ranges,
-        one_range_rows=one_range_rows,
         rows_per_range=rows_per_range,
     )
 
@@ -184,10 +175,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n")),
         "quantile",
     )
-    if ranges is None and counted.count() <= ONE_RANGE_ROWS:
-        cuts = []
-    else:
-        cuts = cut_points(counted, F.col("_v"), ranges)
+    cuts = cut_points(counted, F.col("_v"), ranges)
     cut = with_range(counted, F.col("_v"), cuts, "_r")
     group = W.partitionBy(*by)
     upto = group.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
@@ -298,27 +286,20 @@ def asof_fill(
     )
 
 
-def string_cuts(df: DataFrame, key: str, ranges: int) -> list[str]:
-    """Strings that split a column of distinct strings about evenly, from a bottom-k hash sample."""
-    sample = (
-        df.orderBy(F.xxhash64(key)).limit(ranges * 16).select(key).orderBy(key).collect()
-    )
-    return [sample[i][0] for i in range(16, len(sample), 16)]
-
-
 def ranked_ids(df: DataFrame, key: str, out: str, ranges: int | None = None) -> DataFrame:
-    """Number distinct non-null strings from 0 in code-point order without a global sort task."""
-    df = materialize(df.select(key), "ids")
-    cuts = string_cuts(df, key, min(ranges or range_count(df), 256))
-    at = F.size(F.filter(F.lit(cuts), lambda c: c <= F.col(key))) if cuts else F.lit(0)
-    cut = df.withColumn("_r", at)
+    """Number distinct non-null strings from 0 in code-point order without a global sort task.
+
+    Spark deals the strings into ranges; the dealt table is written, so every later read sees the same.
+    """
+    dealt = df.select(key).repartitionByRange(ranges or range_count(df), key)
+    dealt = materialize(dealt.withColumn("_r", F.spark_partition_id()), "ids")
     before = W.orderBy("_r").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        cut.groupBy("_r")
+        dealt.groupBy("_r")
         .agg(F.count(F.lit(1)).alias("_t"))
         .select("_r", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
     )
     local = W.partitionBy("_r").orderBy(key)
-    return cut.join(F.broadcast(offsets), "_r").select(
+    return dealt.join(F.broadcast(offsets), "_r").select(
         key, (F.col("_o") + F.row_number().over(local) - 1).cast("bigint").alias(out)
     )

@@ -9,7 +9,7 @@ SELECT event_id AS post_id, ts, user_id,
   CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS STRING) WHEN event_id % 7 = 1 THEN 'EN-us' ELSE lang END AS lang,
   CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS DOUBLE)
        ELSE least(value / CAST(100 AS DOUBLE) - CAST(0.5 AS DOUBLE), CAST(1 AS DOUBLE)) END AS sentiment
-FROM events JOIN documents ON event_id % 200 = doc_id)"""
+FROM events LEFT JOIN documents ON event_id % (SELECT count(*) FROM documents) = doc_id)"""
 
 PASSENGERS = """
 passengers AS (

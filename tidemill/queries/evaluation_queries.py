@@ -405,20 +405,20 @@ def sampled_shapley(spark, folder):
     f"""WITH {SHAPLEY}
 SELECT passenger_id, feature, value, rank FROM (
   SELECT passenger_id, feature, round(value, 9) + 0.0 AS value, CAST(row_number() OVER (PARTITION BY passenger_id
-    ORDER BY abs(round(value, 9)) DESC, feature) AS INT) AS rank FROM shap) WHERE rank <= 2""",
+    ORDER BY abs(round(value, 9)) DESC, feature) AS INT) AS rank FROM shap) WHERE rank <= 5""",
 )
 def top_features(spark, folder):
     rounded = _shapley(spark, folder).withColumn("value", r("value", 9))
-    return ev.top_features(rounded, "passenger_id", 2)
+    return ev.top_features(rounded, "passenger_id", 5)
 
 
 @query(
     "top_features_overall",
     f"""WITH {SHAPLEY}
-SELECT feature, round(avg(abs(value)), 6) AS importance FROM shap GROUP BY feature ORDER BY 2 DESC LIMIT 3""",
+SELECT feature, round(avg(abs(value)), 6) AS importance FROM shap GROUP BY feature ORDER BY 2 DESC LIMIT 10""",
 )
 def top_features_overall(spark, folder):
-    return ev.top_features_overall(_shapley(spark, folder), 3).withColumn("importance", r("importance"))
+    return ev.top_features_overall(_shapley(spark, folder), 10).withColumn("importance", r("importance"))
 
 
 def _brier(rows: DataFrame) -> DataFrame:

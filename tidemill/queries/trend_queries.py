@@ -33,6 +33,11 @@ def _scored(spark: SparkSession, folder: str) -> DataFrame:
     return trends.zscore(_stats(spark, folder))
 
 
+def _active(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of the windows that have posts; only those can be alerts."""
+    return trends.zscore(trends.active_stats(_counts(spark, folder), DAY))
+
+
 @query(
     "parse_record",
     f"""WITH {sql.POSTS}
@@ -245,7 +250,7 @@ FROM kept k WHERE EXISTS (SELECT 1 FROM hits h
 SELECT hashtag, window_start, n FROM hits JOIN kept USING (hashtag, window_start)""",
 )
 def cooldown(spark, folder):
-    hits = trends.score_anomaly(_scored(spark, folder), 0.5)
+    hits = trends.score_anomaly(_active(spark, folder), 0.5)
     return trends.cooldown(hits.select("hashtag", "window_start", "n"), 4 * 86_400)
 
 
@@ -292,7 +297,7 @@ def _ids(df: DataFrame) -> DataFrame:
 SELECT * FROM pointers""",
 )
 def representative_posts(spark, folder):
-    alerts = trends.score_anomaly(_scored(spark, folder))
+    alerts = trends.score_anomaly(_active(spark, folder))
     return _ids(trends.representative_posts(_tagged(spark, folder), alerts, DAY))
 
 
@@ -318,7 +323,10 @@ def trend_alerts(spark, folder):
     )
 
 
-@query("hashtag_sketch", f"WITH {sql.TAGGED} SELECT hashtag, count(*) AS n FROM tagged GROUP BY hashtag")
+@query(
+    "hashtag_sketch",
+    f"WITH {sql.TAGGED} SELECT hashtag, count(*) AS n FROM tagged GROUP BY hashtag ORDER BY n DESC, hashtag LIMIT 10",
+)
 def hashtag_sketch(spark, folder):
     return trends.hashtag_top(_tagged(spark, folder))
 
@@ -370,7 +378,7 @@ SELECT hashtag, count(*) FILTER (a AND t) AS tp, count(*) FILTER (a AND NOT t) A
 FROM both_sides GROUP BY hashtag""",
 )
 def alert_truth_join(spark, folder):
-    alerts = trends.score_anomaly(_scored(spark, folder), 1.5)
+    alerts = trends.score_anomaly(_active(spark, folder), 1.5)
     counts = _counts(spark, folder)
     means = counts.groupBy("hashtag").agg(F.avg("n").alias("m"))
     truth = counts.join(means, "hashtag").where(F.col("n") > 1.2 * F.col("m"))

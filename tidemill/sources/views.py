@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Posts take their language from one of this many documents.
-POST_LANGUAGES = 200
+from tidemill.plans.lookup import lookup_join
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,26 +38,25 @@ def posts(spark: SparkSession, folder: str) -> DataFrame:
 def posts_from(events: DataFrame, documents: DataFrame) -> DataFrame:
     """Works on a batch or a streaming ``events`` frame.
 
-    The join key is a remainder, so only documents 0..199 can match: a fixed bound for broadcast.
+    A post takes its language from the document whose id is the event's modulo the number of documents,
+    which is counted once; a post without such a document has no language.
     """
-    spark = events.sparkSession
-    langs = documents.where(F.col("doc_id").between(0, POST_LANGUAGES - 1)).select("doc_id", "lang")
-    return spark.sql(
-        """
-        SELECT /*+ BROADCAST(l) */ event_id AS post_id, ts, user_id,
-          concat('post ', CAST(event_id AS STRING), ' #', event_type,
+    n = documents.count()
+    langs = documents.select(F.col("doc_id").alias("_doc"), F.col("lang").alias("_lang"))
+    keyed = events.withColumn("_doc", F.try_mod("event_id", F.lit(n)))
+    return lookup_join(keyed, langs, ["_doc"]).selectExpr(
+        "event_id AS post_id",
+        "ts",
+        "user_id",
+        """concat('post ', CAST(event_id AS STRING), ' #', event_type,
             CASE WHEN event_id % 17 = 0 OR CAST(ts AS DATE) = DATE '2024-01-15'
                  THEN ' #Breaking' ELSE '' END,
-            CASE WHEN event_id % 10 = 0 THEN ' @user7' ELSE '' END) AS text,
-          CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS STRING)
-               WHEN event_id % 7 = 1 THEN 'EN-us' ELSE lang END AS lang,
-          CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS DOUBLE)
-               ELSE least(value / CAST(100 AS DOUBLE) - CAST(0.5 AS DOUBLE), CAST(1 AS DOUBLE))
-          END AS sentiment
-        FROM {events} JOIN {langs} AS l ON event_id % 200 = doc_id
-        """,
-        events=events,
-        langs=langs,
+            CASE WHEN event_id % 10 = 0 THEN ' @user7' ELSE '' END) AS text""",
+        """CASE WHEN event_id % 7 = 0 THEN CAST(NULL AS STRING)
+                WHEN event_id % 7 = 1 THEN 'EN-us' ELSE _lang END AS lang""",
+        """CASE WHEN event_id % 4 = 0 THEN CAST(NULL AS DOUBLE)
+                ELSE least(value / CAST(100 AS DOUBLE) - CAST(0.5 AS DOUBLE), CAST(1 AS DOUBLE))
+           END AS sentiment""",
     )
 
 
