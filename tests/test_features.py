@@ -81,9 +81,9 @@ def test_onehot_of_unseen_and_null(people, spark):
 
 def test_every_category_gets_a_column(spark):
     df = spark.range(1_200).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("c"))
-    names = fe.category_list(fe.fit_categories(df, "c"))
+    names = ft.category_list(ft.fit_categories(df, "c"))
     assert len(names) == 1_200 and names == sorted(names)
-    assert len(fe.encode_onehot(df.limit(1), "c", names).columns) == 1_201
+    assert len(ft.encode_onehot(df.limit(1), "c", names).columns) == 1_201
 
 
 def test_scaler_divides_by_population_deviation(people, spark):
