@@ -67,42 +67,44 @@ def new_net(seed: int) -> ByteNet:
     )
 
 
-def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each padded with zeros to whole units, and the units before each text."""
+def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all texts, each padded with zeros to whole units; each text's first unit and its units.
+
+    A unit of zeros stands between texts, so that no window looks into a neighbour.
+    """
     n_units = np.maximum(-(-np.diff(offsets) // UNIT), 1)
-    before = np.concatenate([[0], np.cumsum(n_units)])
-    padded = np.zeros((before[-1] + 1) * UNIT, np.uint8)
-    place = np.repeat(before[:-1] * UNIT - offsets[:-1], np.diff(offsets)) + np.arange(len(data))
+    first = np.concatenate([[0], np.cumsum(n_units + 1)])
+    padded = np.zeros(first[-1] * UNIT, np.uint8)
+    place = np.repeat(first[:-1] * UNIT - offsets[:-1], np.diff(offsets)) + np.arange(len(data))
     padded[place] = data
-    return padded, before
+    return padded, first[:-1], n_units
 
 
-def chunks(before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def chunks(first_unit: np.ndarray, n_units: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First unit, unit after the last, and text of every chunk; the last chunk may be shorter."""
-    n_units = np.diff(before)
     wide, hop = CHUNK // UNIT, HOP // UNIT
     count = np.maximum(-(-(n_units - wide) // hop), 0) + 1
     owner = np.repeat(np.arange(len(n_units)), count)
     number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    first = before[owner] + number * hop
-    return first, np.minimum(first + wide, before[owner + 1]), owner
+    first = first_unit[owner] + number * hop
+    return first, np.minimum(first + wide, (first_unit + n_units)[owner]), owner
 
 
-def unit_maxima(net: ByteNet, padded: np.ndarray, n_units: int) -> np.ndarray:
-    """Each filter's largest answer within each unit. A window may look STEP bytes past its unit."""
-    x = net.embed[padded[: n_units * UNIT + STEP]].reshape(-1, STEP * EMBED)
+def unit_maxima(net: ByteNet, padded: np.ndarray) -> np.ndarray:
+    """Each filter's largest answer within each unit but the last, which only ends the last text."""
+    x = net.embed[padded[: len(padded) - UNIT + STEP]].reshape(-1, STEP * EMBED)
     answer = x[:-1] @ net.first
     answer += x[1:] @ net.second
-    return answer.reshape(n_units, UNIT // STEP, FILTERS).max(1) + net.bias
+    return answer.reshape(-1, UNIT // STEP, FILTERS).max(1) + net.bias
 
 
 def probabilities(net: ByteNet, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The probability of label 1 for each text of a block."""
     if net.constant is not None:
         return np.full(len(offsets) - 1, net.constant)
-    padded, before = units(data, offsets)
-    best = unit_maxima(net, padded, int(before[-1]))
-    first, last, owner = chunks(before)
+    padded, first_unit, n_units = units(data, offsets)
+    best = unit_maxima(net, padded)
+    first, last, owner = chunks(first_unit, n_units)
     pooled = best[first]
     for k in range(1, CHUNK // UNIT):
         np.maximum(pooled, best[np.minimum(first + k, last - 1)], out=pooled)
@@ -114,8 +116,8 @@ def probabilities(net: ByteNet, data: np.ndarray, offsets: np.ndarray) -> np.nda
 
 
 def _gradients(net: ByteNet, data: np.ndarray, offsets: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-    padded, before = units(data, offsets)
-    first, last, owner = chunks(before)
+    padded, first_unit, n_units = units(data, offsets)
+    first, last, owner = chunks(first_unit, n_units)
     per, n = CHUNK // STEP, len(y)
     at = first[:, None] * (UNIT // STEP) + np.arange(per)  # positions of each chunk, in steps
     at = np.minimum(at, last[:, None] * (UNIT // STEP) - 1)
