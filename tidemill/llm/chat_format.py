@@ -42,7 +42,10 @@ COLUMNS = ["conv_id", "place", "step", "kind", "call_id", "name", "status", "err
 
 def _property_errors(arguments: Column, name: str, rule: Mapping[str, Any], required: bool) -> Column:
     """Messages about one property, an array of text."""
-    path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    quote = '"' if "'" in name else "'"
+    if quote in name:
+        raise ValueError(f"a property with both kinds of quotes cannot be addressed: {name}")
+    path = f"$[{quote}{name}{quote}]"
     value = F.try_variant_get(arguments, path, "variant")
     kind = F.schema_of_variant(value)
     text, number = F.try_variant_get(arguments, path, "string"), F.try_variant_get(arguments, path, "double")
