@@ -93,17 +93,22 @@ def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: in
     return winner.reshape(n, registers)
 
 
+def band_hashes(found: np.ndarray) -> np.ndarray:
+    """One hash for each band of each signature."""
+    factors = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(ROWS)], _U)
+    cut = found.reshape(len(found), BANDS, ROWS)
+    return blocks.mix((cut * factors).sum(2, dtype=_U) + np.arange(BANDS, dtype=_U) * _U(0xD6E8FEB86659FD93)).view(np.int64)
+
+
 def nodes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id``, ``node`` (fingerprint, null without words) and the hashes of its bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(ROWS)], _U)
         for batch in batches:
             for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
                 owner, element, weight, prints = shingles(data, offsets)
                 found = signatures(owner, element, weight, b - a)
-                cut = found.reshape(b - a, BANDS, ROWS)
-                bands = blocks.mix((cut * factors).sum(2, dtype=_U) + np.arange(BANDS, dtype=_U) * _U(0xD6E8FEB86659FD93)).view(np.int64)
+                bands = band_hashes(found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
@@ -169,12 +174,19 @@ def _verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return rows.mapInArrow(run, "a binary, b binary")
 
 
+def _parts(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Long signatures and band hashes of some nodes."""
+    whole = np.frombuffer(b"".join(r["signature"] for r in rows), np.uint8).reshape(len(rows), -1)
+    registers, bands = np.ascontiguousarray(whole[:, : 4 * LONG]), np.ascontiguousarray(whole[:, 4 * LONG :])
+    return registers.view(np.uint32), bands.view(np.int64)
+
+
 def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> DataFrame:
     """Pairs of nodes of one bucket but of different components whose signatures may reach the threshold.
 
     ``members`` has ``band, n, node, component, signature``. A bucket is dealt into blocks of about
     ``BLOCK`` nodes; each pair of blocks is one row, compared inside its task. With ``most``, a node gives
-    its likeliest pairs with each block only.
+    its likeliest pairs with each block only. A pair that shares several buckets comes from the first only.
     """
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
@@ -188,8 +200,9 @@ def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> Data
         for batch in batches:
             for k in range(len(batch)):
                 x, y = batch.column("rows_a")[k].as_py(), batch.column("rows_b")[k].as_py()
-                one = np.frombuffer(b"".join(r["signature"] for r in x), np.uint32).reshape(len(x), LONG)
-                two = np.frombuffer(b"".join(r["signature"] for r in y), np.uint32).reshape(len(y), LONG)
+                band = batch.column("band")[k].as_py()
+                one, bands_one = _parts(x)
+                two, bands_two = _parts(y)
                 number: dict[bytes, int] = {}
                 c = np.array([number.setdefault(r["component"], len(number)) for r in x])
                 d = np.array([number.setdefault(r["component"], len(number)) for r in y])
@@ -197,13 +210,15 @@ def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> Data
                 for i in range(len(x)):
                     agree = (one[i] == two).sum(1)
                     apart = np.flatnonzero((agree >= least) & (d != c[i]))
+                    shared = bands_two[apart] == bands_one[i]
+                    apart = apart[bands_one[i][shared.argmax(1)] == band]
                     if most is not None:
                         apart = apart[np.argsort(-agree[apart], kind="stable")[:most]]
                     found += [(x[i]["node"], y[j]["node"]) for j in apart]
                 found = [(min(p), max(p)) for p in found]
                 yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in found], pa.binary()) for s in (0, 1)], names=["a", "b"])
 
-    return left.join(right, ["band", "j"]).select("rows_a", "rows_b").mapInArrow(run, "a binary, b binary").distinct()
+    return left.join(right, ["band", "j"]).select("band", "rows_a", "rows_b").mapInArrow(run, "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -254,16 +269,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
 
 
 def _long_signatures(texts: DataFrame) -> DataFrame:
-    """``(node, signature)``, 32 bits of each register."""
+    """``(node, signature)``: 32 bits of each register of a long signature, and the hashes of the bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
                 owner, element, weight, _ = shingles(data, offsets)
                 found = signatures(owner, element, weight, b - a, LONG).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("node").slice(a, b - a), pa.array([row.tobytes() for row in found], pa.binary())], names=["node", "signature"]
-                )
+                bands = band_hashes(signatures(owner, element, weight, b - a))
+                both = [x.tobytes() + y.tobytes() for x, y in zip(found, bands, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array(both, pa.binary())], names=["node", "signature"])
 
     return texts.mapInArrow(run, "node binary, signature binary")
 
