@@ -38,7 +38,7 @@ from tidemill.llm import blocks
 from tidemill.plans.scratch import scratch_path
 
 K = 5  # counts up to K are discounted
-CHUNK_TOKENS, CHUNK_TEXTS = 3_000_000, 1 << 14
+CHUNK_TOKENS, CHUNK_TEXTS = 1_200_000, 1 << 14
 BUCKET_TOKENS, MIN_BUCKETS, MAX_BUCKETS = 400_000, 512, 1 << 20
 TASK_TOKENS, MIN_TASKS = 8_000_000, 16
 FREQUENT = 1 << 18
