@@ -9,23 +9,19 @@ PASSENGER_SCHEMA = (
     "passenger_id bigint, survived int, pclass int, name string, sex string, age double, sibsp int,"
     " parch int, ticket string, fare double, cabin string, embarked string"
 )
-POST_SCHEMA = "post_id bigint, ts timestamp_ntz, user_id bigint, text string, lang string, sentiment double"
 TOPIC_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp_ntz"
 )
-_TRAIN = (
-    "batch_size int, block_size int, max_iters int, max_epochs int, eval_interval int, eval_iters int,"
-    " learning_rate double, weight_decay double, beta1 double, beta2 double, n_layer int, n_head int,"
-    " n_embd int, dropout double, device string, seed int"
-)
-_MODEL = (
-    "block_size int, vocab_size int, n_layer int, n_head int, n_embd int, dropout double, bias boolean"
-)
-RUN_SCHEMA = (
-    f"train_config struct<{_TRAIN.replace(' int', ': int').replace(' double', ': double').replace(' string', ': string')}>,"
-    f" model_config struct<{_MODEL.replace(' int', ': int').replace(' double', ': double').replace(' boolean', ': boolean')}>,"
-    " dataset_path string, output_dir string, vocab_size int, train_tokens bigint, val_tokens bigint"
-)
+# The fields of a run document.
+RUN_SCHEMA = """
+train_config struct<
+  batch_size: int, block_size: int, max_iters: int, max_epochs: int, eval_interval: int, eval_iters: int,
+  learning_rate: double, weight_decay: double, beta1: double, beta2: double,
+  n_layer: int, n_head: int, n_embd: int, dropout: double, device: string, seed: int>,
+model_config struct<
+  block_size: int, vocab_size: int, n_layer: int, n_head: int, n_embd: int, dropout: double, bias: boolean>,
+dataset_path string, output_dir string, vocab_size int, train_tokens bigint, val_tokens bigint
+"""
 LOSS_SCHEMA = "epoch int, train_loss double, val_loss double, wall_time timestamp"
 
 
