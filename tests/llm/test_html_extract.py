@@ -80,3 +80,17 @@ def test_whole_table(spark):
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", p)).split()) for p in re.split(r"</?(?:p|h1)>", article))
         expected = "\n".join(p for p in parts if p)
         assert got[page["page_id"]]["text"] == expected and got[page["page_id"]]["n_chars"] == len(expected)
+
+
+def test_classes_nest_and_show_the_slot(spark):
+    """Unlisted boilerplate outside the slot goes, since template text does not count when the slot is sought."""
+    page = "<body><div class='top'>{welcome}</div><div class='story'><h2>Head {n}</h2><p>{n} alone</p><p>Again</p></div></body>"
+    rows = [(n, f"http://h.example.com/{n}", page.format(n=n, welcome="Welcome to our pages. " * 9)) for n in range(4)]
+    assert texts(spark, rows)[2, "http://h.example.com/2"] == "Head 2\n2 alone\nAgain"
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("host", he.host_of("url"))
+    found = [r.asDict() for r in he.equivalence_classes(df).collect()]
+    classes, slots, fixed = he.template(found)
+    root, inner = (next((r["v1"], r["v2"]) for r in found if r["name"] == n) for n in ("body", "p"))
+    assert classes[root].parent is None and classes[inner].parent == root
+    assert {r["name"] for r in classes[root].tokens if r["kind"] == "tag"} == {"", "body", "div", "h2"}
+    assert len(fixed) == 2 and slots[0] == 4 * len("Head 0" + "0 alone")

@@ -5,12 +5,13 @@ A page's tokens are its elements (by the path of tags and class names from the r
 with equal vectors form an equivalence class. Vectors are compared by sums of hashes of (page, count), so
 they build up in an ordinary grouped aggregation however many pages a host has.
 
-A class is valid if it is on at least two pages and half of the host's pages. Valid classes nest by
-their paths; elements that occur once per page are the fixed part of the template, text nodes on all of
-20 or more pages are template text, and what lies between is slots. Slots inside menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and comments are dropped. Of the rest, the main slot is the
-``article`` (or else ``main``, or else the deepest element that still holds nine tenths of the text).
-A page without the main slot, or of a host without a template, uses the same rule on itself alone.
+A class is valid if it is on at least two pages and half of the host's pages. The valid classes of a host
+nest by the paths of their tokens (``template``): elements that occur once per page are its fixed tokens, text
+with the vector of an element around it is template text, and the rest lies in the slots between. Slots inside
+menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are dropped. Of the
+rest, the main slot is the ``article`` (or else ``main``, or else the deepest fixed element that still holds
+nine tenths of what is not template text). In a slot found by text alone, text nodes once on each of 20 or more
+pages are dropped. A page without the main slot, or of a host without a template, uses the same rule on itself alone.
 
 Text: character references decoded, white space of a block turned into one space, blocks joined by a line
 feed. Null html gives an empty text; null or odd urls share the host of that (missing) name; repeated
@@ -71,9 +72,9 @@ class Element:
     name: str
     depth: int
     dropped: bool
-    parents: tuple[int, ...] | None = None
     rank: int = 0  # 2 article, 1 main
     chars: int = 0
+    parent: int = 0
 
 
 @dataclass
@@ -157,7 +158,7 @@ def parse(source: str) -> Page:
         dropped = up.dropped or name in DROPPED or (name not in ("html", "body", "article", "main") and any(w in DROPPED_NAMES for w in words))
         rank = 2 if name == "article" else 1 if name == "main" or marks.get("role") == "main" else 0
         block += name in BLOCKS
-        element = page.elements.setdefault(path, Element(path, name, up.depth + 1, dropped, rank=rank))
+        element = page.elements.setdefault(path, Element(path, name, up.depth + 1, dropped, rank=rank, parent=up.path))
         page.counts[path] += 1
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
@@ -202,7 +203,7 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)), F.lit(""))
 
 
-TOKENS = "host string, kind string, token bigint, name string, depth int, dropped boolean, rank int, n int, chars bigint, v1 bigint, v2 bigint"
+TOKENS = "host string, kind string, token bigint, parent bigint, name string, depth int, dropped boolean, rank int, n int, chars bigint, v1 bigint, v2 bigint"
 
 
 def tokens(pages: DataFrame) -> DataFrame:
@@ -215,14 +216,19 @@ def tokens(pages: DataFrame) -> DataFrame:
                 part = batch.slice(a, 256)
                 for host, page_id, source in zip(part.column("host").to_pylist(), part.column("page_id").to_pylist(), part.column("html").to_pylist(), strict=True):
                     page = parse(source or "")
-                    found = [("tag", p, e.name, e.depth, e.dropped, e.rank, page.counts[p], e.chars) for p, e in page.elements.items()]
-                    texts = Counter(text_token(chain[-1], piece) for chain, _, dropped, piece in page.texts if not dropped and piece != " ")
-                    found += [("text", t, None, 0, False, 0, n, 0) for t, n in texts.items()]
+                    found = [("tag", p, e.parent, e.name, e.depth, e.dropped, e.rank, page.counts[p], e.chars) for p, e in page.elements.items()]
+                    texts: dict[int, list[int]] = {}
+                    for chain, _, dropped, piece in page.texts:
+                        if not dropped and piece != " ":
+                            known = texts.setdefault(text_token(chain[-1], piece), [chain[-1], 0, 0])
+                            known[1] += 1
+                            known[2] += len(piece)
+                    found += [("text", t, path, None, 0, False, 0, n, chars) for t, (path, n, chars) in texts.items()]
                     for row in found:
-                        v = _hash(page_id, row[6]) % 2**62
+                        v = _hash(page_id, row[7]) % 2**62
                         rows.append((host, *row, v % 2**31, v >> 31))
-                columns = list(zip(*rows, strict=True)) if rows else [()] * 11
-                types = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+                columns = list(zip(*rows, strict=True)) if rows else [()] * 12
+                types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
                 names = [c.split()[0] for c in TOKENS.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
@@ -230,9 +236,10 @@ def tokens(pages: DataFrame) -> DataFrame:
 
 
 def equivalence_classes(pages: DataFrame) -> DataFrame:
-    """Tokens of the valid classes of each host: ``host, kind, token, name, depth, dropped, rank, chars, once``
+    """Tokens of the valid classes of each host: ``host, kind, token, parent, name, depth, dropped, rank, chars, once``
     (once per page that has it), ``n_pages``, ``host_pages``, ``host_chars`` and the class (``v1, v2``)."""
     grouped = tokens(pages).groupBy("host", "kind", "token").agg(
+        F.max("parent").alias("parent"),
         F.max("name").alias("name"),
         F.min("depth").alias("depth"),
         F.max("dropped").alias("dropped"),
@@ -243,22 +250,76 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
         F.sum("v1").alias("v1"),
         F.sum("v2").alias("v2"),
     )
-    grouped = materialize(grouped.where(f"kind = 'tag' OR n_pages >= {STATIC_PAGES}"), "tokens")
+    grouped = materialize(grouped.where(f"kind = 'tag' OR n_pages >= {MIN_PAGES}"), "tokens")
     hosts = grouped.where("kind = 'tag' AND token = 0").select("host", F.col("n_pages").alias("host_pages"), F.col("chars").alias("host_chars"))
     known = lookup_join(grouped, materialize(hosts, "hosts"), ["host"], "inner")
     valid = (F.col("n_pages") >= MIN_PAGES) & (F.col("n_pages") >= MIN_SHARE * F.col("host_pages"))
     return known.where(valid).withColumn("once", F.col("total") == F.col("n_pages"))
 
 
+@dataclass
+class Class:
+    """Tokens of a host with one occurrence vector."""
+
+    tokens: list[dict] = field(default_factory=list)
+    once: bool = False
+    parent: tuple[int, int] | None = None  # the class around it
+
+
+def template(rows: list[dict]) -> tuple[dict[tuple[int, int], Class], dict[int, int], list[dict]]:
+    """The valid tokens of one host as nested classes, the characters in the slots of each fixed element, and the
+    template text."""
+    tags = {row["token"]: row for row in rows if row["kind"] == "tag"}
+    classes: dict[tuple[int, int], Class] = {}
+    for row in rows:
+        found = classes.setdefault((row["v1"], row["v2"]), Class(once=row["once"]))
+        found.tokens.append(row)
+    slots = {path: row["chars"] for path, row in tags.items()}
+    fixed = []
+
+    def above(row: dict) -> Iterator[dict]:
+        at = row["parent"] if row["token"] or row["kind"] == "text" else None
+        while at is not None and at in tags:  # an element is on every page of what it holds, so its row is valid too
+            yield tags[at]
+            at = tags[at]["parent"] if at else None
+
+    for vector, found in classes.items():
+        outer = min(found.tokens, key=lambda row: row["depth"] if row["kind"] == "tag" else 2**31)
+        found.parent = next(((row["v1"], row["v2"]) for row in above(outer) if (row["v1"], row["v2"]) != vector), None)
+        for row in found.tokens:
+            if row["kind"] == "text" and any((up["v1"], up["v2"]) == vector for up in above(row)):
+                fixed.append(row)
+                for up in above(row):
+                    slots[up["token"]] -= row["chars"]
+    return classes, {path: slots[path] for path, row in tags.items() if row["once"] and not row["dropped"]}, fixed
+
+
+def host_template(rows: list[dict]) -> tuple[int | None, list[int]]:
+    """The path of a host's main slot and its template text of 20 or more pages."""
+    tags = {row["token"]: row for row in rows if row["kind"] == "tag"}
+    classes, slots, fixed = template(rows)
+    if not slots.get(0):  # all pages alike: nothing tells the template from what it holds
+        slots, fixed = {path: tags[path]["chars"] for path in slots}, []
+    ranked = [path for path in slots if tags[path]["rank"]]
+    if ranked:
+        main = max(ranked, key=lambda path: (tags[path]["rank"], tags[path]["chars"], path))
+    else:
+        most = MOST_TEXT * slots.get(0, 0)
+        main = max((path for path in slots if slots[path] >= most), key=lambda path: (tags[path]["depth"], path), default=None)
+    root = (tags[0]["v1"], tags[0]["v2"]) if 0 in tags else None
+    static = [row["token"] for row in fixed if (row["v1"], row["v2"]) == root and row["n_pages"] >= STATIC_PAGES]
+    return main, static
+
+
 def templates(classes: DataFrame) -> DataFrame:
-    """``host``, the path of its main slot and its template text. Both are bounded by what one page holds:
-    template text is on every page of its host."""
-    ranked = F.when(F.col("rank") > 0, F.col("rank")).when(F.col("chars") >= MOST_TEXT * F.col("host_chars"), 0)
-    order = F.struct(ranked.alias("rank"), F.when(F.col("rank") > 0, F.col("chars")).otherwise(F.col("depth")).alias("size"), "token")
-    slots = classes.where("kind = 'tag' AND once AND NOT dropped").where(ranked.isNotNull())
-    main = slots.groupBy("host").agg(F.max(order)["token"].alias("main"))
-    static = classes.where("kind = 'text' AND n_pages = host_pages").groupBy("host").agg(F.collect_list("token").alias("static"))
-    return main.join(static, "host", "full")
+    """``host``, the path of its main slot and its template text. A host's valid tokens are at most twice those of
+    its longest page, since each is on half of the pages: they are handled together."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        main, static = host_template(table.to_pylist())
+        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "main": pa.array([main], pa.int64()), "static": pa.array([static], pa.list_(pa.int64()))})
+
+    return classes.groupBy("host").applyInArrow(run, "host string, main bigint, static array<bigint>")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
