@@ -94,3 +94,14 @@ def test_classes_nest_and_show_the_slot(spark):
     assert classes[root].parent is None and classes[inner].parent == root
     assert {r["name"] for r in classes[root].tokens if r["kind"] == "tag"} == {"", "body", "div", "h2"}
     assert len(fixed) == 2 and slots[0] == 4 * len("Head 0" + "0 alone")
+
+
+def test_text_of_an_article_stays_on_any_number_of_pages(spark):
+    byline = "<body><article><p>By the same hand</p><p>Piece {n}</p></article><p>outside {n}</p></body>"
+    for pages in (19, 25):
+        rows = [(n, f"http://i.example.com/{n}", byline.format(n=n)) for n in range(pages)]
+        rows += [(n, f"http://j.example.com/{n}", "<body><article><p>One text</p></article></body>") for n in range(pages)]
+        rows += [(n, f"http://k.example.com/{n}", "<body><div><p>One text</p></div></body>") for n in range(pages)]
+        got = texts(spark, rows)
+        assert got[7, "http://i.example.com/7"] == "By the same hand\nPiece 7"
+        assert {t for (_, url), t in got.items() if "//i" not in url} == {"One text"}

@@ -307,7 +307,8 @@ def host_template(rows: list[dict]) -> tuple[int | None, list[int]]:
         most = MOST_TEXT * slots.get(0, 0)
         main = max((path for path in slots if slots[path] >= most), key=lambda path: (tags[path]["depth"], path), default=None)
     root = (tags[0]["v1"], tags[0]["v2"]) if 0 in tags else None
-    static = [row["token"] for row in fixed if (row["v1"], row["v2"]) == root and row["n_pages"] >= STATIC_PAGES]
+    # all text of an article or main is kept; only a slot found by text alone may reach beyond the text
+    static = [] if ranked else [row["token"] for row in fixed if (row["v1"], row["v2"]) == root and row["n_pages"] >= STATIC_PAGES]
     return main, static
 
 
