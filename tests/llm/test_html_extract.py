@@ -105,3 +105,9 @@ def test_text_of_an_article_stays_on_any_number_of_pages(spark):
         got = texts(spark, rows)
         assert got[7, "http://i.example.com/7"] == "By the same hand\nPiece 7"
         assert {t for (_, url), t in got.items() if "//i" not in url} == {"One text"}
+
+
+def test_an_article_below_many_open_elements_keeps_its_text():
+    for tag in ("font", "div"):
+        page = he.parse(f"<{tag}>" * 500 + "<article><h1>Deep</h1><p>text</p></article><p>outside</p>")
+        assert he.page_text(page, None, frozenset()) == "Deep\ntext"

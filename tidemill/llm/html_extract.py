@@ -79,11 +79,13 @@ class Element:
 
 @dataclass
 class Page:
-    """Elements by path with their numbers, and text nodes as (element chain, block, text)."""
+    """Elements by path with their numbers, open elements as (path, place of the one around) in document order, and text
+    nodes as (place of the element, block, dropped, text)."""
 
     elements: dict[int, Element] = field(default_factory=dict)
     counts: Counter = field(default_factory=Counter)
-    texts: list[tuple[list[int], int, bool, str]] = field(default_factory=list)
+    nodes: list[tuple[int, int]] = field(default_factory=lambda: [(0, 0)])
+    texts: list[tuple[int, int, bool, str]] = field(default_factory=list)
 
 
 def _hash(*parts: object) -> int:
@@ -97,18 +99,18 @@ def parse(source: str) -> Page:
     page.elements[0] = root
     page.counts[0] = 1
     stack = [root]
-    chains = [[0]]
+    places = [0]
     block = at = 0
 
     def text(piece: str) -> None:
         if piece.strip():
-            page.texts.append((chains[-1], block, stack[-1].dropped, piece))
+            page.texts.append((places[-1], block, stack[-1].dropped, piece))
 
     def pop_to(size: int) -> None:
         nonlocal block
         block += any(e.name in BLOCKS for e in stack[size:])
         del stack[size:]
-        del chains[size:]
+        del places[size:]
 
     tail = CUT_TAG.search(source)
     if tail:
@@ -147,7 +149,7 @@ def parse(source: str) -> Page:
                     break
         if name in VOID:
             if name == "br":
-                text_break = (chains[-1], block, stack[-1].dropped, " ")
+                text_break = (places[-1], block, stack[-1].dropped, " ")
                 page.texts.append(text_break)
             block += name == "hr"
             continue
@@ -165,12 +167,17 @@ def parse(source: str) -> Page:
             at = end.end() if end else len(source)
             continue
         stack.append(element if element.dropped == dropped else Element(path, name, up.depth + 1, dropped, rank=rank))
-        chains.append([*chains[-1], path] if len(chains) < 200 else chains[-1])  # deeper text belongs to its 200th ancestor
-    for chain, _, dropped, piece in page.texts:
+        page.nodes.append((path, places[-1]))
+        places.append(len(page.nodes) - 1)
+    sizes = [0] * len(page.nodes)
+    for place, _, dropped, piece in page.texts:
         if not dropped:
-            size = len(piece)
-            for path in set(chain):
-                page.elements[path].chars += size
+            sizes[place] += len(piece)
+    for place in range(len(sizes) - 1, -1, -1):  # what an element holds comes after it
+        path, around = page.nodes[place]
+        page.elements[path].chars += sizes[place]
+        if place:
+            sizes[around] += sizes[place]
     return page
 
 
@@ -191,9 +198,12 @@ def main_path(page: Page) -> int:
 def page_text(page: Page, main: int | None, static: frozenset[int]) -> str:
     if main is None or main not in page.elements or page.elements[main].dropped:
         main = main_path(page)
+    inside: list[bool] = []
+    for path, around in page.nodes:
+        inside.append(path == main or bool(inside) and inside[around])
     blocks: dict[int, list[str]] = {}
-    for chain, block, dropped, piece in page.texts:
-        if not dropped and main in chain and not (static and piece != " " and text_token(chain[-1], piece) in static):
+    for place, block, dropped, piece in page.texts:
+        if not dropped and inside[place] and not (static and piece != " " and text_token(page.nodes[place][0], piece) in static):
             blocks.setdefault(block, []).append(piece)
     joined = (" ".join(html_entities.unescape("".join(pieces)).split()) for pieces in blocks.values())
     return "\n".join(b for b in joined if b)
@@ -218,9 +228,10 @@ def tokens(pages: DataFrame) -> DataFrame:
                     page = parse(source or "")
                     found = [("tag", p, e.parent, e.name, e.depth, e.dropped, e.rank, page.counts[p], e.chars) for p, e in page.elements.items()]
                     texts: dict[int, list[int]] = {}
-                    for chain, _, dropped, piece in page.texts:
+                    for place, _, dropped, piece in page.texts:
                         if not dropped and piece != " ":
-                            known = texts.setdefault(text_token(chain[-1], piece), [chain[-1], 0, 0])
+                            path = page.nodes[place][0]
+                            known = texts.setdefault(text_token(path, piece), [path, 0, 0])
                             known[1] += 1
                             known[2] += len(piece)
                     found += [("text", t, path, None, 0, False, 0, n, chars) for t, (path, n, chars) in texts.items()]
