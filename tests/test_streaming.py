@@ -94,3 +94,25 @@ def test_topic_records_are_split(spark, folder):
     good = jobs.drained(jobs.enrich_stream(stream), "good").count()
     bad = jobs.drained(jobs.rejected_stream(stream), "bad").count()
     assert good + bad == raw.count() and bad == raw.where("offset % 50 = 0").count()
+
+
+def test_batches_do_not_change_scores(spark):
+    """Windows out of order in many batches against all in one; what comes after the watermark is counted."""
+    schema = "hashtag string, window_start timestamp_ntz, n bigint, sentiment_sum double, sentiment_n bigint"
+    files = [[1, 3], [2], [6, 4], [5], [9], [12, 11], [10], [20]]
+    runs = {}
+    for name, per_batch, delay, parts in (("one", None, 3, files), ("many", 1, 3, files), ("late", 1, 3, [*files, [2, 8], [30]]), ("arrival", 1, None, files)):
+        source, out, check = (scratch_path(spark, x) for x in ("counts", "scored", "check"))
+        for days in parts:
+            rows = [(t, T0 + timedelta(days=d), 1 + (d * d * k) % 7, 0.5, 1) for d in days for k, t in ((3, "a"), (5, "b"))]
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        processor = TrendState(86_400_000_000, 5, 0.5, 0, delay_us=delay and delay * 86_400_000_000)
+        with jobs.rocksdb_state(spark):
+            scored = score_stream(readers.file_stream(spark, source, schema, per_batch), processor)
+            query = jobs.run_to_files(scored, out, check)
+        found = spark.read.schema(scored.schema).parquet(out).collect()
+        runs[name] = sorted((tuple(r) for r in found), key=lambda r: r[:2]), jobs.late_rows(query)
+    assert runs["one"] == runs["many"] and runs["one"][1] == 0
+    assert [(r[1] - T0).days for r in runs["one"][0] if r[0] == "a"] == [1, 2, 3, 4, 5, 6, 9, 10, 11, 12]
+    assert runs["late"][1] == 4 and [r for r in runs["late"][0] if r[1] < T0 + timedelta(days=20)] == runs["one"][0]
+    assert {(r[1] - T0).days for r in runs["arrival"][0] if r[-1]} == {2, 5, 10}  # marked, not lost in silence

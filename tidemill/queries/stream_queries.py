@@ -82,11 +82,15 @@ def stream_tumbling(spark, folder):
 
 
 def _scored(spark, folder, width: str, processor: TrendState) -> DataFrame:
-    """Two jobs with the table of closed windows between them."""
+    """Two jobs with the table of closed windows between them. A last row without a tag says how far the first one came."""
     counts = jobs.tumbling_stream(_posts(spark, folder), width)
     table = scratch_path(spark, "windows")
-    jobs.run_to_files(counts, table, scratch_path(spark, "windows-checkpoint"))
-    closed = readers.file_stream(spark, table, counts.schema)
+    done = jobs.run_to_files(counts, table, scratch_path(spark, "windows-checkpoint"))
+    edge = F.lit(jobs.watermark(done)).cast("timestamp") + F.make_dt_interval(secs=F.lit(processor.delay_us / 1_000_000))
+    mark = spark.range(1).select(jobs.wall_time(edge).alias("window_start"), F.lit(0).cast("bigint").alias("n"))
+    marks = scratch_path(spark, "marks")
+    spark.createDataFrame([], counts.schema).unionByName(mark, allowMissingColumns=True).coalesce(1).write.parquet(marks)
+    closed = readers.file_stream(spark, table, counts.schema).unionByName(readers.file_stream(spark, marks, counts.schema))
     with jobs.rocksdb_state(spark):
         return jobs.drained(score_stream(closed, processor), "scored")
 
@@ -107,7 +111,7 @@ SELECT hashtag, window_start, n, history, round(baseline_mean, 6) AS baseline_me
 FROM hits SEMI JOIN kept USING (hashtag, window_start)""",
 )
 def stream_trend_state(spark, folder):
-    processor = TrendState(DAY_US, 7, 0.5, 4 * DAY_US)
+    processor = TrendState(DAY_US, 7, 0.5, 4 * DAY_US, delay_us=2 * DAY_US)
     out = _scored(spark, folder, DAY, processor).where("emitted")
     return out.select(
         "hashtag",
@@ -135,7 +139,7 @@ SELECT hashtag, window_start, n, least(7, date_diff('hour', min(window_start) OV
 def state_ttl(spark, folder):
     """Hourly windows; a tag silent for more than one whole hour is forgotten."""
     hour = DAY_US // 24
-    processor = TrendState(hour, 7, 3.0, 0, forget=1)
+    processor = TrendState(hour, 7, 3.0, 0, forget=1, delay_us=2 * hour)
     return _scored(spark, folder, "1 hour", processor).select(
         "hashtag", "window_start", "n", "history"
     )

@@ -120,6 +120,12 @@ def late_rows(query) -> int:
     )
 
 
+def watermark(query) -> str:
+    """The last event-time watermark of a query; what lies before it is closed."""
+    known = (p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"])
+    return max(known, default="1970-01-01T00:00:00.000Z")
+
+
 def deliver_by_batch(stream: DataFrame, out: str, checkpoint: str):
     """``foreachBatch`` sink that may run a batch again without duplicates.
 
