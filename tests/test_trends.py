@@ -135,3 +135,12 @@ def test_sketch_is_one_small_value(spark):
     rows = trends.hashtag_sketch(df).collect()
     assert len(rows) == 1 and len(rows[0]["sketch"]) > 0
     assert {r["hashtag"]: r["n"] for r in trends.hashtag_top(df, 7).collect()}["t0"] == 72
+
+
+def test_every_tag_gets_an_estimate(spark):
+    df = spark.range(60_000).selectExpr("concat('täg', CAST(floor(sqrt(id)) * 20 + id % 20 AS STRING)) AS hashtag")
+    exact = {r["hashtag"]: r["count"] for r in df.groupBy("hashtag").count().collect()}
+    got = {r["hashtag"]: r["n"] for r in trends.hashtag_estimates(df).collect()}
+    assert len(exact) > 4000 and got.keys() == exact.keys()
+    assert all(got[t] >= n for t, n in exact.items())
+    assert sum(got[t] - n > 60 for t, n in exact.items()) <= 0.01 * len(exact)

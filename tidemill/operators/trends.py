@@ -320,6 +320,26 @@ def hashtag_sketch(tagged: DataFrame, eps: float = 0.001, confidence: float = 0.
     )
 
 
+HASH_ZERO = -1693959553  # Spark's hash of this number is 0, so it sets the seed for the columns after it
+
+
+def hashtag_estimates(tagged: DataFrame, eps: float = 0.001, confidence: float = 0.99) -> DataFrame:
+    """Every tag with its count as the sketch has it: never too low, and too high by more than ``eps`` times all
+    rows with a probability of ``1 - confidence`` at most."""
+    first, second = (F.hash(F.lit(HASH_ZERO), *["hashtag"] * k).cast("bigint") for k in (1, 2))
+    tags = tagged.select("hashtag").distinct().select("hashtag", first.alias("h1"), second.alias("h2"))
+    sketch = hashtag_sketch(tagged, eps, confidence)
+
+    def number(at: str, size: int) -> str:
+        return f"CAST(conv(hex(substring(sketch, CAST({at} AS INT), {size})), 16, 10) AS BIGINT)"
+
+    # the sketch's layout: version, total, depth, width, a number per row, the rows
+    rows = sketch.select("sketch", F.expr(number("13", 4)).alias("depth"), F.expr(number("17", 4)).alias("width"))
+    cell = "abs(shiftright(shiftleft(h1 + i * h2, 32), 32) % width)"
+    found = f"array_min(transform(sequence(0L, depth - 1), i -> {number(f'21 + 8 * (depth + i * width + {cell})', 8)}))"
+    return tags.crossJoin(F.broadcast(rows)).select("hashtag", F.expr(found).alias("n"))
+
+
 def ingest_quality(raw: DataFrame, width: str = "1 day") -> DataFrame:
     """Share of unreadable records, and of posts without language or sentiment, per window."""
     good, bad = parse_posts(raw)

@@ -331,6 +331,12 @@ def hashtag_sketch(spark, folder):
     return trends.hashtag_top(_tagged(spark, folder))
 
 
+@query("hashtag_estimates", f"WITH {sql.TAGGED} SELECT hashtag, count(*) AS n FROM tagged GROUP BY hashtag")
+def hashtag_estimates(spark, folder):
+    """All tags from the count-min sketch, which is exact as long as they are few."""
+    return trends.hashtag_estimates(_tagged(spark, folder))
+
+
 @query(
     "sentiment_drift",
     f"""WITH {sql.DENSE}
