@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import hashlib
 import json
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.queries import source_queries
 from tidemill.sources import readers, writers
 
 
@@ -82,3 +84,28 @@ def test_artifacts(spark, tmp_path):
     manifest = spark.createDataFrame([("a.bin", known["a.bin"]), ("b.bin", "0"), ("gone.bin", "1")], "file string, sha256 string")
     got = {r["file"]: r["status"] for r in readers.verify_artifacts(hashes, manifest).collect()}
     assert got == {"a.bin": "ok", "b.bin": "changed", "gone.bin": "missing", "c.bin": "unlisted"}
+
+
+def test_artifact_files_hold_a_bounded_number_of_ids(spark, folder, monkeypatch):
+    """The hashes of whole days come from many small files, none read as more than its block of ids."""
+    whole = sorted(map(tuple, source_queries.src_artifact_hash(spark, folder).collect()))
+    files = []
+    read = readers.artifact_hashes
+
+    def seen(*args):
+        files.append(read(*args))
+        return files[-1]
+
+    monkeypatch.setattr(readers, "artifact_hashes", seen)
+    monkeypatch.setattr(source_queries, "BLOCK_IDS", 20)
+    assert sorted(map(tuple, source_queries.src_artifact_hash(spark, folder).collect())) == whole
+    lengths = [r["length"] for r in files[0].where("file LIKE '%.txt'").collect()]
+    assert len(lengths) > len(whole) and max(lengths) <= 20 * 5 and sum(lengths) == sum(r[2] for r in whole)
+
+
+def test_lines_of_a_group_are_hashed_in_order(spark):
+    lines = spark.range(30_000).selectExpr("CAST(id % 3 AS STRING) AS g", "29999 - id AS line")
+    got = {r["g"]: r["sha256"] for r in readers.line_hashes(lines.repartition(5), "g", "line").collect()}
+    for g in range(3):
+        content = "".join(f"{i}\n" for i in range(30_000) if (29_999 - i) % 3 == g)
+        assert got[str(g)] == hashlib.sha256(content.encode()).hexdigest()

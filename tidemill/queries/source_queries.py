@@ -153,6 +153,9 @@ def snk_processed(spark, folder):
     return spark.read.schema(schema).parquet(path)
 
 
+BLOCK_IDS = 1_000_000  # a file is hashed as one value: with so many ids it has 20 MB at most
+
+
 @query(
     "src_artifact_hash",
     """WITH days AS (
@@ -162,18 +165,26 @@ SELECT CAST(day AS VARCHAR) AS day, sha256(content) AS sha256, CAST(strlen(conte
   CASE WHEN day = (SELECT min(day) FROM days) THEN 'changed' ELSE 'ok' END AS status FROM days""",
 )
 def src_artifact_hash(spark, folder):
-    """One file of event ids per day, hashed and checked against a manifest with one planted difference."""
+    """Files of event ids per day and block of ids, checked against a manifest worked out from the events with one planted
+    difference. A day's hash comes from the lines of its files, read in order."""
     path = scratch_path(spark, "artifacts")
-    events = views.table(spark, folder, "events")
-    ids = events.select(F.to_date("ts").alias("day"), "event_id").repartition("day")
-    lines = ids.sortWithinPartitions("day", "event_id").select("day", F.col("event_id").cast("string").alias("value"))
-    lines.write.partitionBy("day").text(path)
+    ids = views.table(spark, folder, "events").select(F.to_date("ts").alias("day"), F.expr(f"event_id DIV {BLOCK_IDS}").alias("block"), "event_id")
+    lines = ids.repartition("day", "block").sortWithinPartitions("day", "block", "event_id")
+    lines.select("day", "block", F.col("event_id").cast("string").alias("value")).write.partitionBy("day", "block").text(path)
     hashes = readers.artifact_hashes(spark, path).where(F.col("file").endswith(".txt"))
-    first = hashes.agg(F.min("file").alias("f"))
+    hashes = hashes.withColumn("file", F.substring_index("file", "/", 2))
+    content = F.concat(F.array_join(F.sort_array(F.collect_list("event_id")).cast("array<string>"), "\n"), F.lit("\n"))
+    manifest = ids.groupBy("day", "block").agg(F.sha2(content, 256).alias("sha256"))
+    manifest = manifest.select(F.concat(F.lit("day="), "day", F.lit("/block="), "block").alias("file"), "sha256")
+    first = manifest.agg(F.min("file").alias("f"))
     planted = F.when(F.col("file") == first.scalar(), F.lit("0")).otherwise(F.col("sha256"))
-    statuses = readers.verify_artifacts(hashes, hashes.select("file", planted.alias("sha256")))
-    day = F.regexp_extract("file", "day=([^/]+)/", 1).alias("day")
-    return hashes.join(statuses, "file").select(day, "sha256", "length", "status")
+    statuses = readers.verify_artifacts(hashes, manifest.select("file", planted.alias("sha256")))
+    statuses = statuses.join(hashes.select("file", "length"), "file", "left")
+    found = statuses.groupBy(F.regexp_extract("file", "day=([^/]+)/", 1).alias("day")).agg(
+        F.sum("length").alias("length"), F.when(F.bool_and(F.col("status") == "ok"), "ok").otherwise("changed").alias("status")
+    )
+    values = spark.read.text(path).select(F.col("day").cast("string").alias("day"), F.col("value").cast("bigint").alias("line"))
+    return found.join(readers.line_hashes(values, "day", "line"), "day").select("day", "sha256", "length", "status")
 
 
 @query(

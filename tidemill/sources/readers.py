@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,6 +111,29 @@ def artifact_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def line_hashes(lines: DataFrame, group: str, line: str) -> DataFrame:
+    """SHA-256 of the sorted lines of every group, fed to the hash batch by batch: no group has to fit in memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, state = None, None
+        done: list[tuple[str, str]] = []
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            for key in dict.fromkeys(batch.column(0).to_pylist()):  # sorted, so a key is one run of rows
+                if state is None or key != at:
+                    if state is not None:
+                        done.append((at, state.hexdigest()))
+                    at, state = key, hashlib.sha256()
+                rows = table.filter(pc.equal(table.column(0), key)).column(1).to_pylist()
+                state.update("".join(f"{row}\n" for row in rows).encode())
+        if state is not None:
+            done.append((at, state.hexdigest()))
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], names=[group, "sha256"])
+
+    ordered = lines.select(group, line).repartition(group).sortWithinPartitions(group, line)
+    return ordered.mapInArrow(run, f"{group} string, sha256 string")
+
+
 def verify_artifacts(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
     """ok, changed, missing or unlisted for every file in the manifest ``(file, sha256)`` or on disk."""
     listed = manifest.select("file", F.col("sha256").alias("expected"))
