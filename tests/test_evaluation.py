@@ -189,3 +189,14 @@ def test_models_learn(spark):
     draws = mo.random_params(30)
     assert all(3 <= d["max_depth"] <= 10 and 0.01 <= d["learning_rate"] <= 0.3 for d in draws)
     assert draws == mo.random_params(30)
+
+
+def test_search_draws_fifty_trials_from_the_whole_space(spark, folder, monkeypatch):
+    from tidemill.queries import evaluation_queries as queries
+
+    seen = []
+    monkeypatch.setattr(queries.mo, "hyper_search", lambda rows, features, draws: seen.extend(draws))
+    queries.hyper_search(spark, folder)
+    space = queries.mo.SEARCH_SPACE
+    assert len(seen) == 50 and all(space[k][0] <= v <= space[k][1] for d in seen for k, v in d.items())
+    assert max(d["trees"] for d in seen) > 400 and max(d["max_depth"] for d in seen) == 10

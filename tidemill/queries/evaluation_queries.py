@@ -475,8 +475,8 @@ def train_classifier(spark, folder):
 
 @query("hyper_search")
 def hyper_search(spark, folder):
-    space = dict(mo.SEARCH_SPACE, trees=(3, 6), max_depth=(2, 4))
-    return mo.hyper_search(_filled(spark, folder), list(WEIGHTS), mo.random_params(3, space))
+    """Fifty trials over the whole search space."""
+    return mo.hyper_search(_filled(spark, folder), list(WEIGHTS), mo.random_params(50))
 
 
 @query("cross_validate", f"WITH {FILLED} SELECT 5 AS folds, count(*) AS n, true AS plausible FROM filled")
