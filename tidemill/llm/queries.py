@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, katz, language_id, line_cleaning, mixing, near_dedup, topk_search
+from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, katz, language_id, line_cleaning, merkle, mixing, near_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +197,54 @@ def op4_html_extract(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_katz_scores")
 def op6_katz_scores(spark: SparkSession, folder: str) -> DataFrame:
     return katz.katz_scores(read(spark, folder, "documents"), held_out(7, 2))
+
+
+MERKLE_SQL = """
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, *, coalesce('s' || source, '') AS k FROM documents),
+c AS (SELECT *, text IS NOT NULL AND xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+        list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: CAST(ascii(CAST(doc_id AS VARCHAR)[i]) AS BIGINT))),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT) FOR z IN range(8)]),
+                                 lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 2 = 0 AS odd
+      FROM d),
+h AS (SELECT rid, doc_id, k, sha256(start || body(text)) AS leaf, sha256(start || body(now)) AS found
+      FROM (SELECT rid, doc_id, k, text, CASE WHEN odd THEN replace(text, chr(10), '') ELSE text END AS now,
+                   body(CAST(doc_id AS VARCHAR)) || body(source) || body(lang) || body(CAST(n_chars AS VARCHAR)) AS start FROM c)),
+l AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM h),
+t(k, level, i, digest) AS (
+  SELECT k, 0, i, leaf FROM l
+  UNION ALL
+  SELECT k, level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i))
+  FROM (SELECT *, count(*) OVER (PARTITION BY k) AS n FROM t) WHERE n > 1 GROUP BY k, level, i // 3),
+r AS (SELECT k, max_by(digest, level) AS subroot, max(level) AS top FROM t GROUP BY k),
+u(level, i, digest) AS (
+  SELECT 0, row_number() OVER (ORDER BY k) - 1, subroot FROM r
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(digest, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY level, i // 3),
+nodes AS (SELECT k, level, i, digest, top FROM t JOIN r USING (k)
+          UNION ALL SELECT 'top', level, i, digest, (SELECT max(level) FROM u) FROM u),
+s AS (SELECT a.k, a.level, a.i, coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS lft,
+             coalesce(string_agg(b.digest, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS rgt
+      FROM nodes a JOIN nodes b ON a.k = b.k AND a.level = b.level AND a.i // 3 = b.i // 3 AND a.level < a.top GROUP BY ALL),
+f(rid, k, level, i, node, sibs) AS (
+  SELECT rid, k, 0, i, found, '' FROM l
+  UNION ALL
+  SELECT rid, f.k, f.level + 1, f.i // 3, sha256(lft || node || rgt), sibs || lft || rgt FROM f JOIN s ON f.k = s.k AND f.level = s.level AND f.i = s.i),
+m AS (SELECT rid, k, max_by(node, level) AS node, max_by(sibs, level) AS sibs FROM f GROUP BY rid, k),
+g(rid, level, i, node, sibs) AS (
+  SELECT rid, 0, x.i, node, sibs FROM m JOIN (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i FROM r) x USING (k)
+  UNION ALL
+  SELECT rid, g.level + 1, g.i // 3, sha256(lft || node || rgt), sibs || lft || rgt FROM g JOIN s ON s.k = 'top' AND g.level = s.level AND g.i = s.i),
+e AS (SELECT rid, max_by(node, level) AS folded, max_by(sibs, level) AS sibs FROM g GROUP BY rid),
+o AS (SELECT max_by(digest, level) AS root FROM u)
+SELECT doc_id, leaf, subroot, root, sha256(sibs) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM l JOIN r USING (k) JOIN e USING (rid), o
+"""
+
+
+@query("op12_merkle_manifest", re.sub(r"body\(((?:[^()]|\([^()]*\))*)\)", r"coalesce(strlen(\1) || ':' || \1, '-')", MERKLE_SQL))
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document checked against the manifest; where 2 divides the CRC-32 of the id, its line feeds are gone when found."""
+    docs = read(spark, folder, "documents")
+    altered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.col("text").contains("\n")
+    found = F.when(altered, F.replace("text", F.lit("\n"), F.lit("")))
+    return merkle.verified(merkle.build(merkle.document_leaves(docs, found)))
