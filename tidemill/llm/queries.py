@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import byte_bpe, byte_cnn, chat_format, html_extract, katz, language_id, line_cleaning, merkle, mixing, near_dedup, topk_search
+from tidemill.llm import byte_bpe, byte_cnn, chat_format, conversation_repair, html_extract, katz, language_id, line_cleaning, merkle, mixing, near_dedup, substring_dedup, topk_search
 from tidemill.llm.common import id_remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -248,3 +248,26 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     altered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0) & F.col("text").contains("\n")
     found = F.when(altered, F.replace("text", F.lit("\n"), F.lit("")))
     return merkle.verified(merkle.build(merkle.document_leaves(docs, found)))
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT rid, doc_id, i, array_to_string(ws[i:i+12], ' ') AS v FROM d, unnest(range(1, len(ws) - 11)) AS t(i) WHERE doc_id IS NOT NULL),
+m AS (SELECT rid, i FROM (SELECT rid, i, doc_id, min(doc_id) OVER (PARTITION BY v) AS least FROM w) WHERE least < doc_id),
+r AS (SELECT rid, list(DISTINCT i + k) AS gone FROM m, range(13) AS t(k) GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(ws, ' ')
+              ELSE array_to_string([ws[j] FOR j IN range(1, len(ws) + 1) IF NOT list_contains(gone, j)], ' ') END) AS kept_sha256
+FROM d LEFT JOIN r USING (rid)
+"""
+
+
+@query("op13_substring_dedup", SUBSTRING_SQL)
+def op13_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring_dedup.substring_dedup(read(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repaired_conversations(conversation_repair.damaged(read(spark, folder, "conversations")))
