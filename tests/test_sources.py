@@ -7,7 +7,6 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.queries import source_queries
 from tidemill.sources import readers, writers
 
 
@@ -86,26 +85,56 @@ def test_artifacts(spark, tmp_path):
     assert got == {"a.bin": "ok", "b.bin": "changed", "gone.bin": "missing", "c.bin": "unlisted"}
 
 
-def test_artifact_files_hold_a_bounded_number_of_ids(spark, folder, monkeypatch):
-    """The hashes of whole days come from many small files, none read as more than its block of ids."""
-    whole = sorted(map(tuple, source_queries.src_artifact_hash(spark, folder).collect()))
-    files = []
-    read = readers.artifact_hashes
-
-    def seen(*args):
-        files.append(read(*args))
-        return files[-1]
-
-    monkeypatch.setattr(readers, "artifact_hashes", seen)
-    monkeypatch.setattr(source_queries, "BLOCK_IDS", 20)
-    assert sorted(map(tuple, source_queries.src_artifact_hash(spark, folder).collect())) == whole
-    lengths = [r["length"] for r in files[0].where("file LIKE '%.txt'").collect()]
-    assert len(lengths) > len(whole) and max(lengths) <= 20 * 5 and sum(lengths) == sum(r[2] for r in whole)
-
-
-def test_lines_of_a_group_are_hashed_in_order(spark):
-    lines = spark.range(30_000).selectExpr("CAST(id % 3 AS STRING) AS g", "29999 - id AS line")
-    got = {r["g"]: r["sha256"] for r in readers.line_hashes(lines.repartition(5), "g", "line").collect()}
-    for g in range(3):
-        content = "".join(f"{i}\n" for i in range(30_000) if (29_999 - i) % 3 == g)
-        assert got[str(g)] == hashlib.sha256(content.encode()).hexdigest()
+def plain_tree(lines, block_bytes, fanout):
+    """Root and leaves of one group's sorted lines."""
+    blocks, at = {}, 0
+    for line in lines:
+        blocks.setdefault(at // block_bytes, []).append(line + "\n")
+        at += len(line.encode()) + 1
+    leaves = {i: hashlib.sha256("".join(b).encode()).hexdigest() for i, b in blocks.items()}
+    level = dict(leaves)
+    while max(level) > 0:
+        up = {}
+        for i in sorted(level):
+            up[i // fanout] = up.get(i // fanout, "") + level[i]
+        level = {i: hashlib.sha256(text.encode()).hexdigest() for i, text in up.items()}
+    return level[0], leaves
+
+
+def test_trees_locate_the_first_changed_block(spark):
+    """Groups of many heights; one line differs, one group is longer, one missing, one unlisted."""
+    sizes = {"a": 1, "b": 40, "c": 1000, "d": 1000, "e": 300, "f": 5, "long line": 3}
+    listed = {g: [f"{g}é{i}" * (200 if g == "long line" else 1) for i in range(n)] for g, n in sizes.items()}
+    found = {g: list(v) for g, v in listed.items()}
+    found["c"][777] = found["c"][777][:-1] + "x"
+    found["e"] += [f"more{i}" for i in range(900)]
+    found["new"] = found.pop("f")
+
+    def tree(groups):
+        rows = [(g, i, line, "clash") for g, v in groups.items() for i, line in enumerate(v)]
+        lines = spark.createDataFrame(rows, "g string, o bigint, line string, i string").repartition(4)
+        return readers.digest_tree(readers.block_digests(lines, "g", "o", "line", 64), "g", 3)
+
+    got = {r["g"]: tuple(r)[1:] for r in readers.compare_trees(tree(found), tree(listed), "g", 3).collect()}
+    expected = {}
+    for g in {*found, *listed}:
+        a, b = (plain_tree(side[g], 64, 3) if g in side else None for side in (found, listed))
+        if a and b:
+            first = min((i for i in {*a[1], *b[1]} if a[1].get(i) != b[1].get(i)), default=None)
+            expected[g] = ("ok" if first is None else "changed", a[0], first)
+        else:
+            expected[g] = ("unlisted", a[0], None) if a else ("missing", b[0], None)
+    assert got == expected
+
+
+def test_blocks_are_bounded(spark):
+    """A task that hashes a block holds its bytes and one line, not its group."""
+    lines = spark.range(50_000).select(F.lit("hot").alias("g"), F.col("id").alias("o"), F.col("id").cast("string").alias("line"))
+    leaves = readers.block_digests(lines, "g", "o", "line", 1000)
+    assert leaves.count() == -(-sum(len(str(i)) + 1 for i in range(50_000)) // 1000)
+
+
+def test_no_lines_no_trees(spark):
+    none = spark.createDataFrame([], "g string, o bigint, line string")
+    tree = readers.digest_tree(readers.block_digests(none, "g", "o", "line"), "g")
+    assert readers.compare_trees(tree, tree, "g").isEmpty()

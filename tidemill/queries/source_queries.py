@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators import evaluate as ev
 from tidemill.operators import trends
 from tidemill.operators.features import split_random
-from tidemill.plans.scratch import scratch_path
+from tidemill.plans.scratch import materialize, scratch_path
 from tidemill.queries import checks as sql
 from tidemill.queries.registry import query, r
 from tidemill.queries.trend_queries import DAY
@@ -153,38 +154,60 @@ def snk_processed(spark, folder):
     return spark.read.schema(schema).parquet(path)
 
 
-BLOCK_IDS = 1_000_000  # a file is hashed as one value: with so many ids it has 20 MB at most
+BLOCK_BYTES, FANOUT = 4096, 4  # small blocks: a change is located to some hundred lines
+
+
+def _tree_sql(rows: str, name: str) -> str:
+    """Blocks and levels of the lines ``(day, o, line)`` of a table, and its roots."""
+    return f"""
+{name}_b AS (SELECT day, o, line || chr(10) AS line,
+  (sum(strlen(line) + 1) OVER (PARTITION BY day ORDER BY o) - strlen(line) - 1) // {BLOCK_BYTES} AS i FROM {rows}),
+{name}(day, level, i, digest) AS (
+  SELECT day, 0, CAST(i AS BIGINT), sha256(string_agg(line, '' ORDER BY o)) FROM {name}_b GROUP BY day, i
+  UNION ALL
+  SELECT day, level + 1, i // {FANOUT}, sha256(string_agg(digest, '' ORDER BY i))
+  FROM (SELECT *, max(i) OVER (PARTITION BY day) AS most FROM {name}) WHERE most > 0 GROUP BY day, level, i // {FANOUT}),
+{name}_r AS (SELECT day, max_by(digest, level) AS root FROM {name} GROUP BY day)"""
 
 
 @query(
     "src_artifact_hash",
-    """WITH days AS (
-SELECT CAST(ts AS DATE) AS day, string_agg(CAST(event_id AS VARCHAR) || chr(10), '' ORDER BY event_id) AS content
-FROM events GROUP BY 1)
-SELECT CAST(day AS VARCHAR) AS day, sha256(content) AS sha256, CAST(strlen(content) AS BIGINT) AS length,
-  CASE WHEN day = (SELECT min(day) FROM days) THEN 'changed' ELSE 'ok' END AS status FROM days""",
+    f"""WITH RECURSIVE listed_lines AS (
+  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_id AS o, CAST(event_id AS VARCHAR) || ':' || CAST(user_id AS VARCHAR) AS line FROM events),
+ends AS (SELECT min(day) AS low, max(day) AS high FROM listed_lines),
+planted AS (SELECT max(o) AS o FROM listed_lines, ends WHERE day = low),
+found_lines AS (
+  SELECT day, o, CASE WHEN o = (SELECT o FROM planted)
+    THEN split_part(line, ':', 1) || ':' || translate(split_part(line, ':', 2), '0123456789', '1234567890') ELSE line END AS line
+  FROM listed_lines, ends WHERE day < high
+  UNION ALL SELECT '1970-01-01', o, line FROM listed_lines, ends WHERE day = high),
+{_tree_sql("listed_lines", "listed")}, {_tree_sql("found_lines", "found")},
+low AS (SELECT f.day, min(f.i) AS changed FROM found f JOIN listed l USING (day, level, i) WHERE level = 0 AND f.digest <> l.digest GROUP BY f.day)
+SELECT day, CASE WHEN f.root IS NULL THEN 'missing' WHEN l.root IS NULL THEN 'unlisted' WHEN f.root = l.root THEN 'ok' ELSE 'changed' END AS status,
+  coalesce(f.root, l.root) AS root, changed
+FROM listed_r l FULL JOIN found_r f USING (day) LEFT JOIN low USING (day)""",
 )
 def src_artifact_hash(spark, folder):
-    """Files of event ids per day and block of ids, checked against a manifest worked out from the events with one planted
-    difference. A day's hash comes from the lines of its files, read in order."""
+    """Files of one day each, verified against Merkle trees made from the events. The files lack the last day, have it again
+    under another name, and one line of the first day is changed; the trees tell these and the block of the line."""
+    events = views.table(spark, folder, "events").select(F.to_date("ts").cast("string").alias("day"), "event_id", "user_id")
+    events = materialize(events, "events")
+    line = F.concat(F.col("event_id").cast("string"), F.lit(":"), F.col("user_id").cast("string"))
+    ends = events.agg(F.min("day").alias("low"), F.max("day").alias("high")).first()
+    planted = events.where(F.col("day") == ends["low"]).agg(F.max("event_id")).first()[0]
+    swapped = F.concat(F.col("event_id").cast("string"), F.lit(":"), F.translate(F.col("user_id").cast("string"), "0123456789", "1234567890"))
     path = scratch_path(spark, "artifacts")
-    ids = views.table(spark, folder, "events").select(F.to_date("ts").alias("day"), F.expr(f"event_id DIV {BLOCK_IDS}").alias("block"), "event_id")
-    lines = ids.repartition("day", "block").sortWithinPartitions("day", "block", "event_id")
-    lines.select("day", "block", F.col("event_id").cast("string").alias("value")).write.partitionBy("day", "block").text(path)
-    hashes = readers.artifact_hashes(spark, path).where(F.col("file").endswith(".txt"))
-    hashes = hashes.withColumn("file", F.substring_index("file", "/", 2))
-    content = F.concat(F.array_join(F.sort_array(F.collect_list("event_id")).cast("array<string>"), "\n"), F.lit("\n"))
-    manifest = ids.groupBy("day", "block").agg(F.sha2(content, 256).alias("sha256"))
-    manifest = manifest.select(F.concat(F.lit("day="), "day", F.lit("/block="), "block").alias("file"), "sha256")
-    first = manifest.agg(F.min("file").alias("f"))
-    planted = F.when(F.col("file") == first.scalar(), F.lit("0")).otherwise(F.col("sha256"))
-    statuses = readers.verify_artifacts(hashes, manifest.select("file", planted.alias("sha256")))
-    statuses = statuses.join(hashes.select("file", "length"), "file", "left")
-    found = statuses.groupBy(F.regexp_extract("file", "day=([^/]+)/", 1).alias("day")).agg(
-        F.sum("length").alias("length"), F.when(F.bool_and(F.col("status") == "ok"), "ok").otherwise("changed").alias("status")
-    )
-    values = spark.read.text(path).select(F.col("day").cast("string").alias("day"), F.col("value").cast("bigint").alias("line"))
-    return found.join(readers.line_hashes(values, "day", "line"), "day").select("day", "sha256", "length", "status")
+    day = F.when(F.col("day") == ends["high"], "1970-01-01").otherwise(F.col("day"))
+    value = F.when(F.col("event_id") == planted, swapped).otherwise(line)
+    events.select(value.alias("value"), day.alias("day")).write.partitionBy("day").text(path)
+
+    def tree(lines: DataFrame) -> list[DataFrame]:
+        return readers.digest_tree(readers.block_digests(lines, "day", "o", "line", BLOCK_BYTES), "day", FANOUT)
+
+    listed = tree(events.select("day", F.col("event_id").alias("o"), line.alias("line")))
+    files = spark.read.schema("value string, day string").text(path)
+    found = tree(files.select("day", F.substring_index("value", ":", 1).cast("bigint").alias("o"), F.col("value").alias("line")))
+    return readers.compare_trees(found, listed, "day", FANOUT)
 
 
 @query(

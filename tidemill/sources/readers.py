@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.plans import materialize, prefix_sum
+
 PASSENGER_SCHEMA = (
     "passenger_id bigint, survived int, pclass int, name string, sex string, age double, sibsp int,"
     " parch int, ticket string, fare double, cabin string, embarked string"
@@ -111,27 +110,66 @@ def artifact_hashes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def line_hashes(lines: DataFrame, group: str, line: str) -> DataFrame:
-    """SHA-256 of the sorted lines of every group, fed to the hash batch by batch: no group has to fit in memory."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, state = None, None
-        done: list[tuple[str, str]] = []
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            for key in dict.fromkeys(batch.column(0).to_pylist()):  # sorted, so a key is one run of rows
-                if state is None or key != at:
-                    if state is not None:
-                        done.append((at, state.hexdigest()))
-                    at, state = key, hashlib.sha256()
-                rows = table.filter(pc.equal(table.column(0), key)).column(1).to_pylist()
-                state.update("".join(f"{row}\n" for row in rows).encode())
-        if state is not None:
-            done.append((at, state.hexdigest()))
-        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], pa.string()) for k in (0, 1)], names=[group, "sha256"])
-
-    ordered = lines.select(group, line).repartition(group).sortWithinPartitions(group, line)
-    return ordered.mapInArrow(run, f"{group} string, sha256 string")
+BLOCK_BYTES, FANOUT = 1_000_000, 16
+
+
+def block_digests(lines: DataFrame, group: str, order: str, line: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``(group, level, i, digest)`` of blocks of whole lines, cut by the bytes before them: no value is longer than a block
+    and one line, however large a group. ``order`` is numeric and unique within a group."""
+    sized = lines.select(group, F.col(order).alias("_o"), F.concat(line, F.lit("\n")).alias("_line"))
+    sized = materialize(sized.withColumn("_n", F.octet_length("_line").cast("bigint")), "lines")
+    places = prefix_sum(sized.select(group, "_o", "_n"), "_o", ["_n"], by=[group])
+    block = F.floor((F.col("cum__n") - F.col("_n")) / block_bytes).cast("bigint")
+    cut = sized.join(places.select(group, "_o", block.alias("i")), [group, "_o"])
+    rows = F.sort_array(F.collect_list(F.struct("_o", "_line")))
+    text = F.array_join(F.transform(rows, lambda x: x["_line"]), "")
+    return cut.groupBy(group, "i").agg(F.sha2(text, 256).alias("digest")).select(group, F.lit(0).alias("level"), "i", "digest")
+
+
+def digest_tree(leaves: DataFrame, group: str, fanout: int = FANOUT) -> list[DataFrame]:
+    """Levels of a Merkle tree for each group: a parent is the hash of up to ``fanout`` digests. A group is in the levels up
+    to its root."""
+    levels = [materialize(leaves, "digests")]
+    while True:
+        unfinished = levels[-1].groupBy(group).agg(F.max("i").alias("_most")).where("_most > 0").select(group)
+        rows = F.sort_array(F.collect_list(F.struct("i", "digest")))
+        joined = F.array_join(F.transform(rows, lambda x: x["digest"]), "")
+        up = levels[-1].join(unfinished, group, "left_semi")
+        up = up.groupBy(group, F.floor(F.col("i") / fanout).cast("bigint").alias("i")).agg(F.sha2(joined, 256).alias("digest"))
+        up = materialize(up.select(group, F.lit(len(levels)).alias("level"), "i", "digest"), "digests")
+        if up.isEmpty():
+            return levels
+        levels.append(up)
+
+
+def tree_roots(levels: list[DataFrame], group: str) -> DataFrame:
+    """``(group, root, height)``."""
+    firsts = reduce(DataFrame.unionByName, [level.where("i = 0") for level in levels])
+    return firsts.groupBy(group).agg(F.max_by("digest", "level").alias("root"), F.max("level").alias("height"))
+
+
+def compare_trees(found: list[DataFrame], listed: list[DataFrame], group: str, fanout: int = FANOUT) -> DataFrame:
+    """``(group, status, root, changed)``: ok, changed, missing or unlisted, and the first leaf that differs.
+
+    Only children of differing nodes are compared on the way down, which begins at the lower of both roots.
+    """
+    one, two = (tree_roots(levels, group) for levels in (found, listed))
+    roots = one.join(two.select(group, F.col("root").alias("expected"), F.col("height").alias("other")), group, "full_outer")
+    status = F.when(F.col("root").isNull(), "missing").when(F.col("expected").isNull(), "unlisted")
+    status = status.when(F.col("root") == F.col("expected"), "ok").otherwise("changed")
+    roots = roots.select(group, status.alias("status"), F.coalesce("root", "expected").alias("root"), F.least("height", "other").alias("start"))
+    roots = materialize(roots, "roots")
+    changed = roots.where("status = 'changed'").select(group, "start")
+    differing: DataFrame | None = None
+    for level in reversed(range(min(len(found), len(listed)))):
+        left, right = (levels[level].select(group, "i", F.col("digest").alias(name)) for levels, name in ((found, "a"), (listed, "b")))
+        nodes = left.join(right, [group, "i"], "full_outer").where("NOT a <=> b")
+        nodes = nodes.select(group, "i", F.floor(F.col("i") / fanout).cast("bigint").alias("parent"))
+        begun = nodes.join(changed.where(F.col("start") == level).select(group), group, "left_semi")
+        if differing is not None:
+            begun = begun.unionByName(nodes.join(differing.select(group, F.col("i").alias("parent")), [group, "parent"], "left_semi"))
+        differing = materialize(begun.select(group, "i"), "differing")
+    return roots.select(group, "status", "root").join(differing.groupBy(group).agg(F.min("i").alias("changed")), group, "left")
 
 
 def verify_artifacts(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
