@@ -1,13 +1,17 @@
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from tidemill.functions.hashing import hash_bucket
+from tidemill.operators import boosting as bo
 from tidemill.operators import evaluate as ev
 from tidemill.operators import models as mo
 from tidemill.operators import monitor as mn
@@ -177,26 +181,148 @@ def test_permutation_keeps_values_and_finds_the_feature(spark):
     assert got["a"] > 0.1 and got["b"] == pytest.approx(0.0)
 
 
+def table(spark, n=600):
+    rows = spark.range(n).select("id", (F.col("id") % 10).cast("double").alias("a"), F.rand(3).alias("b"))
+    return rows.withColumn("label", (F.col("a") + F.col("b") >= 5).cast("int"))
+
+
 def test_models_learn(spark):
-    rows = spark.range(600).select("id", (F.col("id") % 10).cast("double").alias("a"), F.rand(3).alias("b")).withColumn(
-        "label", (F.col("a") >= 5).cast("int")
-    )
-    model = mo.train_classifier(rows, ["a", "b"], trees=3, max_depth=2)
+    rows = table(spark).withColumn("a", F.when(F.col("id") % 50 != 0, F.col("a")))
+    model = mo.train_classifier(rows, "id", ["a", "b"], params=bo.TreeParams(trees=4, max_depth=3))
     out = mo.batch_predict(model, rows, "v1", "id", "label")
-    assert ev.auc_roc(out).first()[0] > 0.99
-    gains = {r["feature"]: r["gain"] for r in mo.feature_gain(model, spark, ["a", "b"]).collect()}
-    assert gains["a"] > gains["b"]
-    draws = mo.random_params(30)
-    assert all(3 <= d["max_depth"] <= 10 and 0.01 <= d["learning_rate"] <= 0.3 for d in draws)
-    assert draws == mo.random_params(30)
-
-
-def test_search_draws_fifty_trials_from_the_whole_space(spark, folder, monkeypatch):
-    from tidemill.queries import evaluation_queries as queries
-
-    seen = []
-    monkeypatch.setattr(queries.mo, "hyper_search", lambda rows, features, draws: seen.extend(draws))
-    queries.hyper_search(spark, folder)
-    space = queries.mo.SEARCH_SPACE
-    assert len(seen) == 50 and all(space[k][0] <= v <= space[k][1] for d in seen for k, v in d.items())
-    assert max(d["trees"] for d in seen) > 400 and max(d["max_depth"] for d in seen) == 10
+    assert ev.auc_roc(out).first()[0] > 0.97
+    assert out.where((F.col("predicted") == 1) != (F.col("score") >= 0.5)).isEmpty()
+
+
+def grown_plainly(rows, params, trees):
+    """A learner without histograms: every cut of every node tried on all rows. Rows are (values, label)."""
+
+    def total(part, margin):
+        p = [1 / (1 + math.exp(-margin[i])) for i in part]
+        return sum(p) - sum(rows[i][1] for i in part), sum(q * (1 - q) for q in p)
+
+    def shrunk(g):
+        return math.copysign(max(abs(g) - params.reg_alpha, 0.0), g)
+
+    def score(g, h):
+        return shrunk(g) ** 2 / (h + params.reg_lambda) if h + params.reg_lambda else 0.0
+
+    def split(part, margin, depth):
+        g, h = total(part, margin)
+        best = None
+        if depth < params.max_depth:
+            for f in range(len(rows[0][0])):
+                for cut in sorted({rows[i][0][f] for i in part}):
+                    left = [i for i in part if rows[i][0][f] <= cut]
+                    right = [i for i in part if rows[i][0][f] > cut]
+                    (gl, hl), (gr, hr) = total(left, margin), total(right, margin)
+                    gain = 0.5 * (score(gl, hl) + score(gr, hr) - score(g, h)) - params.gamma
+                    if right and min(hl, hr) >= params.min_child_weight and gain > 1e-9 and (best is None or round(gain, 9) > best[0]):
+                        best = (round(gain, 9), left, right)
+        if best is None:
+            for i in part:
+                added[i] = -params.learning_rate * shrunk(g) / (h + params.reg_lambda)
+        else:
+            split(best[1], margin, depth + 1)
+            split(best[2], margin, depth + 1)
+
+    margin = [0.0] * len(rows)
+    for _ in range(trees):
+        added = [0.0] * len(rows)
+        split(list(range(len(rows))), margin, 0)
+        margin = [m + a for m, a in zip(margin, added, strict=True)]
+    return [1 / (1 + math.exp(-m)) for m in margin]
+
+
+def small(seed, n=120):
+    rng = random.Random(seed)
+    rows = [((float(rng.randint(0, 9)), float(rng.randint(0, 4)), float(rng.randint(0, 1))), 0) for _ in range(n)]
+    return [(x, int(x[0] + 2 * x[1] * x[2] + rng.random() * 4 > 7)) for x, _ in rows]
+
+
+PLAIN = [
+    {"max_depth": 3},
+    {"max_depth": 4, "gamma": 0.3, "reg_alpha": 0.5, "min_child_weight": 2.0},
+    {"max_depth": 2, "reg_lambda": 0.0, "learning_rate": 0.3},
+]
+
+
+def test_trees_grown_together_equal_a_plain_learner(spark):
+    rows = small(1)
+    df = spark.createDataFrame([(i, *x, y) for i, (x, y) in enumerate(rows)], "id bigint, a double, b double, c double, label int").repartition(3)
+    params = [bo.TreeParams(trees=5, subsample=1.0, colsample=1.0, patience=0, **p) for p in PLAIN]
+    models = [bo.Model(i, p) for i, p in enumerate(params)]
+    boosters = bo.fit_many(df, "id", ["a", "b", "c"], models, "label", F.lit(0))
+    for p, booster in zip(params, boosters, strict=True):
+        got = {r["id"]: r["score"] for r in bo.predict(booster, df, "id").collect()}
+        assert [got[i] for i in range(len(rows))] == pytest.approx(grown_plainly(rows, p, 5), abs=1e-6)
+
+
+def test_folds_equal_separately_fitted_models(spark):
+    rows = table(spark, 400)
+    params = bo.TreeParams(trees=3, max_depth=2)
+    folds = {r["fold"]: r for r in mo.cross_validate(rows, "id", ["a", "b"], 3, params=params).collect()}
+    fold = hash_bucket(F.col("id"), mo.SEED, 3).cast("int")
+    for k in range(3):
+        model = bo.Model(0, params, k)
+        [alone] = bo.fit_many(rows, "id", ["a", "b"], [model], "label", fold)
+        left = bo.predict(alone, rows.where(fold == k), "label")
+        assert folds[k]["auc"] == pytest.approx(ev.auc_roc(left).first()[0]) and folds[k]["n"] == left.count()
+        assert folds[k]["auc"] > 0.9
+
+
+def test_training_stops_without_gain(spark):
+    noise = spark.range(500).select("id", F.rand(1).alias("a"), (F.rand(2) > 0.5).cast("int").alias("label"))
+    model = bo.Model(0, bo.TreeParams(trees=60, max_depth=4, learning_rate=0.3, patience=3), 1)
+    [fitted] = bo.fit_many(noise, "id", ["a"], [model], "label", mo.validation_part("id"))
+    assert len(model.trees) < 60 and len(fitted.trees) == model.best <= len(model.trees) - 3
+
+
+def test_saved_models_score_alike(spark, tmp_path):
+    rows = table(spark, 200).withColumn("b", F.when(F.col("id") % 7 != 0, F.col("b")))
+    model = mo.train_classifier(rows, "id", ["b", "a"], params=bo.TreeParams(trees=3, max_depth=3))
+    model.save(spark, str(tmp_path / "m"))
+    loaded = bo.Booster.load(spark, str(tmp_path / "m"))
+    assert bo.predict(loaded, rows, "id").exceptAll(bo.predict(model, rows, "id")).isEmpty()
+
+
+def test_tree_attributions(spark):
+    """All orders of four features give the exact values; sampled ones add up as well."""
+    rng = np.random.default_rng(1)
+    x = rng.random((60, 4))
+    data = [(i, *map(float, r), int(r[0] + r[1] * r[2] > 0.8)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(data, "id bigint, a double, b double, c double, d double, label int")
+    names = ["a", "b", "c", "d"]
+    model = mo.train_classifier(df, "id", names, params=bo.TreeParams(trees=4, max_depth=3, min_child_weight=0.5))
+    base = dict.fromkeys(names, 0.5)
+    start = model.score(np.full((1, 4), 0.5))[0]
+    few = mo.tree_shapley(model, df, "id", base, permutations=7).groupBy("id").agg(F.sum("value").alias("v"))
+    ends = model.score(x)
+    assert [r["v"] for r in few.orderBy("id").collect()] == pytest.approx([e - start for e in ends])
+    exact = {}
+    for i in range(5):
+        for order in itertools.permutations(range(4)):
+            z = np.full((1, 4), 0.5)
+            for f in order:
+                before = model.score(z)[0]
+                z[0, f] = x[i, f]
+                exact[i, names[f]] = exact.get((i, names[f]), 0.0) + (model.score(z)[0] - before) / 24
+    many = {(r["id"], r["feature"]): r["value"] for r in mo.tree_shapley(model, df.limit(5), "id", base, 2000).collect()}
+    assert many == pytest.approx(exact, abs=0.05)
+
+
+def test_grouped_auc(spark, random_scores):
+    rows = scored(spark, random_scores)
+    both = rows.withColumn("g", F.lit(1)).unionByName(rows.withColumn("label", 1 - F.col("label")).withColumn("g", F.lit(2)))
+    one = brute_auc(random_scores)
+    got = {r["g"]: r["auc_roc"] for r in ev.auc_roc_by(both, "g").collect()}
+    assert got == pytest.approx({1: one, 2: 1 - one})
+
+
+def test_draws_cover_all_nine_ranges():
+    draws = mo.random_params(300)
+    assert draws == mo.random_params(300) and len(mo.SEARCH_SPACE) == 9
+    for name, (low, high, kind) in mo.SEARCH_SPACE.items():
+        values = [d[name] for d in draws]
+        assert low <= min(values) and max(values) <= high and max(values) - min(values) > 0.8 * (high - low)
+        assert kind != "int" or {min(values), max(values)} <= set(range(low, high + 1))

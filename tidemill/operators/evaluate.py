@@ -97,6 +97,18 @@ def auc_roc(predictions: DataFrame) -> DataFrame:
     )
 
 
+def auc_roc_by(predictions: DataFrame, by: str) -> DataFrame:
+    """``(by, n, auc_roc)``: the same for each group, whose scores are cut into ranges, not gathered."""
+    label = F.col("label")
+    counted = predictions.groupBy(by, F.col("score").cast("double").alias("score")).agg(
+        F.count_if(label == 1).alias("pos"), F.count_if(label != 1).alias("neg")
+    )
+    summed = prefix_sum(materialize(counted, "scores"), "score", ["neg"], by=[by])
+    won = F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2))
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return summed.groupBy(by).agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.try_divide(won, pairs).alias("auc_roc"))
+
+
 def pr_curve(predictions: DataFrame) -> DataFrame:
     return cumulative(score_counts(predictions)).select(
         F.col("score").alias("threshold"),

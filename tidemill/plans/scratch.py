@@ -32,6 +32,11 @@ def _delete(folder: str, spark: SparkSession) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    _delete(path, spark)
+
+
 def clean_up() -> None:
     """Delete the scratch tables of all sessions that still run."""
     while _written:
