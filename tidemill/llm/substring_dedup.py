@@ -4,9 +4,9 @@
 2. Every task counts the windows of its blocks, once for each document, in a count-min sketch of
    ``ROWS`` rows of ``2**width_bits`` counters that stop at two. Parts of the sketch are merged cell by cell,
    spread by part. Estimates are never too low, so a window that is in two documents is always
-   estimated so. Only one bit for each counter goes on: 32 MB at the default width, whatever the input.
+   estimated so. Only one bit for each counter goes on: 64 MB at the default width, whatever the input.
 3. A second pass sends the windows estimated repeated, once for each block with the block's smallest id, to
-   buckets of 160-bit keys, where they are grouped exactly. A window of very many documents is one
+   buckets of 96-bit keys, where they are grouped exactly. A window of very many documents is one
    entry for each block. Each entry gets one bit back: is there a smaller id in another block.
 4. The last pass works out the same entries again, combines their bits with the ids inside the block
    and covers the words.
@@ -22,6 +22,7 @@ Columns other than id and text are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import compress
 
 import numpy as np
@@ -32,22 +33,21 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import blocks
 from tidemill.plans.lookup import lookup_join
-from tidemill.plans.scratch import materialize
+from tidemill.plans.scratch import materialize, scratch_path
 
 WINDOW = 13
-WIDTH_BITS = 27
+WIDTH_BITS = 28
 ROWS = 2
 SHARD_BITS = 16
 PACKED_BYTES = 500_000
-FLUSH = 6_000_000  # windows that a task counts before it writes its part of the sketch
+FLUSH = 3_000_000  # windows that a task counts before it writes its part of the sketch
 BUCKET_BYTES = 24_000_000  # text whose windows share a bucket
 
 _U = np.uint64
+_ESCAPE = 255
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _NO_ID = np.iinfo(np.int64).max
 
-KEY = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u4")])
-ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("c", "<u4"), ("doc", "<i8")])
 
 
 # --- blocks of texts ------------------------------------------------------------------------------
@@ -76,34 +76,36 @@ class Block:
     def __init__(self, ids: pa.Array, texts: pa.Array, window: int) -> None:
         whole = list(blocks.text_blocks(texts, max_bytes=2**62))
         self.data, self.offsets = whole[0][2:] if whole else (np.empty(0, np.uint8), np.zeros(1, np.int64))
-        self.null = ids.is_null().to_numpy(zero_copy_only=False)
+        null = ids.is_null().to_numpy(zero_copy_only=False)
         self.ids = ids.fill_null(_NO_ID).to_numpy(zero_copy_only=False)
         self.starts, self.ends, self.owner = blocks.words(self.data, self.offsets)
-        word = blocks.span_hashes(self.data, self.starts, self.ends)
-        first, self.a = blocks.window_hashes(word, self.owner, window)
-        self.first, self.word = first, word
-        self.text = self.owner[first]
-        known = ~self.null[self.text]
-        if not known.all():
-            self.first, self.a, self.text = self.first[known], self.a[known], self.text[known]
+        self.word = blocks.span_hashes(self.data, self.starts, self.ends)
+        n = max(0, len(self.word) - window + 1)
+        inside = self.owner[:n] == self.owner[window - 1 :] if n else np.empty(0, bool)
+        self.first = np.flatnonzero(inside & ~null[self.owner[:n]])
+        self.text = self.owner[self.first]
         self.window = window
+        self.a = self._hashes(self.word)[self.first]
 
-    def keys(self, chosen: np.ndarray) -> np.ndarray:
-        """Whole keys of some windows."""
-        out = np.empty(len(chosen), KEY)
-        out["a"] = self.a[chosen]
-        for name, seed in (("b", _SEEDS[0]), ("c", _SEEDS[1])):
-            other = blocks.mix(self.word ^ _U(seed))
-            first, hashes = blocks.window_hashes(other, self.owner, self.window)
-            out[name] = (hashes[np.searchsorted(first, self.first[chosen])] >> _U(0 if name == "b" else 32)).astype(KEY[name])
-        return out
+    def _hashes(self, word: np.ndarray) -> np.ndarray:
+        """Hashes of all windows, from running sums."""
+        size = (len(self.data) // blocks.BLOCK_BYTES + 1) * blocks.BLOCK_BYTES
+        up, down = blocks._powers(size)
+        sums = np.zeros(len(word) + 1, _U)
+        np.cumsum(word * up[: len(word)], out=sums[1:])
+        n = max(0, len(word) - self.window + 1)
+        return blocks.mix((sums[self.window :][:n] - sums[:n]) * down[:n])
+
+    def b(self, chosen: np.ndarray) -> np.ndarray:
+        """The other 32 bits of the keys of some windows."""
+        return (self._hashes(blocks.mix(self.word ^ _U(_SEEDS[0])))[self.first[chosen]] >> _U(32)).astype(np.uint32)
 
 
 def _blocks(batch: pa.RecordBatch, window: int) -> Iterator[Block]:
     ids, texts = batch.column("ids"), batch.column("texts")
     for k in range(len(batch)):
         yield Block(ids[k].values, texts[k].values, window)
-        blocks.give_back()
+    blocks.give_back()
 
 
 # --- sketch ---------------------------------------------------------------------------------------
@@ -123,18 +125,17 @@ def _distinct(a: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _encoded(places: np.ndarray) -> bytes:
-    """Sorted 16-bit places, or a bitmap where that is shorter."""
-    if 2 * len(places) < 2**SHARD_BITS // 8:
-        return places.astype("<u2").tobytes()
-    bitmap = np.zeros(2**SHARD_BITS, bool)
-    bitmap[places] = True
-    return np.packbits(bitmap, bitorder="little").tobytes()
+    """Sorted distinct places as gaps of one byte each; 255 stands for a longer way to the next."""
+    gaps = np.diff(places.astype(np.int64), prepend=0)
+    more = gaps // _ESCAPE
+    out = np.full(int(more.sum()) + len(gaps), _ESCAPE, np.uint8)
+    out[np.cumsum(more + 1) - 1] = gaps % _ESCAPE
+    return out.tobytes()
 
 
 def _decoded(value: bytes) -> np.ndarray:
-    if len(value) < 2**SHARD_BITS // 8:
-        return np.frombuffer(value, "<u2")
-    return np.flatnonzero(np.unpackbits(np.frombuffer(value, np.uint8), bitorder="little"))
+    data = np.frombuffer(value, np.uint8)
+    return np.cumsum(data, dtype=np.int64)[data != _ESCAPE]
 
 
 def partial_sketches(packs: DataFrame, window: int, bits: int) -> DataFrame:
@@ -230,26 +231,57 @@ def maybe_repeated(found: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarr
 # --- exact grouping -------------------------------------------------------------------------------
 
 
-def _entries(block: Block, found: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Windows estimated repeated: their numbers, the entry of each, and the distinct entries in order of keys."""
+@dataclass
+class Entries:
+    """Distinct windows of a block, ordered by the first 64 bits ``a`` of their keys, with the smallest id of each."""
+
+    a: np.ndarray
+    b: np.ndarray
+    doc: np.ndarray
+
+    def part(self, start: int, end: int) -> bytes:
+        """Three columns; ids as distances from their smallest, in 32 bits where they fit."""
+        doc = self.doc[start:end]
+        low = int(doc.min())
+        far = doc - low
+        kind = "<u4" if int(doc.max()) - low < 2**32 else "<u8"
+        return np.int64(low).tobytes() + self.a[start:end].tobytes() + self.b[start:end].tobytes() + far.astype(kind).tobytes()
+
+
+def _parsed(value: bytes, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = np.frombuffer(value, "<i8", 1)[0]
+    a = np.frombuffer(value, "<u8", size, 8)
+    b = np.frombuffer(value, "<u4", size, 8 + 8 * size)
+    at = 8 + 12 * size
+    kind = "<u4" if len(value) - at == 4 * size else "<u8"
+    return a, b, np.frombuffer(value, kind, size, at).astype(np.int64) + low
+
+
+def _groups(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by key, and where a new key begins in it."""
+    order = np.argsort(a, kind="stable")
+    same = a[order[1:]] == a[order[:-1]]
+    if (same & (b[order[1:]] != b[order[:-1]])).any():  # 64 bits are not enough here
+        order = np.lexsort((b, a))
+        same = (a[order[1:]] == a[order[:-1]]) & (b[order[1:]] == b[order[:-1]])
+    return order, np.append(np.ones(min(1, len(a)), bool), ~same)
+
+
+def _entries(block: Block, found: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, Entries]:
+    """Windows estimated repeated: their numbers, the entry of each, and the entries."""
     chosen = np.flatnonzero(maybe_repeated(found, block.a, bits))
-    key = block.keys(chosen)
-    doc = block.ids[block.text[chosen]]
-    order = np.lexsort((doc, key["c"], key["b"], key["a"]))
-    key, doc = key[order], doc[order]
-    first = np.append(True, key[1:] != key[:-1]) if len(key) else np.empty(0, bool)
+    a, b, doc = block.a[chosen], block.b(chosen), block.ids[block.text[chosen]]
+    order, new = _groups(a, b)
     number = np.empty(len(order), np.int64)
-    number[order] = np.cumsum(first) - 1
-    out = np.empty(int(first.sum()), ENTRY)
-    for name in KEY.names:
-        out[name] = key[name][first]
-    out["doc"] = doc[first]
-    return chosen, number, out
+    number[order] = np.cumsum(new) - 1
+    first = order[new]
+    least = np.minimum.reduceat(doc[order], np.flatnonzero(new)) if len(first) else doc
+    return chosen, number, Entries(a[first], b[first], least)
 
 
-def _bucket_borders(entries: np.ndarray, bucket_bits: int) -> np.ndarray:
+def _bucket_borders(entries: Entries, bucket_bits: int) -> np.ndarray:
     """Entries are ordered by key, so a bucket, the highest bits of the key, is a slice."""
-    bucket = (entries["a"] >> _U(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(entries), np.int64)
+    bucket = (entries.a >> _U(64 - bucket_bits)).astype(np.int64) if bucket_bits else np.zeros(len(entries.a), np.int64)
     return np.searchsorted(bucket, np.arange(2**bucket_bits + 1))
 
 
@@ -265,33 +297,25 @@ def _send(packs: DataFrame, found, window: int, bits: int, bucket_bits: int) ->
                     [
                         pa.array(used.astype(np.int32)),
                         pa.array(np.full(len(used), name, np.int64)),
-                        pa.array([entries[border[k] : border[k + 1]].tobytes() for k in used], pa.binary()),
+                        pa.array(np.diff(border)[used].astype(np.int32)),
+                        pa.array([entries.part(border[k], border[k + 1]) for k in used], pa.binary()),
                     ],
-                    names=["bucket", "block", "entries"],
+                    names=["bucket", "block", "size", "entries"],
                 )
 
-    return packs.select("block", "ids", "texts").mapInArrow(run, "bucket int, block bigint, entries binary")
+    return packs.select("block", "ids", "texts").mapInArrow(run, "bucket int, block bigint, size int, entries binary")
 
 
 def _answer(sent: DataFrame) -> DataFrame:
     """``(block, bucket, flags)``: for each entry, whether another block has its window with a smaller id."""
 
-    def decide(bucket: int, names: list[int], parts: list[bytes]) -> pa.RecordBatch:
-        sizes = np.array([len(p) // ENTRY.itemsize for p in parts])
-        whole = np.frombuffer(b"".join(parts), ENTRY)
-        order = np.lexsort((whole["c"], whole["b"], whole["a"]))
-        new = np.ones(len(whole), bool)
-        if len(whole) > 1:
-            same = np.ones(len(whole) - 1, bool)
-            for name in KEY.names:
-                column = whole[name][order]
-                same &= column[1:] == column[:-1]
-            new[1:] = ~same
-        doc = whole["doc"][order]
-        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
-        later = np.empty(len(whole), bool)
-        later[order] = doc > least
-        flags = [f if f.any() else None for f in np.split(later, np.cumsum(sizes)[:-1])]
+    def decide(bucket: int, names: list[int], parts: list[tuple]) -> pa.RecordBatch:
+        a, b, doc = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order, new = _groups(a, b)
+        least = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+        later = np.empty(len(a), bool)
+        later[order] = doc[order] > least
+        flags = [f if f.any() else None for f in np.split(later, np.cumsum([len(p[0]) for p in parts])[:-1])]
         kept = [k for k, f in enumerate(flags) if f is not None]
         return pa.RecordBatch.from_arrays(
             [
@@ -305,13 +329,13 @@ def _answer(sent: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, names, parts = None, [], []
         for batch in batches:
-            for bucket, block, entries in zip(*[batch.column(c) for c in ("bucket", "block", "entries")], strict=True):
+            for bucket, block, size, entries in zip(*[batch.column(c) for c in ("bucket", "block", "size", "entries")], strict=True):
                 if bucket.as_py() != now:
                     if parts:
                         yield decide(now, names, parts)
                     now, names, parts = bucket.as_py(), [], []
                 names.append(block.as_py())
-                parts.append(entries.as_py())
+                parts.append(_parsed(entries.as_py(), size.as_py()))
         if parts:
             yield decide(now, names, parts)
         blocks.give_back()
@@ -326,11 +350,11 @@ def _removed(block: Block, found: np.ndarray, bits: int, bucket_bits: int, answe
     """Per word of the block: is it covered by a window of a document with a smaller id."""
     chosen, number, entries = _entries(block, found, bits)
     border = _bucket_borders(entries, bucket_bits)
-    earlier = np.zeros(len(entries), bool)
+    earlier = np.zeros(len(entries.a), bool)
     for answer in answers:
         a, b = border[answer["bucket"]], border[answer["bucket"] + 1]
         earlier[a:b] = np.unpackbits(np.frombuffer(answer["flags"], np.uint8), count=b - a)
-    hit = earlier[number] | (block.ids[block.text[chosen]] > entries["doc"][number])
+    hit = earlier[number] | (block.ids[block.text[chosen]] > entries.doc[number])
     at = block.first[chosen[hit]]
     change = np.zeros(len(block.starts) + 1, np.int64)
     np.add.at(change, at, 1)
@@ -343,7 +367,9 @@ def substring_dedup(
 ) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept_text)``, one row for each input row; kept words are joined by one space."""
     spark = docs.sparkSession
-    packs = materialize(packed(docs, id_col, text_col, max_bytes), "packed")
+    path = scratch_path(spark, "packed")
+    packed(docs, id_col, text_col, max_bytes).write.option("compression", "zstd").parquet(path)
+    packs = spark.read.parquet(path)
     size = packs.agg(F.sum("bytes").alias("b")).first()["b"] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     bucket_bits = max(buckets - 1, 0).bit_length()
