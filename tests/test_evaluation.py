@@ -247,15 +247,17 @@ PLAIN = [
 ]
 
 
-def test_trees_grown_together_equal_a_plain_learner(spark):
+@pytest.mark.parametrize("node_rows", [50_000, 40, 0])
+def test_trees_grown_together_equal_a_plain_learner(spark, node_rows):
+    """Whole trees in tasks, small nodes in tasks, and all nodes level by level."""
     rows = small(1)
     df = spark.createDataFrame([(i, *x, y) for i, (x, y) in enumerate(rows)], "id bigint, a double, b double, c double, label int").repartition(3)
-    params = [bo.TreeParams(trees=5, subsample=1.0, colsample=1.0, patience=0, **p) for p in PLAIN]
+    params = [bo.TreeParams(trees=3, subsample=1.0, colsample=1.0, patience=0, **p) for p in PLAIN]
     models = [bo.Model(i, p) for i, p in enumerate(params)]
-    boosters = bo.fit_many(df, "id", ["a", "b", "c"], models, "label", F.lit(0))
+    boosters = bo.fit_many(df, "id", ["a", "b", "c"], models, "label", F.lit(0), node_rows=node_rows)
     for p, booster in zip(params, boosters, strict=True):
         got = {r["id"]: r["score"] for r in bo.predict(booster, df, "id").collect()}
-        assert [got[i] for i in range(len(rows))] == pytest.approx(grown_plainly(rows, p, 5), abs=1e-6)
+        assert [got[i] for i in range(len(rows))] == pytest.approx(grown_plainly(rows, p, 3), abs=1e-6)
 
 
 def test_folds_equal_separately_fitted_models(spark):
