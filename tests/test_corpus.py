@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.operators import corpus as co
+from tidemill.plans import materialize
 
 
 def corpus(spark, texts):
@@ -195,3 +196,51 @@ def test_batches_tile_long_documents(spark):
     sizes = co.split_sizes(docs, 1.0)
     blocks = co.blocks(co.split_prefix(docs, sizes), 16, overlap=False).orderBy("block").collect()
     assert "".join(r["text"] for r in blocks) == "".join(texts)
+
+
+def streamed(docs):
+    return "".join(r["text"] for r in docs.orderBy("doc_id").collect())
+
+
+def test_blocks_of_all_alignments(spark):
+    """Pieces shorter and longer than blocks, some starting or ending at borders."""
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("abcdé漢") for _ in range(rng.choice([0, 1, 2, 7, 8, 9, 16, 24, 50, 200]))) for _ in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    stream = streamed(docs)
+    sizes = co.SplitSizes(len(stream), 0)
+    pieces = co.split_prefix(docs, sizes)
+    for overlap in (True, False):
+        got = {r["block"]: r["text"] for r in co.blocks(pieces, 8, overlap).collect()}
+        assert got == {k: stream[8 * k : 8 * k + 8 + overlap] for k in range(-(-len(stream) // 8))}
+
+
+def test_blocks_inside_a_text_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, "xy" * 50_000) for i in range(6)], "doc_id bigint, text string")
+    pieces = materialize(co.split_prefix(docs, co.SplitSizes(600_000, 0)))
+    sized = pieces.withColumn("n", F.char_length("text").cast("bigint")).withColumn("head", F.least(F.pmod(-F.col("spos"), F.lit(128)).cast("bigint"), "n"))
+    moved = co._border_parts(sized, 128, True).agg(F.sum(F.char_length("part"))).first()[0]
+    assert moved <= 6 * 2 * 128
+    plan = co._whole_blocks(sized, 128, True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_windows_are_cut_from_the_pieces_they_touch(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcd") for _ in range(rng.choice([1, 2, 3, 40, 300]))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    stream = streamed(docs)
+    sizes = co.SplitSizes(len(stream), 0)
+    pieces = co.split_prefix(docs, sizes)
+    rows = co.sample_batches(pieces, sizes, {"train": 30}, 4, 50).collect()
+    assert len(rows) == 120 and all(r["text"] == stream[r["start"] : r["start"] + 51] for r in rows)
+    spans = pieces.select("split", "spos", (F.col("spos") + F.char_length("text")).alias("end"))
+    windows = spark.createDataFrame([("train", r["row"], r["start"]) for r in rows], "split string, row int, start bigint")
+    few = co.touched(windows, spans, 51, bin_size=16)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, co.touched(windows, spans, 51).collect()))
+
+
+def test_ids_are_worked_out_once(spark):
+    docs = spark.createDataFrame([(0, "abc"), (1, "cab")], "doc_id bigint, text string")
+    plan = co.global_position(docs, co.build_vocab(docs))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("raise_error") <= 1 and "size(" not in plan

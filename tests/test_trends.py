@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -79,6 +80,35 @@ def test_active_stats_agree_with_the_dense_ones(spark):
             assert (p is None and q is None) or p == pytest.approx(q, abs=1e-9)
 
 
+@pytest.mark.parametrize("limit", [1, 7, 100, 5000])
+def test_cooldown_follows_a_long_run_through_many_ranges(spark, limit):
+    """One tag with adjacent candidates in all ranges, one with gaps longer than ranges, one with a single row."""
+    rng = random.Random(limit)
+    minutes = {"hot": list(range(6000)), "gaps": sorted(rng.sample(range(6000), 40)), "one": [17]}
+    frame = counts_frame(spark, [(t, m, 1) for t, ms in minutes.items() for m in ms]).repartition(3)
+    kept = trends.cooldown(frame, limit * 60, ranges=25)
+    got = sorted((r["hashtag"], round((r["window_start"] - T0).total_seconds() / 60)) for r in kept.collect())
+    expected = []
+    for t, ms in minutes.items():
+        last = -math.inf
+        for m in ms:
+            if m - last >= limit:
+                expected.append((t, m))
+                last = m
+    assert got == sorted(expected)
+
+
+def test_cooldown_of_a_million_adjacent_candidates(spark):
+    at = F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id").cast("decimal(18,6)"))
+    frame = spark.range(1_000_000).select(F.lit("hot").alias("hashtag"), at.alias("window_start"), F.lit(1).alias("n"))
+    kept = trends.cooldown(frame, 3)
+    assert kept.agg(F.count(F.lit(1)), F.sum((F.unix_timestamp(F.col("window_start").cast("timestamp")) % 3))).first()[0] == 333_334
+
+
+def test_cooldown_without_candidates(spark):
+    assert trends.cooldown(counts_frame(spark, [("a", 1, 1)]).limit(0), 60).isEmpty()
+
+
 def test_cooldown_is_greedy(spark):
     rng = random.Random(7)
     minutes = {t: sorted(rng.sample(range(400), 120)) for t in ("hot", "b")}

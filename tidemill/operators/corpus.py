@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import hash_unit, wide_draw
 from tidemill.plans import lookup_join, materialize, param_join, prefix_sum, previous
+from tidemill.plans.lookup import lookup_rows
 from tidemill.plans.ordered import ranked_ids
 
 # Defaults of the training set-up.
@@ -29,6 +30,7 @@ SPLITS = ("train", "val")
 
 CODE_POINTS = 0x110000  # no alphabet can have more characters
 PAGE = 256  # code points of one page of a codec
+SPAN_BIN = 65_536  # characters of the stream in one bin of the index of pieces
 
 
 def chars(text: Column | str) -> Column:
@@ -159,7 +161,8 @@ def global_position(corpus: DataFrame, vocab: DataFrame) -> DataFrame:
     """Long token table with ``gpos``, the position in the whole stream."""
     codec = CharCodec.of(vocab)
     ids = placed(corpus).select("doc_id", "start", codec.ids(F.col("text")).alias("ids"))
-    return ids.select("doc_id", "start", F.posexplode("ids").alias("pos", "id")).select(
+    # The outer form: else Spark filters by the array's size first, and works the ids out for that filter as well.
+    return ids.select("doc_id", "start", F.posexplode_outer("ids").alias("pos", "id")).select(
         "doc_id", "pos", "id", (F.col("start") + F.col("pos")).alias("gpos")
     )
 
@@ -219,45 +222,61 @@ def split_stats(pieces: DataFrame) -> DataFrame:
 # --- batches --------------------------------------------------------------------------------------
 
 
+def _whole_blocks(pieces: DataFrame, block_size: int, overlap: bool) -> DataFrame:
+    """Blocks that lie inside one piece, with the next character where they overlap; nothing is shuffled."""
+    rest = F.expr("substring(text, head + 1)")
+    parts = F.regexp_extract_all(rest, F.lit(f"(?s).{{1,{block_size}}}"), F.lit(0))
+    length = block_size + int(overlap)
+
+    def opened(all_parts: Column) -> Column:
+        def part(p: Column, i: Column) -> Column:
+            following = F.substring(F.coalesce(F.get(all_parts, i + 1), F.lit("")), 1, 1)
+            return F.concat(p, following) if overlap else p
+
+        return F.filter(F.transform(all_parts, part), lambda p: F.char_length(p) == length)
+
+    # a one-element array binds the parts, so they are worked out once
+    bound = F.transform(F.array(parts), opened)[0]
+    cut = pieces.where(F.col("n") - F.col("head") >= length)
+    cut = cut.select("split", "spos", "head", F.posexplode_outer(bound).alias("i", "text"))
+    block = ((F.col("spos") + F.col("head")) / block_size).cast("bigint") + F.col("i")
+    return cut.select("split", block.alias("block"), "text")
+
+
+def _border_parts(pieces: DataFrame, block_size: int, overlap: bool) -> DataFrame:
+    """``(split, block, at, part)`` of blocks that several pieces share: at most three short parts of a piece."""
+    size = F.lit(block_size)
+    inside = F.greatest(F.col("n") - F.col("head"), F.lit(0))
+    whole = F.floor((inside - int(overlap)) / size).cast("bigint")  # whole blocks, as above
+    whole = F.greatest(whole, F.lit(0))
+    last = F.expr("substring(text, cast(head + whole * size + 1 as int))")
+    parts = [
+        F.struct(F.col("spos").alias("at"), F.expr("substring(text, 1, cast(head as int))").alias("part"), F.lit(0).alias("back")),
+        F.struct((F.col("spos") + F.col("head") + F.col("whole") * size).alias("at"), last.alias("part"), F.lit(0).alias("back")),
+    ]
+    if overlap:
+        first = F.expr("substring(text, cast(head + 1 as int), 1)")
+        parts.append(F.struct((F.col("spos") + F.col("head")).alias("at"), first.alias("part"), F.lit(1).alias("back")))
+    sized = pieces.withColumn("whole", whole).withColumn("size", size)
+    cut = sized.select("split", F.explode_outer(F.array(*parts)).alias("p")).select("split", "p.*")
+    block = F.floor(F.col("at") / size).cast("bigint") - F.col("back")
+    return cut.where("part != ''").select("split", block.alias("block"), "at", "part").where("block >= 0")
+
+
 def blocks(pieces: DataFrame, block_size: int, overlap: bool = True) -> DataFrame:
     """Stream cut into blocks of ``block_size`` characters: ``(split, block, text)``.
 
-    With ``overlap`` every block also holds the first character of the next one. A block gathers
-    at most ``block_size + 1`` pieces, since each holds at least one character.
+    With ``overlap`` every block also holds the first character of the next one. Blocks inside one piece are cut
+    where the piece is; only the parts of blocks that cross a border are shuffled, each shorter than two blocks. A
+    block gathers at most ``block_size + 1`` parts, since each holds at least one character.
     """
-    size = F.lit(block_size)
-    head = F.pmod(-F.col("spos"), size).cast("int")
-    parts = F.concat(
-        F.array(F.expr("substring(text, 1, head)")),
-        F.regexp_extract_all(
-            F.expr("substring(text, head + 1)"), F.lit(f"(?s).{{1,{block_size}}}"), F.lit(0)
-        ),
-    )
-    at = F.when(F.col("i") == 0, F.col("spos")).otherwise(
-        F.col("spos") + F.col("head") + (F.col("i") - 1) * size
-    )
-    cut = (
-        pieces.withColumn("head", head)
-        .select("split", "spos", "head", F.posexplode(parts).alias("i", "part"))
-        .where(F.col("part") != "")
-        .select("split", at.alias("at"), "part")
-        .withColumn("block", F.floor(F.col("at") / size).cast("bigint"))
-    )
-    if overlap:
-        own = F.struct("block", "at", "part")
-        tail = F.struct(
-            (F.col("block") - 1).alias("block"), "at", F.substring("part", 1, 1).alias("part")
-        )
-        opens = (F.col("at") % size == 0) & (F.col("block") > 0)
-        both = F.when(opens, F.array(own, tail)).otherwise(F.array(own))
-        cut = cut.select("split", F.explode(both).alias("p")).select("split", "p.*")
-    return (
-        cut.groupBy("split", "block")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_p"))
-        .select(
-            "split", "block", F.array_join(F.transform("_p", lambda p: p["part"]), "").alias("text")
-        )
+    head = F.pmod(-F.col("spos"), F.lit(block_size)).cast("bigint")
+    sized = pieces.withColumn("n", F.char_length("text").cast("bigint")).withColumn("head", F.least(head, F.col("n")))
+    border = _border_parts(sized, block_size, overlap).groupBy("split", "block").agg(
+        F.sort_array(F.collect_list(F.struct("at", "part"))).alias("_p")
     )
+    joined = F.array_join(F.transform("_p", lambda p: p["part"]), "")
+    return _whole_blocks(sized, block_size, overlap).unionByName(border.select("split", "block", joined.alias("text")))
 
 
 def batch_count(n: int, span: int) -> int:
@@ -329,8 +348,8 @@ def sample_batches(
 ) -> DataFrame:
     """Random windows of ``block_size + 1`` characters, drawn with replacement.
 
-    ``steps`` says how many batches to draw from each split. A window touches two neighbouring
-    blocks, so this is an equi-join on the block number.
+    ``steps`` says how many batches to draw from each split. Positions alone tell which pieces a window touches;
+    then the windows are cut out of the texts, and only what is cut out is shuffled.
     """
     spark = pieces.sparkSession
     drawn = []
@@ -339,28 +358,33 @@ def sample_batches(
         if n <= block_size:
             raise ValueError(f"split {split!r} of {n} tokens is too short for windows of {block_size}")
         drawn.append(sample_windows(spark, split, n, count, batch_size, block_size, seed))
-    wanted = (
-        reduce(DataFrame.unionByName, drawn)
-        .withColumn("first", F.floor(F.col("start") / block_size).cast("bigint"))
-        .withColumn("block", F.explode(F.array(F.col("first"), F.col("first") + 1)))
-    )
-    stock = blocks(pieces.where(F.col("split").isin(*steps)), block_size, overlap=False)
+    wanted = reduce(DataFrame.unionByName, drawn)
+    length = block_size + 1
+    held = pieces.where(F.col("split").isin(*steps))
+    spans = held.select("split", "spos", (F.col("spos") + F.char_length("text")).alias("end"))
+    cuts = lookup_rows(held, materialize(touched(wanted, spans, length), "touched"), ["split", "spos"])
+    part = F.expr(f"substring(text, cast(greatest(start - spos, 0) + 1 as int), cast({length} - greatest(spos - start, 0) as int))")
     return (
-        wanted.join(stock, ["split", "block"])
+        cuts.select("split", "step", "row", "start", "spos", part.alias("part"))
         .groupBy("split", "step", "row", "start")
-        .agg(F.sort_array(F.collect_list(F.struct("block", "text"))).alias("_p"))
-        .withColumn("_t", F.array_join(F.transform("_p", lambda p: p["text"]), ""))
-        .withColumn("_o", F.pmod("start", F.lit(block_size)).cast("int"))
-        .select(
-            "split",
-            "step",
-            "row",
-            "start",
-            F.expr(f"substring(_t, _o + 1, {block_size + 1})").alias("text"),
-        )
+        .agg(F.sort_array(F.collect_list(F.struct("spos", "part"))).alias("_p"))
+        .select("split", "step", "row", "start", F.array_join(F.transform("_p", lambda p: p["part"]), "").alias("text"))
     )
 
 
+def touched(windows: DataFrame, spans: DataFrame, length: int, bin_size: int = SPAN_BIN) -> DataFrame:
+    """Windows ``(split, ..., start)`` with the ``spos`` of each piece they touch, found from positions alone.
+
+    The stream is cut into bins; a piece is listed in every bin it covers and a window looks into its one or two.
+    """
+    listed = spans.withColumn("_bin", F.explode_outer(F.sequence(F.floor(F.col("spos") / bin_size), F.floor((F.col("end") - 1) / bin_size))))
+    first, last = F.floor(F.col("start") / bin_size), F.floor((F.col("start") + length - 1) / bin_size)
+    looking = windows.withColumn("_bin", F.explode_outer(F.sequence(first, last)))
+    met = looking.join(listed, ["split", "_bin"]).where((F.col("spos") < F.col("start") + length) & (F.col("end") > F.col("start")))
+    once = F.col("_bin") == F.greatest(first, F.floor(F.col("spos") / bin_size))  # the first bin that both are in
+    return met.where(once).select(*windows.columns, "spos")
+
+
 def with_xy(windows: DataFrame, vocab: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     """Add ids ``x`` and the ids one step later, ``y``."""
     ids = windows.withColumn("ids", CharCodec.of(vocab).ids(F.col("text")))

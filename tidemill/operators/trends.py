@@ -8,15 +8,18 @@ window.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions import posts as px
-from tidemill.plans import decayed_sum, lookup_join, materialize
-from tidemill.plans.ordered import micros
+from tidemill.plans import decayed_sum, lookup_join, materialize, param_join
+from tidemill.plans.ordered import cut_points, micros, with_range
 
 # Default window length and alert threshold of the settings.
 ROLLING_WINDOW = "60 seconds"
@@ -193,32 +196,79 @@ def sentiment_drift(dense: DataFrame, short: int = 3, long: int = 14) -> DataFra
     return dense.withColumn("drift", _weighted(near) - _weighted(far))
 
 
-def cooldown(candidates: DataFrame, seconds: float) -> DataFrame:
+def _heads(slim: DataFrame, limit: int) -> DataFrame:
+    """``(hashtag, _r, heads)``: for each range of a tag, the candidates by which it can be entered, and when the next one may be
+    kept after the range, if it is entered there.
+
+    An earlier range lets nothing pass before its last kept candidate plus ``limit``, so only candidates within ``limit`` of
+    the first one, and the next after these, can be entries.
+    """
+
+    def summary(key: tuple, times: list[int]) -> pa.RecordBatch:
+        at = np.array(times, np.int64)
+        following = np.searchsorted(at, at + limit)
+        leave = (at + limit).tolist()
+        for i in range(len(leave) - 1, -1, -1):
+            if following[i] < len(leave):
+                leave[i] = leave[following[i]]
+        n = min(int(np.searchsorted(at, at[0] + limit)) + 1, len(leave))
+        heads = [{"at": t, "leave": e} for t, e in zip(times[:n], leave[:n], strict=True)]
+        kind = pa.list_(pa.struct([("at", pa.int64()), ("leave", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.string()), pa.array([key[1]], pa.int32()), pa.array([heads], kind)], names=["hashtag", "_r", "heads"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, times = None, []
+        for batch in batches:
+            for tag, r, at in zip(*[batch.column(c).to_pylist() for c in ("hashtag", "_r", "_at")], strict=True):
+                if (tag, r) != now:
+                    if times:
+                        yield summary(now, times)
+                    now, times = (tag, r), []
+                times.append(at)
+        if times:
+            yield summary(now, times)
+
+    return slim.mapInArrow(run, "hashtag string, _r int, heads array<struct<at: bigint, leave: bigint>>")
+
+
+def cooldown(candidates: DataFrame, seconds: float, ranges: int | None = None) -> DataFrame:
     """Keep a candidate only if ``seconds`` have passed since the last kept one of its tag.
 
-    A gap of ``seconds`` always ends the suppression, so runs between such gaps are independent and
-    spread over tasks; a run, at most one row per window of one tag, is folded in order.
+    What is kept is the orbit of the first candidate under "the next one that may be kept". Time is cut into ranges, so a tag
+    of any length spreads over tasks: each (tag, range) tells for its few possible entries when it is left again, these are
+    followed from range to range, and then every range marks its own rows. All steps are linear.
     """
-    order = W.partitionBy("hashtag").orderBy("window_start")
-    at = micros(F.col("window_start"))
     limit = int(seconds * 1_000_000)
-    fresh = F.coalesce((at - F.lag(at).over(order)) >= limit, F.lit(True))
-    runs = candidates.withColumn("_fresh", fresh.cast("int")).withColumn(
-        "_run", F.sum("_fresh").over(order)
-    )
-    row = F.struct(at.alias("at"), F.struct(*candidates.columns).alias("row"))
-    sorted_rows = F.array_sort(F.collect_list(row), lambda a, b: F.signum(a["at"] - b["at"]).cast("int"))
-    listed = runs.groupBy("hashtag", "_run").agg(sorted_rows.alias("_rows"))
-    first = F.get("_rows", F.lit(0))
-
-    def step(acc: Column, x: Column) -> Column:
-        ok = x["at"] - acc["last"] >= limit
-        grown = F.struct(x["at"].alias("last"), F.concat(acc["kept"], F.array(x["row"])).alias("kept"))
-        return F.when(ok, grown).otherwise(acc)
-
-    start = F.struct(first["at"].alias("last"), F.array(first["row"]).alias("kept"))
-    kept = F.aggregate(F.slice("_rows", F.lit(2), F.size("_rows")), start, step, lambda acc: acc["kept"])
-    return listed.select(F.explode(kept).alias("_row")).select("_row.*")
+    placed = candidates.withColumn("_at", micros(F.col("window_start")))
+    cut = materialize(with_range(placed, F.col("_at"), cut_points(placed, F.col("_at"), ranges), "_r"), "candidates")
+    order = ["hashtag", "_r", "_at"]
+    heads = _heads(cut.select(*order).repartition("hashtag", "_r").sortWithinPartitions(*order), limit)
+    start = F.struct(F.lit(-(2**62)).cast("bigint").alias("allowed"), F.array().cast("array<struct<_r: int, allowed: bigint>>").alias("entered"))
+
+    def through(acc: Column, x: Column) -> Column:
+        entry = F.get(F.filter(x["heads"], lambda h: h["at"] >= acc["allowed"]), F.lit(0))
+        seen = F.concat(acc["entered"], F.array(F.struct(x["_r"].alias("_r"), acc["allowed"].alias("allowed"))))
+        return F.struct(F.coalesce(entry["leave"], acc["allowed"]).alias("allowed"), seen.alias("entered"))
+
+    listed = heads.groupBy("hashtag").agg(F.sort_array(F.collect_list(F.struct("_r", "heads"))).alias("x"))  # a few entries per range
+    entered = listed.select("hashtag", F.explode(F.aggregate("x", start, through, lambda acc: acc["entered"])).alias("e")).select("hashtag", "e.*")
+    ready = param_join(cut, entered, ["hashtag", "_r"], "inner").repartition("hashtag", "_r").sortWithinPartitions(*order)
+
+    names = candidates.columns
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, allowed = None, 0
+        for batch in batches:
+            keep = []
+            for tag, r, at, first in zip(*[batch.column(c).to_pylist() for c in (*order, "allowed")], strict=True):
+                if (tag, r) != now:
+                    now, allowed = (tag, r), first
+                keep.append(at >= allowed)
+                if keep[-1]:
+                    allowed = at + limit
+            yield batch.select(names).filter(pa.array(keep, pa.bool_()))
+
+    return ready.select(*names, *[c for c in (*order, "allowed") if c not in names]).mapInArrow(mark, candidates.schema)
 
 
 def representative_posts(tagged: DataFrame, alerts: DataFrame, width: str, k: int = 3) -> DataFrame:

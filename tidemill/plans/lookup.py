@@ -53,6 +53,11 @@ def lookup_join(
     return big.join(F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, list(on), how)
 
 
+def lookup_rows(big: DataFrame, asked: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """All pairs of a wide table and the rows that ask for it: these travel to the table where they are few."""
+    return big.join(F.broadcast(asked) if fits_broadcast(asked, max_rows) else asked, list(on))
+
+
 def param_join(df: DataFrame, params: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a fitted parameter table, which is worked out and written once."""
     return lookup_join(df, materialize(params, "params"), on, how)
