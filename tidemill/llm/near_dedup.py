@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm import blocks
-from tidemill.llm.components import connected_components
+from tidemill.llm.components import connected_components, written
 from tidemill.plans.lookup import lookup_join
 from tidemill.plans.scratch import materialize
 
@@ -40,6 +40,7 @@ BANDS, ROWS = 24, 5
 REGISTERS = BANDS * ROWS
 BLOCK = 256  # nodes of a bucket compared at a time
 FIRST_PARTNERS = 4
+FILE_ROWS = 20_000  # documents behind one file of an intermediate table
 LONG = 4 * REGISTERS  # registers of the nodes that are compared pair by pair
 NODES = "doc_id bigint, node binary, bands array<bigint>"
 
@@ -181,7 +182,7 @@ def _parts(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return registers.view(np.uint32), bands.view(np.int64)
 
 
-def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> DataFrame:
+def _cross_pairs(members: DataFrame, threshold: float, most: int | None, files: int) -> DataFrame:
     """Pairs of nodes of one bucket but of different components whose signatures may reach the threshold.
 
     ``members`` has ``band, n, node, component, signature``. A bucket is dealt into blocks of about
@@ -191,7 +192,7 @@ def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> Data
     n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     dealt = members.withColumn("n_blocks", n_blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
     packed = dealt.groupBy("band", "n_blocks", "block").agg(F.collect_list(F.struct("node", "component", "signature")).alias("rows"))
-    packed = materialize(packed, "blocks")  # both sides of the join read it
+    packed = written(packed, "blocks", files)  # both sides of the join read it
     left = packed.select("band", F.col("rows").alias("rows_a"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n_blocks") - 1)).alias("j"))
     right = packed.select("band", F.col("block").alias("j"), F.col("rows").alias("rows_b"))
     least = (threshold - 4 * (threshold * (1 - threshold) / LONG) ** 0.5) * LONG
@@ -223,43 +224,47 @@ def _cross_pairs(members: DataFrame, threshold: float, most: int | None) -> Data
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id``, ``class_id`` (the smallest id of its class) and ``class_size`` (rows)."""
+    spark = docs.sparkSession
     rows = materialize(nodes(docs, id_col, text_col), "nodes")
+    files = max(spark.sparkContext.defaultParallelism, -(-rows.count() // FILE_ROWS))
     one = rows.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     # Copies have equal bands: distinct (band, node) pairs combine before the shuffle.
-    banded = materialize(rows.where("node IS NOT NULL").select(F.explode("bands").alias("band"), "node").distinct(), "bands")
-    buckets = materialize(banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
-    crowd = materialize(banded.join(buckets, "band"), "crowd")
-    shared = materialize(crowd.groupBy("node").agg(F.sum("n").alias("shared")), "shared")
+    banded = written(rows.where("node IS NOT NULL").select(F.explode("bands").alias("band"), "node").distinct(), "bands", files)
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowd = written(banded.join(buckets, "band"), "crowd", files)
+    shared = written(crowd.groupBy("node").agg(F.sum("n").alias("shared")), "shared", files)
     hubs = crowd.join(shared, "node").groupBy("band").agg(F.max(F.struct("shared", "node"))["node"].alias("hub"))
-    members = materialize(crowd.join(materialize(hubs, "hubs"), "band"), "members")
+    members = written(crowd.join(hubs, "band"), "members", files)
     pairs = members.where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
-    tested = materialize(pairs, "pairs")
-    wanted = materialize(one.join(members.select("node").distinct(), "node"), "candidates")
+    tested = written(pairs, "pairs", files)
+    wanted = written(one.join(shared.select("node"), "node"), "candidates", files)
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     texts = _own_texts(lookup_join(texts, wanted, ["doc_id"], "inner"))
-    texts = materialize(texts, "texts")
-    links = materialize(_verify(tested, texts, threshold), "verified")
-    parts = connected_components(links)
+    texts = written(texts, "texts", files)
+    links = written(_verify(tested, texts, threshold), "verified", files)
+    parts = connected_components(links, files=files)
     prints: DataFrame | None = None
     for most in (FIRST_PARTNERS, None):
         parted = members.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        parted = written(parted.select("band", "n", "node", "component"), "parted", files)
         mixed = parted.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count(F.lit(1)).alias("k"))
-        mixed = materialize(mixed.where("c <> d AND k > 2").select("band"), "mixed")
-        crowded = materialize(parted.join(mixed, "band", "left_semi").select("band", "n", "node", "component"), "crowded")
+        crowded = written(parted.join(mixed.where("c <> d AND k > 2").select("band"), "band", "left_semi"), "crowded", files)
+        if crowded.isEmpty():
+            break
         if prints is None:  # the second round needs no other nodes
-            prints = materialize(_long_signatures(texts.join(crowded.select("node").distinct(), "node", "left_semi")), "signatures")
+            prints = written(_long_signatures(texts.join(crowded.select("node").distinct(), "node", "left_semi")), "signatures", files)
         signed = crowded.join(prints, "node")
-        more = _cross_pairs(signed, threshold, most)
-        more = materialize(more.join(tested, ["a", "b"], "left_anti"), "pairs")
-        further = materialize(_verify(more, texts, threshold), "verified")
+        more = _cross_pairs(signed, threshold, most, files)
+        more = written(more.join(tested, ["a", "b"], "left_anti"), "pairs", files)
+        further = written(_verify(more, texts, threshold), "verified", files)
         tested, links = tested.unionByName(more), links.unionByName(further)
         if not further.isEmpty():
-            parts = connected_components(links)
+            parts = connected_components(links, files=files)
 
     placed = rows.select("doc_id", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = materialize(placed.select("doc_id", "component"), "placed")
+    placed = written(placed.select("doc_id", "component"), "placed", files)
     classes = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    found = placed.join(materialize(classes, "classes"), "component", "left")
+    found = placed.join(classes, "component", "left")
     alone = F.col("component").isNull()
     return found.select(
         "doc_id",
