@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -37,6 +37,26 @@ def latency_percentiles(
     return exact_quantiles(rows, "latency_ms", probs, ["p50", "p95", "p99"], keys)
 
 
+SKETCH_K = 800  # size of a sketch: ranks are right within about half a percent
+
+
+def sketched(value: str) -> list[Column]:
+    """Count and KLL sketch of a numeric column, for streams and for tables that are merged later."""
+    return [F.count(value).alias("n"), F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_K)).alias("sketch")]
+
+
+def merged_sketches(sketches: DataFrame, width: str, by: Sequence[str] = ("model_version",)) -> DataFrame:
+    """Sketches ``(window_start, by, n, sketch)`` of short windows merged to those of longer ones."""
+    wide = sketches.withColumn("window_start", F.window("window_start", width).start)
+    return wide.groupBy("window_start", *by).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", SKETCH_K).alias("sketch"))
+
+
+def sketch_percentiles(sketches: DataFrame) -> DataFrame:
+    """p50, p95 and p99 in place of the sketch."""
+    cuts = [F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name) for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))]
+    return sketches.select(*[c for c in sketches.columns if c != "sketch"], *cuts)
+
+
 def request_rate(log: DataFrame, width: str = "1 minute") -> DataFrame:
     return (
         _windowed(log, width)

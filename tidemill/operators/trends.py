@@ -8,7 +8,7 @@ window.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -30,8 +30,8 @@ POST_SCHEMA = (
 )
 
 
-def parse_posts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Topic records -> (typed posts, rejected records)."""
+def parse_posts(raw: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Topic records -> (typed posts, rejected records). Columns in ``keep`` stay with the posts."""
     parsed = raw.withColumn(
         "_p",
         F.from_json(
@@ -41,7 +41,7 @@ def parse_posts(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
     )
     bad = F.col("_p").isNull() | F.col("_p._bad").isNotNull() | F.col("_p.post_id").isNull()
-    good_rows = parsed.where(~bad).select("_p.*").drop("_bad")
+    good_rows = parsed.where(~bad).select("_p.*", *keep).drop("_bad")
     bad_rows = parsed.where(bad).select(*raw.columns)
     return good_rows, bad_rows
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators import monitor as mn
+from tidemill.operators import trends
+from tidemill.plans import materialize, param_join
 from tidemill.plans.scratch import scratch_path
 from tidemill.queries import checks as sql
 from tidemill.queries.registry import query, r
@@ -167,13 +170,86 @@ def state_recovery(spark, folder):
 
 @query("delivery", ENRICHED_SQL)
 def delivery(spark, folder):
-    """Idempotent batches: the same batch written twice leaves one copy."""
-    raw = views.raw_messages(_posts(spark, folder))
-    out = scratch_path(spark, "delivery")
-    enriched = jobs.enrich_stream(raw)
-    for checkpoint in ("first", "again"):  # a lost checkpoint repeats every batch
-        jobs.deliver_by_batch(enriched, out, scratch_path(spark, f"delivery-{checkpoint}"))
-    return _enriched(spark.read.schema(enriched.schema).parquet(f"{out}/batch=*"))
+    """The checkpoint is lost and all files come again, in batches of another size: each row is delivered once."""
+    raw = views.raw_messages(views.posts(spark, folder))
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "delivery")
+    raw.repartition(12).write.parquet(topic)
+    for files in (5, 3):
+        records = readers.file_stream(spark, topic, readers.TOPIC_SCHEMA, files, "source_file")
+        enriched = trends.enrich(trends.parse_posts(records, ["source_file"])[0])
+        jobs.deliver_by_source(enriched, out, scratch_path(spark, "delivery-checkpoint"))
+    return _enriched(spark.read.parquet(out))
+
+
+@query(
+    "scorer_recovery",
+    f"""WITH {CLOSED}
+SELECT hashtag, window_start, n, history, round(zscore, 6) AS zscore FROM closed""",
+)
+def scorer_recovery(spark, folder):
+    """The keyed scorer stops with windows held in its state, and starts again from the checkpoint with the rest."""
+    processor = TrendState(DAY_US, 7, 0.5, 4 * DAY_US, delay_us=2 * DAY_US)
+    counts = jobs.tumbling_stream(_posts(spark, folder), DAY)
+    table, source, out, check = (scratch_path(spark, f"scorer-{x}") for x in ("windows", "in", "out", "state"))
+    jobs.run_to_files(counts, table, scratch_path(spark, "windows-checkpoint"))
+    closed = spark.read.schema(counts.schema).parquet(table)
+    border = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    last = closed.agg(F.max("window_start").alias("w")).first()["w"]
+    mark = spark.range(1).select((F.lit(last) + F.make_dt_interval(days=F.lit(3))).alias("window_start"), F.lit(0).cast("bigint").alias("n"))
+    end = spark.createDataFrame([], counts.schema).unionByName(mark, allowMissingColumns=True)
+    for part in (closed.where(F.col("window_start") < border), closed.where(F.col("window_start") >= border), end):
+        part.coalesce(1).write.mode("append").parquet(source)
+        with jobs.rocksdb_state(spark):
+            scored = score_stream(readers.file_stream(spark, source, counts.schema), processor)
+            jobs.run_to_files(scored, out, check)
+    found = spark.read.schema(scored.schema).parquet(out)
+    return found.select("hashtag", "window_start", "n", "history", r("zscore"))
+
+
+@query(
+    "stream_latency",
+    f"""WITH {sql.REQUEST_LOG},
+edge AS (SELECT max(ts) - INTERVAL 2 HOUR AS watermark FROM request_log)
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, model_version, count(*) AS n, true AS close FROM request_log, edge
+WHERE time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= watermark GROUP BY ALL""",
+)
+def stream_latency(spark, folder):
+    """Hourly sketches of a stream, merged to days: the ranks of the percentiles are right within one percent."""
+    events = _events(spark, folder)
+    log = events.select(
+        "ts", F.when(F.col("user_id") % 2 == 0, "v1").otherwise("v2").alias("model_version"), F.col("value").cast("double").alias("latency_ms")
+    )
+    hours = jobs.drained(jobs.latency_stream(log, "1 hour", "2 hours"), "latency")
+    days = materialize(mn.sketch_percentiles(mn.merged_sketches(hours, DAY)), "days")
+    border = hours.agg(F.max("window_start")).first()[0]
+    exact = views.request_log(spark, folder).where(F.col("ts") < F.lit(border) + F.make_dt_interval(hours=F.lit(1)))
+    exact = exact.select(F.window("ts", DAY).start.alias("window_start"), "model_version", F.col("latency_ms").cast("double").alias("latency_ms"))
+    ranked = param_join(exact, days, ["window_start", "model_version"], "inner").groupBy("window_start", "model_version", "n")
+
+    def close(name: str, p: float) -> Column:
+        below, upto = F.avg((F.col("latency_ms") < F.col(name)).cast("int")), F.avg((F.col("latency_ms") <= F.col(name)).cast("int"))
+        slack = 0.01 + 1 / F.count(F.lit(1))  # one row of a small group
+        return (below <= p + slack) & (upto >= p - slack)
+
+    return ranked.agg((close("p50", 0.5) & close("p95", 0.95) & close("p99", 0.99)).alias("close"))
+
+
+@query(
+    "late_rows",
+    """WITH edge AS (SELECT max(ts) - INTERVAL 2 DAY AS watermark FROM events WHERE ts >= TIMESTAMP '2024-01-16 00:00:00')
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start, count(*) AS n FROM events, edge
+WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY <= watermark GROUP BY ALL""",
+)
+def late_rows(spark, folder):
+    """Events of the older half that come too late, kept in a table and counted by day."""
+    source, out, checkpoint = (scratch_path(spark, f"late-rows-{x}") for x in ("in", "out", "state"))
+    older, newer = _halves(spark, folder)
+    for half in (newer, older):
+        half.select("event_id", "ts").write.mode("append").parquet(source)
+        stream = readers.file_stream(spark, source, half.select("event_id", "ts").schema)
+        jobs.split_late(stream, out, checkpoint, DAY, 2 * 86_400)
+    rows = spark.read.parquet(f"{out}/rows/*").where("late")
+    return rows.groupBy(F.window("ts", DAY).start.alias("window_start")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

@@ -92,12 +92,13 @@ def topic_replay(spark: SparkSession, brokers: str, topic: str) -> DataFrame:
     )
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files as a stream; a bounded run uses the ``availableNow`` trigger."""
+def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int | None = None, source: str | None = None) -> DataFrame:
+    """Parquet files as a stream; a bounded run uses the ``availableNow`` trigger. ``source`` names a column for the file."""
     reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    rows = reader.parquet(path)
+    return rows if source is None else rows.select("*", F.col("_metadata.file_path").alias(source))
 
 
 def artifact_hashes(spark: SparkSession, path: str) -> DataFrame:

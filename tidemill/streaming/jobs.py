@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.posts import hashtags
-from tidemill.operators import trends
+from tidemill.operators import monitor, trends
 from tidemill.plans.ordered import micros
 from tidemill.plans.scratch import scratch_path
 
@@ -112,7 +112,8 @@ def tumbling_stream(posts: DataFrame, width: str, delay: str | None = None) -> D
 
 
 def late_rows(query) -> int:
-    """Rows that came after the watermark, over all progress reports of a query."""
+    """Late rows in the recent progress reports of a query, as its operators count them: a stateful aggregation counts what
+    is left after its tasks have added up, and Spark keeps the last reports only. :func:`split_late` counts all rows."""
     return sum(
         op["numRowsDroppedByWatermark"]
         for progress in query.recentProgress
@@ -120,20 +121,55 @@ def late_rows(query) -> int:
     )
 
 
+def split_late(stream: DataFrame, out: str, checkpoint: str, width: str, delay_seconds: int, ts: str = "ts"):
+    """Write every row of a stream with ``late``: its window was over before its batch, by the watermark that
+    :func:`tumbling_stream` works with.
+
+    The latest time of each batch is written beside its rows (``_marks``), so the watermark of a batch is known from the
+    batches before it, after restarts as well. A repeated batch replaces its folders.
+    """
+    spark = stream.sparkSession
+    end = F.unix_micros(F.window(instant(F.col(ts)), width).end)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark.createDataFrame([(batch_id, None)], "id bigint, latest bigint").coalesce(1).write.mode("overwrite").parquet(f"{out}/_marks/batch={batch_id}")
+        marks = spark.read.schema("id bigint, latest bigint").parquet(f"{out}/_marks/*")
+        latest = marks.where(F.col("id") < batch_id).agg(F.max("latest")).first()[0]
+        edge = None if latest is None else latest - delay_seconds * 1_000_000
+        late = F.lit(False) if edge is None else F.coalesce(end <= edge, F.lit(False))
+        batch.withColumn("late", late).write.mode("overwrite").parquet(f"{out}/rows/batch={batch_id}")
+        mark = batch.agg(F.lit(batch_id).cast("bigint").alias("id"), F.max(micros(F.col(ts))).alias("latest"))
+        mark.coalesce(1).write.mode("overwrite").parquet(f"{out}/_marks/batch={batch_id}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
+def latency_stream(log: DataFrame, width: str, delay: str, by: str = "model_version") -> DataFrame:
+    """Closed windows of a request log with the count and a mergeable sketch of the latencies of each group."""
+    timed = log.withColumn("at", instant(F.col("ts"))).withWatermark("at", delay)
+    sketched = timed.groupBy(F.window("at", width).alias("w"), by).agg(*monitor.sketched("latency_ms"))
+    return sketched.select(wall_time(F.col("w.start")).alias("window_start"), by, "n", "sketch")
+
+
 def watermark(query) -> str:
     """The last event-time watermark of a query; what lies before it is closed."""
     known = (p["eventTime"]["watermark"] for p in query.recentProgress if "watermark" in p["eventTime"])
     return max(known, default="1970-01-01T00:00:00.000Z")
 
 
-def deliver_by_batch(stream: DataFrame, out: str, checkpoint: str):
-    """``foreachBatch`` sink that may run a batch again without duplicates.
+def deliver_by_source(stream: DataFrame, out: str, checkpoint: str, source: str = "source_file"):
+    """``foreachBatch`` sink that may run again, with other batches as well, without losing or doubling rows.
 
-    A batch owns the folder of its number and replaces it when repeated.
+    ``source`` names the file that a row was read from. A file is read by one batch as a whole, whatever the size of
+    batches; what comes of it owns a folder, which is replaced as a whole when the file is read again.
     """
+    kept = [c for c in stream.columns if c != source]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        owned = batch.select(*kept, F.sha1(source).alias("source"))
+        owned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(out)
 
     query = (
         stream.writeStream.foreachBatch(write)
