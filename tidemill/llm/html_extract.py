@@ -7,11 +7,15 @@ they build up in an ordinary grouped aggregation however many pages a host has.
 
 A class is valid if it is on at least two pages and half of the host's pages. The valid classes of a host
 nest by the paths of their tokens (``template``): elements that occur once per page are its fixed tokens, text
-with the vector of an element around it is template text, and the rest lies in the slots between. Slots inside
-menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments are dropped. Of the
-rest, the main slot is the ``article`` (or else ``main``, or else the deepest fixed element that still holds
-nine tenths of what is not template text). In a slot found by text alone, text nodes once on each of 20 or more
-pages are dropped. A page without the main slot, or of a host without a template, uses the same rule on itself alone.
+with the vector of an element around it is template text, and the rest lies in the slots between. The main slot is
+the ``article`` (or else ``main``, or else the deepest fixed element that still holds nine tenths of what is neither
+template text nor inside menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments). All
+text of the slot is kept but for such elements within it; what is around the slot doesn't count, so a form or a
+wrapper named after its sidebar may hold the article. A page without the main slot, or of a host without a
+template, uses the same rule on itself alone.
+
+Names are whole words of a class or id (``share``); a box also counts by the last part of a word (``top-banner``), unless
+it holds half of the page's text. Parsing takes time in proportion to the page, also where tags are broken.
 
 Text: character references decoded, white space of a block turned into one space, blocks joined by a line
 feed. Null html gives an empty text; null or odd urls share the host of that (missing) name; repeated
@@ -59,8 +63,11 @@ CLOSES = {
 }
 SCOPE = frozenset("table td th caption button object html body article section div main nav aside footer header li form".split())
 
-MIN_PAGES, MIN_SHARE, STATIC_PAGES, MOST_TEXT = 2, 0.5, 20, 0.9
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!?/?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\">])*>|<[!?][^>]*>", re.S)
+MIN_PAGES, MIN_SHARE, MOST_TEXT, WRAPPER = 2, 0.5, 0.9, 0.5
+BOXES = frozenset("article body center details div fieldset form main ol section table td tr ul".split())
+WEAK, STRONG = 1, 2
+# A tag that is not closed ends where the next one begins.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!?/?[a-zA-Z](?:\"[^\"]*\"|'[^']*'|[^'\"<>])*+(?:>|(?=<))|<[!?][^<>]*(?:>|(?=<))", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
@@ -79,12 +86,13 @@ class Element:
 
 @dataclass
 class Page:
-    """Elements by path with their numbers, open elements as (path, place of the one around) in document order, and text
-    nodes as (place of the element, block, dropped, text)."""
+    """Elements by path with their numbers, elements as (path, place of the one around) in document order, whether each is to be
+    dropped by itself, and text nodes as (place of the element, block, dropped, text)."""
 
     elements: dict[int, Element] = field(default_factory=dict)
     counts: Counter = field(default_factory=Counter)
     nodes: list[tuple[int, int]] = field(default_factory=lambda: [(0, 0)])
+    drops: list[int] = field(default_factory=lambda: [0])
     texts: list[tuple[int, int, bool, str]] = field(default_factory=list)
 
 
@@ -92,27 +100,46 @@ def _hash(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass")) - 2**63
 
 
+def _drop(name: str, words: list[str]) -> int:
+    """Is an element no main text: for certain, or only if it is no wrapper of most of the page."""
+    if name in ("html", "body", "article", "main"):
+        return 0
+    if (name in DROPPED and name != "form") or any(w in DROPPED_NAMES for w in words):
+        return STRONG
+    return WEAK if name == "form" or (name in BOXES and any(re.split("[_-]", w)[-1] in DROPPED_NAMES for w in words)) else 0
+
+
 def parse(source: str) -> Page:
     """Elements and text nodes of a page. Unclosed and misnested tags are put right as far as needed."""
     page = Page()
-    root = Element(0, "", 0, False)
-    page.elements[0] = root
+    page.elements[0] = Element(0, "", 0, False)
     page.counts[0] = 1
-    stack = [root]
-    places = [0]
+    names, places = [""], [0]
+    opened: Counter = Counter()
     block = at = 0
 
     def text(piece: str) -> None:
         if piece.strip():
-            page.texts.append((places[-1], block, stack[-1].dropped, piece))
+            page.texts.append((places[-1], block, False, piece))
 
     def pop_to(size: int) -> None:
         nonlocal block
-        block += any(e.name in BLOCKS for e in stack[size:])
-        del stack[size:]
+        block += any(n in BLOCKS for n in names[size:])
+        opened.subtract(names[size:])
+        del names[size:]
         del places[size:]
 
-    tail = CUT_TAG.search(source)
+    def close(ended, border) -> None:
+        """End the nearest open element of ``ended``, unless one of ``border`` is nearer."""
+        if any(opened[n] > 0 for n in ended):
+            for k in range(len(names) - 1, 0, -1):
+                if names[k] in ended:
+                    pop_to(k)
+                    break
+                if names[k] in border:
+                    break
+
+    tail = CUT_TAG.search(source, max(source.rfind("<"), 0))
     if tail:
         source = source[: tail.start()]
     while at < len(source):
@@ -127,58 +154,66 @@ def parse(source: str) -> Page:
             continue
         name = named.group(1).lower()
         if tag[1] == "/":
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    pop_to(k)
-                    break
+            close((name,), ())
             continue
         if name in BLOCKS:  # a block ends an open paragraph
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == "p":
-                    pop_to(k)
-                    break
-                if stack[k].name in SCOPE:
-                    break
+            close(("p",), SCOPE)
         if name in CLOSES:
-            ended, border = CLOSES[name]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in ended:
-                    pop_to(k)
-                    break
-                if stack[k].name in border:
-                    break
+            close(*CLOSES[name])
         if name in VOID:
             if name == "br":
-                text_break = (places[-1], block, stack[-1].dropped, " ")
-                page.texts.append(text_break)
+                page.texts.append((places[-1], block, False, " "))
             block += name == "hr"
             continue
         marks = {m[0].lower(): m[1] or m[2] or m[3] for m in ATTRIBUTE.findall(tag)}
-        words = re.split(r"[\s_-]+", f"{marks.get('class', '')} {marks.get('id', '')}".lower())
-        up = stack[-1]
-        path = _hash(up.path, name, marks.get("class", ""))
-        dropped = up.dropped or name in DROPPED or (name not in ("html", "body", "article", "main") and any(w in DROPPED_NAMES for w in words))
+        words = f"{marks.get('class', '')} {marks.get('id', '')}".lower().split()
+        up = page.nodes[places[-1]][0]
+        path = _hash(up, name, marks.get("class", ""))
         rank = 2 if name == "article" else 1 if name == "main" or marks.get("role") == "main" else 0
         block += name in BLOCKS
-        element = page.elements.setdefault(path, Element(path, name, up.depth + 1, dropped, rank=rank, parent=up.path))
+        page.elements.setdefault(path, Element(path, name, page.elements[up].depth + 1, True, rank=rank, parent=up))
         page.counts[path] += 1
+        page.nodes.append((path, places[-1]))
+        page.drops.append(_drop(name, words))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else len(source)
             continue
-        stack.append(element if element.dropped == dropped else Element(path, name, up.depth + 1, dropped, rank=rank))
-        page.nodes.append((path, places[-1]))
+        names.append(name)
+        opened[name] += 1
         places.append(len(page.nodes) - 1)
+    _judge(page)
+    return page
+
+
+def _sizes(page: Page, lost: list[bool]) -> list[int]:
+    """Characters in each element that are not in a lost one."""
     sizes = [0] * len(page.nodes)
-    for place, _, dropped, piece in page.texts:
-        if not dropped:
+    for place, _, _, piece in page.texts:
+        if not lost[place]:
             sizes[place] += len(piece)
-    for place in range(len(sizes) - 1, -1, -1):  # what an element holds comes after it
-        path, around = page.nodes[place]
-        page.elements[path].chars += sizes[place]
-        if place:
-            sizes[around] += sizes[place]
-    return page
+    for place in range(len(sizes) - 1, 0, -1):  # what an element holds comes after it
+        sizes[page.nodes[place][1]] += sizes[place]
+    return sizes
+
+
+def _judge(page: Page) -> None:
+    """Settle what is dropped, and the characters of each element without that."""
+
+    def spread(least: int) -> list[bool]:
+        lost = [False]
+        for place in range(1, len(page.nodes)):
+            lost.append(page.drops[place] >= least or lost[page.nodes[place][1]])
+        return lost
+
+    sizes = _sizes(page, spread(STRONG))
+    page.drops = [0 if d == WEAK and size >= WRAPPER * sizes[0] else d for d, size in zip(page.drops, sizes, strict=True)]
+    lost = spread(WEAK)
+    page.texts = [(place, block, lost[place], piece) for place, block, _, piece in page.texts]
+    for place, ((path, _), size) in enumerate(zip(page.nodes, _sizes(page, lost), strict=True)):
+        element = page.elements[path]
+        element.chars += size
+        element.dropped = element.dropped and lost[place]  # dropped wherever it is
 
 
 def text_token(path: int, piece: str) -> int:
@@ -195,15 +230,15 @@ def main_path(page: Page) -> int:
     return max((e for e in once if e.chars >= MOST_TEXT * whole), key=lambda e: e.depth).path
 
 
-def page_text(page: Page, main: int | None, static: frozenset[int]) -> str:
+def page_text(page: Page, main: int | None) -> str:
     if main is None or main not in page.elements or page.elements[main].dropped:
         main = main_path(page)
-    inside: list[bool] = []
-    for path, around in page.nodes:
-        inside.append(path == main or bool(inside) and inside[around])
+    kept: list[bool] = []  # inside the slot, and below it in nothing that is dropped
+    for place, (path, around) in enumerate(page.nodes):
+        kept.append(path == main or bool(place and kept[around] and not page.drops[place]))
     blocks: dict[int, list[str]] = {}
-    for place, block, dropped, piece in page.texts:
-        if not dropped and inside[place] and not (static and piece != " " and text_token(page.nodes[place][0], piece) in static):
+    for place, block, _, piece in page.texts:
+        if kept[place]:
             blocks.setdefault(block, []).append(piece)
     joined = (" ".join(html_entities.unescape("".join(pieces)).split()) for pieces in blocks.values())
     return "\n".join(b for b in joined if b)
@@ -253,7 +288,7 @@ def equivalence_classes(pages: DataFrame) -> DataFrame:
         F.max("parent").alias("parent"),
         F.max("name").alias("name"),
         F.min("depth").alias("depth"),
-        F.max("dropped").alias("dropped"),
+        F.min("dropped").alias("dropped"),
         F.max("rank").alias("rank"),
         F.sum("chars").alias("chars"),
         F.sum("n").alias("total"),
@@ -305,33 +340,27 @@ def template(rows: list[dict]) -> tuple[dict[tuple[int, int], Class], dict[int,
     return classes, {path: slots[path] for path, row in tags.items() if row["once"] and not row["dropped"]}, fixed
 
 
-def host_template(rows: list[dict]) -> tuple[int | None, list[int]]:
-    """The path of a host's main slot and its template text of 20 or more pages."""
+def host_template(rows: list[dict]) -> int | None:
+    """The path of a host's main slot, by what its classes leave outside the template."""
     tags = {row["token"]: row for row in rows if row["kind"] == "tag"}
-    classes, slots, fixed = template(rows)
+    _, slots, _ = template(rows)
     if not slots.get(0):  # all pages alike: nothing tells the template from what it holds
-        slots, fixed = {path: tags[path]["chars"] for path in slots}, []
+        slots = {path: tags[path]["chars"] for path in slots}
     ranked = [path for path in slots if tags[path]["rank"]]
     if ranked:
-        main = max(ranked, key=lambda path: (tags[path]["rank"], tags[path]["chars"], path))
-    else:
-        most = MOST_TEXT * slots.get(0, 0)
-        main = max((path for path in slots if slots[path] >= most), key=lambda path: (tags[path]["depth"], path), default=None)
-    root = (tags[0]["v1"], tags[0]["v2"]) if 0 in tags else None
-    # all text of an article or main is kept; only a slot found by text alone may reach beyond the text
-    static = [] if ranked else [row["token"] for row in fixed if (row["v1"], row["v2"]) == root and row["n_pages"] >= STATIC_PAGES]
-    return main, static
+        return max(ranked, key=lambda path: (tags[path]["rank"], tags[path]["chars"], path))
+    most = MOST_TEXT * slots.get(0, 0)
+    return max((path for path in slots if slots[path] >= most), key=lambda path: (tags[path]["depth"], path), default=None)
 
 
 def templates(classes: DataFrame) -> DataFrame:
-    """``host``, the path of its main slot and its template text. A host's valid tokens are at most twice those of
-    its longest page, since each is on half of the pages: they are handled together."""
+    """``host`` and the path of its main slot. A host's valid tokens are at most twice those of its longest page, since
+    each is on half of the pages: they are handled together."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        main, static = host_template(table.to_pylist())
-        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "main": pa.array([main], pa.int64()), "static": pa.array([static], pa.list_(pa.int64()))})
+        return pa.table({"host": pa.array([key[0].as_py()], pa.string()), "main": pa.array([host_template(table.to_pylist())], pa.int64())})
 
-    return classes.groupBy("host").applyInArrow(run, "host string, main bigint, static array<bigint>")
+    return classes.groupBy("host").applyInArrow(run, "host string, main bigint")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -344,8 +373,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             for a in range(0, len(batch), 256):
                 part = batch.slice(a, 256)
-                columns = (part.column(c).to_pylist() for c in ("html", "main", "static"))
-                texts = [page_text(parse(source or ""), main, frozenset(static or ())) for source, main, static in zip(*columns, strict=True)]
+                columns = (part.column(c).to_pylist() for c in ("html", "main"))
+                texts = [page_text(parse(source or ""), main) for source, main in zip(*columns, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], names=["page_id", "url", "text"])
 
-    return lookup_join(slim, known, ["host"]).select("page_id", "url", "html", "main", "static").mapInArrow(run, "page_id bigint, url string, text string")
+    return lookup_join(slim, known, ["host"]).select("page_id", "url", "html", "main").mapInArrow(run, "page_id bigint, url string, text string")
