@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemill.operators import monitor as mn
 from tidemill.operators import trends
 from tidemill.plans.scratch import scratch_path
 from tidemill.sources import readers, views
@@ -77,13 +78,83 @@ def test_state_scores_like_the_batch(spark, folder):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, emitted.collect()))
 
 
-def test_repeated_delivery_leaves_one_copy(spark, folder):
-    source, out = scratch_path(spark, "in"), scratch_path(spark, "out")
-    write(spark, source, [(1, "#a"), (2, "#b")])
-    stream = readers.file_stream(spark, source, SCHEMA)
-    for _ in range(2):
-        jobs.deliver_by_batch(stream, out, scratch_path(spark, "check"))
-    assert spark.read.parquet(out).count() == 2
+def test_repeated_delivery_leaves_each_row_once(spark):
+    """The same files in batches of other sizes, one more file, and a checkpoint that goes on."""
+    source, out, check = (scratch_path(spark, x) for x in ("in", "out", "check"))
+    for k in range(7):
+        write(spark, source, [(k, f"#t{k}"), (k, f"#u{k}"), (k, f"#t{k}")])  # equal rows are rows of their own
+
+    def deliver(per_batch, checkpoint):
+        jobs.deliver_by_source(readers.file_stream(spark, source, SCHEMA, per_batch, "source_file"), out, checkpoint)
+        return sorted(r["text"] for r in spark.read.parquet(out).collect())
+
+    once = sorted(t for k in range(7) for t in (f"#t{k}", f"#u{k}", f"#t{k}"))
+    assert deliver(2, check) == once
+    assert deliver(3, scratch_path(spark, "check")) == once
+    assert deliver(1, scratch_path(spark, "check")) == once
+    write(spark, source, [(9, "#new")])
+    assert deliver(2, check) == sorted([*once, "#new"])
+
+
+def test_late_rows_are_kept_and_counted(spark):
+    """Many batches, a restart, and a progress history that is too short for them."""
+    source, out, check = (scratch_path(spark, x) for x in ("in", "out", "check"))
+    seconds = [10, 200, 30, 205, 70, 400, 130, 100, 410, 275, 420, 500, 10, 375]
+    late, latest = [], None
+    for s in seconds:
+        if latest is not None and s // 60 * 60 + 60 <= latest - 120:
+            late.append(s)
+        latest = s if latest is None else max(latest, s)
+    for part in (seconds[:8], seconds[8:]):
+        for s in part:
+            write(spark, source, [(s, "#a"), (s, "#b #c")])
+        stream = readers.file_stream(spark, source, SCHEMA, 1)
+        jobs.split_late(stream, out, check, "60 seconds", 120)
+    rows = spark.read.parquet(f"{out}/rows/*")
+    got = sorted((r["ts"] - T0).seconds for r in rows.where("late").collect())
+    assert got == sorted(2 * late) and rows.count() == 2 * len(seconds)
+
+
+def test_scorer_restarts_with_windows_held(spark):
+    """Its state holds windows when it stops; after the restart the rows are those of one run."""
+    schema = "hashtag string, window_start timestamp_ntz, n bigint, sentiment_sum double, sentiment_n bigint"
+    files = [[1, 2, 4], [3, 5], [8], [7, 20]]
+    found = {}
+    for name, stops in (("once", [4]), ("restarted", [2, 3, 4])):
+        source, out, check = (scratch_path(spark, x) for x in ("counts", "scored", "check"))
+        begun = 0
+        for stop in stops:
+            for days in files[begun:stop]:
+                rows = [(t, T0 + timedelta(days=d), 1 + (d * d * k) % 7, 0.5, 1) for d in days for k, t in ((3, "a"), (5, "b"))]
+                spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+            begun = stop
+            with jobs.rocksdb_state(spark):
+                processor = TrendState(86_400_000_000, 5, 0.5, 0, delay_us=3 * 86_400_000_000)
+                scored = score_stream(readers.file_stream(spark, source, schema, 1), processor)
+                jobs.run_to_files(scored, out, check)
+                if stop == 2:
+                    held = spark.read.format("statestore").option("stateVarName", "held").load(check)
+                    assert held.count() > 0
+        found[name] = sorted(map(str, spark.read.schema(scored.schema).parquet(out).collect()))
+    assert found["restarted"] == found["once"] and len(found["once"]) == 14
+
+
+def test_sketches_merge(spark):
+    """Percentiles of hours merged to a day are within the rank error of the day."""
+    log = spark.range(20_000).select(
+        (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 4).cast("decimal(18,6)"))).alias("ts"),
+        F.lit("v1").alias("model_version"),
+        F.pow(F.col("id") * 7919 % 20_011, F.lit(1.5)).alias("latency_ms"),
+    )
+    path = scratch_path(spark, "log")
+    log.write.parquet(path)
+    hours = jobs.drained(jobs.latency_stream(readers.file_stream(spark, path, log.schema), "1 hour", "2 hours"), "latency")
+    [day] = mn.sketch_percentiles(mn.merged_sketches(hours, "1 day")).collect()
+    closed = sorted(r["latency_ms"] for r in log.where(F.col("ts") < hours.agg(F.max("window_start")).first()[0] + timedelta(hours=1)).collect())
+    assert day["n"] == len(closed)
+    for name, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)):
+        rank = sum(x <= day[name] for x in closed) / len(closed)
+        assert abs(rank - p) < 0.01
 
 
 def test_topic_records_are_split(spark, folder):
