@@ -130,3 +130,18 @@ def test_every_pair_seen_often(spark):
     rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2 or r[0] >= 100]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     check(rows, katz.katz_scores(df, held_out()).collect())
+
+
+def test_scores_do_not_depend_on_the_size_of_batches(spark):
+    """More short texts in an Arrow batch than a chunk can number."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 7, F.lit(" a"), F.col("id") % 3).alias("text")).coalesce(1)
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = []
+    try:
+        for rows in (10_000, 40_000):
+            spark.conf.set(key, rows)
+            scored = katz.katz_scores(docs, F.col("doc_id") % 5 == 0)
+            found.append(scored.agg(F.count(F.lit(1)), F.round(F.sum("score"), 6)).first())
+    finally:
+        spark.conf.set(key, before)
+    assert found[0] == found[1] and found[0][0] == 40_000

@@ -38,7 +38,7 @@ from tidemill.llm import blocks
 from tidemill.plans.scratch import scratch_path
 
 K = 5  # counts up to K are discounted
-CHUNK_TOKENS, CHUNK_TEXTS = 1_200_000, 1 << 14
+CHUNK_TOKENS, CHUNK_TEXTS, PART_TEXTS = 1_200_000, 1 << 14, 1 << 13
 BUCKET_TOKENS, MIN_BUCKETS, MAX_BUCKETS = 400_000, 512, 1 << 20
 TASK_TOKENS, MIN_TASKS = 8_000_000, 16
 FREQUENT = 1 << 18
@@ -126,7 +126,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
         text = np.concatenate([t + f for t, f in zip(text, first, strict=False)])
         return Chunk(sum(ids, []), np.concatenate(held), np.concatenate(lengths), np.concatenate(history), np.concatenate(word), text)
 
-    for batch in batches:
+    for batch in (b.slice(k, PART_TEXTS) for b in batches for k in range(0, len(b), PART_TEXTS)):
         for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
             data = blocks.ASCII_LOWER[data]
             starts, ends, owner = blocks.words(data, offsets)
@@ -139,7 +139,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             rows = batch.slice(a, b - a)
             held = rows.column("held").to_numpy(zero_copy_only=False)
             parts.append((rows.column("id").to_pylist(), held, lengths, history, word, np.repeat(np.arange(b - a), lengths)))
-            if sum(len(p[4]) for p in parts) >= CHUNK_TOKENS or sum(len(p[2]) for p in parts) + 10_000 > CHUNK_TEXTS:
+            if sum(len(p[4]) for p in parts) >= CHUNK_TOKENS or sum(len(p[2]) for p in parts) + PART_TEXTS > CHUNK_TEXTS:
                 yield joined()
                 parts.clear()
     if parts:
