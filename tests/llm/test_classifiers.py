@@ -125,3 +125,55 @@ def test_sample_is_bounded_and_whole_when_small(spark):
     df = spark.range(20_000).selectExpr("id", "CASE WHEN id < 19990 THEN 'a' ELSE 'b' END AS g")
     got = {r["g"]: r["count"] for r in bounded_sample(df, "id", "g", 500, 1).groupBy("g").count().collect()}
     assert got["b"] == 10 and 400 < got["a"] < 600
+
+
+def plain_probability(net, text: bytes) -> float:
+    """The network in loops: each chunk's windows one by one, the largest answers, the largest hidden values."""
+    step, unit = byte_cnn.STEP, byte_cnn.UNIT
+    size = max(1, -(-len(text) // unit))
+    padded = text + bytes((size + 1) * unit - len(text))
+    wide, hop = byte_cnn.CHUNK // unit, byte_cnn.HOP // unit
+    document = np.zeros(byte_cnn.HIDDEN)
+    for number in range(max(0, -(-(size - wide) // hop)) + 1):
+        start, end = number * hop * unit, min(number * hop + wide, size) * unit
+        best = np.full(byte_cnn.FILTERS, -np.inf)
+        for at in range(start, end, step):
+            one, two = (np.concatenate([net.embed[b] for b in padded[k : k + step]]) for k in (at, at + step))
+            best = np.maximum(best, one @ net.first + two @ net.second)
+        hidden = np.maximum(np.maximum(best + net.bias, 0) @ net.hidden + net.hidden_bias, 0)
+        document = np.maximum(document, hidden)
+    return 1 / (1 + np.exp(-float(np.clip(document @ net.out + net.out_bias[0], -30, 30))))
+
+
+def test_probabilities_equal_the_network_in_loops():
+    rng = np.random.default_rng(4)
+    net = byte_cnn.new_net(3)
+    net.bias += 0.1
+    net.hidden_bias += 0.05
+    texts = [rng.integers(0, 256, n, dtype=np.uint8).tobytes() for n in (0, 1, 5, 127, 128, 129, 511, 512, 513, 900, 1500, 4000)]
+    offsets = np.cumsum([0, *map(len, texts)])
+    found = byte_cnn.probabilities(net, np.frombuffer(b"".join(texts), np.uint8), offsets)
+    assert found == pytest.approx([plain_probability(net, t) for t in texts], abs=1e-5)
+
+
+def test_votes_equal_a_count_in_loops():
+    """Family by its largest margin, then one vote for the winner of each pair; ties by the sum of margins."""
+    rng = np.random.default_rng(8)
+    size = (1 << language_id.BITS) + 1
+    names = {"one": ["a", "b", "c"], "two": ["d"], "three": ["e", "f"]}
+    model = language_id.LanguageModel(list(names.items()), rng.standard_normal((3, size)).astype(np.float32))
+    for langs in names.values():
+        for i, a in enumerate(langs):
+            for b in langs[i + 1 :]:
+                model.pair_weights[a, b] = rng.standard_normal(size).astype(np.float32)
+    x = language_id.features(*block([f"text {k} of some words {k * 37}" for k in range(40)]))
+    found, _ = model.predict(x)
+    for row, lang in zip(x, found, strict=True):
+        margins = [float(row @ w[:-1] + w[-1]) for w in model.family_weights]
+        langs = list(names.values())[int(np.argmax(margins))]
+        votes = dict.fromkeys(langs, 0)
+        for i, a in enumerate(langs):
+            for b in langs[i + 1 :]:
+                w = model.pair_weights[a, b]
+                votes[a if float(row @ w[:-1] + w[-1]) > 0 else b] += 1
+        assert lang in langs and votes[lang] == max(votes.values())
