@@ -8,10 +8,10 @@ from tidemill.plans import scratch
 from tidemill.plans.scratch import SETTING, WAREHOUSE, materialize, scratch_path
 
 
-def fake(**settings):
+def fake(master="spark://host", **settings):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)),
-        sparkContext=SimpleNamespace(applicationId="app-7", _jsc=None),
+        sparkContext=SimpleNamespace(applicationId="app-7", _jsc=None, master=master),
     )
 
 
@@ -24,8 +24,10 @@ def test_the_warehouse_where_none_is_named():
     first, second = (scratch_path(fake(**{WAREHOUSE: "hdfs://w"}), "x") for _ in range(2))
     assert first != second
     assert first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0] == "hdfs://w/tidemill/app-7"
-    with pytest.raises(ValueError, match="shared folder"):
-        scratch_path(fake(), "x")
+    for settings in ({}, {WAREHOUSE: "spark-warehouse"}, {WAREHOUSE: "file:/tmp/spark-warehouse"}):
+        with pytest.raises(ValueError, match="shared folder"):
+            scratch_path(fake(**settings), "x")
+    assert scratch_path(fake(master="local[2]", **{WAREHOUSE: "file:/w"}), "x").startswith("file:/w/")
 
 
 def test_tables_are_deleted_at_the_end(spark, monkeypatch, tmp_path):

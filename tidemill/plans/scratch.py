@@ -1,7 +1,7 @@
 """Shared scratch tables.
 
 Intermediate tables go to the folder named in ``spark.checkpoint.dir``, so that they survive the loss
-of executors; where that is unset, below ``spark.sql.warehouse.dir``, which all executors share as well.
+of executors; where that is unset, below ``spark.sql.warehouse.dir``, which on a cluster must not be a local folder.
 They are deleted when the driver's Python ends.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,12 @@ _written: dict[str, SparkSession] = {}  # folder of an application -> its sessio
 
 
 def shared_folder(spark: SparkSession) -> str:
-    base = spark.conf.get(SETTING, None) or spark.conf.get(WAREHOUSE, None)
+    base = spark.conf.get(SETTING, None)
     if not base:
-        raise ValueError(f"intermediate tables need a shared folder: set {SETTING}")
+        base = spark.conf.get(WAREHOUSE, None)
+        local = spark.sparkContext.master.startswith("local")
+        if not base or (not local and urlparse(base).scheme in ("", "file")):
+            raise ValueError(f"intermediate tables need a shared folder: set {SETTING}")
     return f"{base.rstrip('/')}/tidemill/{spark.sparkContext.applicationId}"
 
 
