@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.sources import readers, writers
+from tidemill.queries import source_queries
+from tidemill.sources import readers, views, writers
 
 
 def test_whole_text_keeps_newlines(spark, tmp_path):
@@ -138,3 +139,21 @@ def test_no_lines_no_trees(spark):
     none = spark.createDataFrame([], "g string, o bigint, line string")
     tree = readers.digest_tree(readers.block_digests(none, "g", "o", "line"), "g")
     assert readers.compare_trees(tree, tree, "g").isEmpty()
+
+
+def test_text_files_are_bounded_by_bytes(spark, folder, monkeypatch):
+    """Small files give the same counts; none holds more than its bytes and one document."""
+    whole = sorted(map(tuple, source_queries.src_text(spark, folder).collect()))
+    seen = []
+    read = readers.read_corpus
+
+    def watched(*args):
+        seen.append(read(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(readers, "read_corpus", watched)
+    monkeypatch.setattr(source_queries, "FILE_BYTES", 20_000)
+    assert sorted(map(tuple, source_queries.src_text(spark, folder).collect())) == whole
+    longest = views.table(spark, folder, "documents").agg(F.max(F.octet_length("text"))).first()[0]
+    sizes = [r[0] for r in seen[0].select(F.octet_length("text")).collect()]
+    assert len(sizes) > 10 and max(sizes) <= 20_000 + longest + 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemill.operators import evaluate as ev
 from tidemill.operators import trends
 from tidemill.operators.features import split_random
+from tidemill.plans import lookup_join, prefix_sum
 from tidemill.plans.scratch import materialize, scratch_path
 from tidemill.queries import checks as sql
 from tidemill.queries.registry import query, r
@@ -15,17 +16,24 @@ from tidemill.queries.trend_queries import DAY
 from tidemill.sources import readers, views, writers
 
 
+FILE_BYTES = 32_000_000  # a file is read as one value
+
+
 @query(
     "src_text",
     """SELECT lang, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
   CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines FROM documents GROUP BY lang""",
 )
 def src_text(spark, folder):
-    """Documents written as text files per language, then read as whole files."""
+    """Documents written as text files per language, of bounded bytes unless one document is longer, then read as whole files."""
     path = scratch_path(spark, "texts")
-    docs = views.table(spark, folder, "documents").select("lang", "text")
-    docs.write.option("maxRecordsPerFile", 20_000).partitionBy("lang").text(path)
-    files = readers.read_corpus(spark, f"{path}/*/*.txt")
+    docs = views.table(spark, folder, "documents").select("doc_id", "lang", "text")
+    sizes = docs.select("doc_id", (F.octet_length("text") + 1).cast("bigint").alias("n"))
+    place = F.floor((F.col("cum_n") - F.col("n")) / FILE_BYTES).alias("file")
+    files = materialize(prefix_sum(sizes, "doc_id", ["n"]).select("doc_id", place), "files")
+    placed = lookup_join(docs, files, ["doc_id"], "inner").select("lang", "file", "text")
+    placed.repartition("lang", "file").write.partitionBy("lang", "file").text(path)
+    files = readers.read_corpus(spark, f"{path}/*/*/*.txt")
     lang = F.regexp_extract("path", "lang=([^/]+)/", 1)
     lines = F.char_length("text") - F.char_length(F.replace("text", F.lit("\n")))
     return files.groupBy(lang.alias("lang")).agg(
