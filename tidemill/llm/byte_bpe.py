@@ -36,6 +36,7 @@ from tidemill.llm import blocks
 
 LONG_PIECE = 256
 DECODED_ROWS = 256  # rows decoded at a time
+ENCODED_BYTES = 400_000  # text encoded at a time
 NO_PAIR = 2**31 - 1
 SPACE, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 # The public pattern that `cut` implements, its contractions, and Unicode's White_Space.
@@ -333,7 +334,7 @@ def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, offsets in blocks.text_blocks(batch.column("text")):
+            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), ENCODED_BYTES):
                 starts, ends, owner = cut(data, offsets)
                 _, one, which = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
                 ids, n = fold(data, starts[one], ends[one], ranks)
