@@ -328,3 +328,28 @@ def test_draws_cover_all_nine_ranges():
         values = [d[name] for d in draws]
         assert low <= min(values) and max(values) <= high and max(values) - min(values) > 0.8 * (high - low)
         assert kind != "int" or {min(values), max(values)} <= set(range(low, high + 1))
+
+
+def test_binned_trees_find_the_leaves_that_walking_finds():
+    """Trees of at most 64 leaves by words of bits, larger ones step by step."""
+    rng = np.random.default_rng(3)
+    bins = rng.integers(0, 66, (3, 5000)).astype(np.uint8)
+    label = (bins[0] + bins[1] * rng.random(5000) > 60).astype(float)
+    for depth, most in ((0, 1), (3, 8), (6, 64), (9, 512)):
+        tree = bo.grow_subtree(bins, 0.5 - label, np.full(5000, 0.25), bo.TreeParams(min_child_weight=0.5), depth, 66).arrays()
+        found = bo.BinnedTree(tree, 3, 66)
+        assert len(found.leaves) <= most and (found.masks is None) == (len(found.leaves) > 64)
+        plain = []
+        for row in bins.T:
+            k = 0
+            while tree[0][k] >= 0:
+                k = tree[2][k] + int(row[tree[0][k]] > tree[1][k])
+            plain.append(k)
+        assert found.nodes(bins).tolist() == plain
+
+
+def test_trees_of_a_small_table_take_one_job_each(spark, monkeypatch):
+    monkeypatch.setattr(bo, "_sums", None)  # the sums of single levels
+    rows = table(spark, 60_000)
+    [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=1, max_depth=2))], "label", F.lit(0))
+    assert ev.auc_roc(bo.predict(fitted, rows, "label")).first()[0] > 0.9
