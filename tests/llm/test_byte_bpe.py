@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemill.llm import blocks, byte_bpe
-from tidemill.llm.queries import bpe_ranks
+from tidemill.llm.queries import bpe_digests, bpe_ranks
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +96,13 @@ def test_edge_rows(spark):
     found = sorted((str(r["doc_id"]), r["tokens"], bytes(r["decoded"])) for r in byte_bpe.decode(byte_bpe.encode(df, bpe_ranks()), bpe_ranks()).collect())
     assert found == [("1", [], b""), ("2", [], b""), ("3", [64, 275], b"a b"), ("3", [64, 275], b"a b"), ("None", [66], b"c")]
     assert byte_bpe.encode(df.limit(0), bpe_ranks()).collect() == []
+
+
+def test_round_trip_is_both_steps_in_one_worker(spark):
+    rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c"), (4, "x y " * 200_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    apart = byte_bpe.decode(byte_bpe.encode(df, bpe_ranks()), bpe_ranks())
+    once = byte_bpe.round_trip(df, bpe_ranks())
+    assert once.schema == apart.schema and sorted(map(str, once.collect())) == sorted(map(str, apart.collect()))
+    plan = bpe_digests(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

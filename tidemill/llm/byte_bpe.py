@@ -329,52 +329,65 @@ def fold(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, content: bytes)
     return ids[order], np.bincount(owner, minlength=n)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, data, offsets in blocks.text_blocks(batch.column("text"), ENCODED_BYTES):
+            starts, ends, owner = cut(data, offsets)
+            _, one, which = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            ids, n = fold(data, starts[one], ends[one], ranks)
+            begin = np.concatenate([[0], np.cumsum(n)])
+            count = n[which]
+            stop = np.cumsum(count)
+            flat = ids[np.repeat(begin[which] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
+            cuts = np.concatenate([[0], stop])[np.searchsorted(owner, np.arange(b - a + 1))]
+            tokens = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), tokens], names=["doc_id", "tokens"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: bytes) -> Iterator[pa.RecordBatch]:
+    table = read_ranks(ranks)
+    pieces = [b""] * (max(table.values()) + 1)
+    for token, rank in table.items():
+        pieces[rank] = token
+    sizes = np.array([len(p) for p in pieces])
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    every = np.frombuffer(b"".join(pieces), np.uint8)
+    for batch in batches:
+        for first in range(0, len(batch), DECODED_ROWS):
+            rows = batch.slice(first, DECODED_ROWS)
+            tokens = rows.column("tokens")
+            ids = tokens.flatten().to_numpy(zero_copy_only=False)
+            size = sizes[ids]
+            stop = np.cumsum(size)
+            place = np.repeat(begin[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+            lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            cuts = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(lengths)])]
+            whole = every[place].tobytes()
+            known = tokens.is_valid().to_pylist()
+            decoded = [whole[a:b] if k else None for a, b, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), known, strict=True)]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(decoded, pa.binary())], names=[*rows.schema.names, "decoded"])
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``tokens`` (array of ids) of every row. ``ranks`` is the content of a rank file."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b, data, offsets in blocks.text_blocks(batch.column("text"), ENCODED_BYTES):
-                starts, ends, owner = cut(data, offsets)
-                _, one, which = np.unique(blocks.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-                ids, n = fold(data, starts[one], ends[one], ranks)
-                begin = np.concatenate([[0], np.cumsum(n)])
-                count = n[which]
-                stop = np.cumsum(count)
-                flat = ids[np.repeat(begin[which] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
-                cuts = np.concatenate([[0], stop])[np.searchsorted(owner, np.arange(b - a + 1))]
-                tokens = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), tokens], names=["doc_id", "tokens"])
-
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, tokens array<int>")
+    return _texts(docs, id_col, text_col).mapInArrow(lambda batches: _encoded(batches, ranks), "doc_id bigint, tokens array<int>")
 
 
 def decode(encoded: DataFrame, ranks: bytes) -> DataFrame:
     """``encoded`` and the column ``decoded``: the bytes of its ``tokens``. Null tokens decode to null."""
+    schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
+    return encoded.mapInArrow(lambda batches: _decoded(batches, ranks), schema)
+
+
+def round_trip(docs: DataFrame, ranks: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """What ``decode`` makes of ``encode``, by the same two steps in one Python worker a task instead of two: each holds the
+    tables of ranks, and blocks of ids need no way through the JVM."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = read_ranks(ranks)
-        pieces = [b""] * (max(table.values()) + 1)
-        for token, rank in table.items():
-            pieces[rank] = token
-        sizes = np.array([len(p) for p in pieces])
-        begin = np.concatenate([[0], np.cumsum(sizes)])
-        every = np.frombuffer(b"".join(pieces), np.uint8)
-        for batch in batches:
-            for first in range(0, len(batch), DECODED_ROWS):
-                rows = batch.slice(first, DECODED_ROWS)
-                tokens = rows.column("tokens")
-                ids = tokens.flatten().to_numpy(zero_copy_only=False)
-                size = sizes[ids]
-                stop = np.cumsum(size)
-                place = np.repeat(begin[ids] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
-                lengths = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                cuts = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(lengths)])]
-                whole = every[place].tobytes()
-                known = tokens.is_valid().to_pylist()
-                decoded = [whole[a:b] if k else None for a, b, k in zip(cuts[:-1].tolist(), cuts[1:].tolist(), known, strict=True)]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(decoded, pa.binary())], names=[*rows.schema.names, "decoded"])
+        return _decoded(_encoded(batches, ranks), ranks)
 
-    schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
-    return encoded.mapInArrow(run, schema)
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id bigint, tokens array<int>, decoded binary")

@@ -126,7 +126,7 @@ def bpe_ranks() -> bytes:
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
     ranks = bpe_ranks()
-    return byte_bpe.decode(byte_bpe.encode(docs, ranks), ranks).select(
+    return byte_bpe.round_trip(docs, ranks).select(
         "doc_id",
         F.size("tokens").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join("tokens", " ").cast("binary"), 256).alias("ids_sha256"),
