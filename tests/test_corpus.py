@@ -244,3 +244,23 @@ def test_ids_are_worked_out_once(spark):
     docs = spark.createDataFrame([(0, "abc"), (1, "cab")], "doc_id bigint, text string")
     plan = co.global_position(docs, co.build_vocab(docs))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("raise_error") <= 1 and "size(" not in plan
+
+
+def test_losses_of_many_windows_take_many_small_tasks(spark, monkeypatch):
+    """Tasks follow the characters drawn, and the pairs of a batch are counted where its windows are."""
+    monkeypatch.setattr(co, "WINDOW_CHARS", 1000)
+    text = "".join(random.Random(5).choice("abc ") for _ in range(3000))
+    pieces = spark.createDataFrame([("train", 0, text[:1000]), ("train", 1000, text[1000:])], "split string, spos bigint, text string")
+    windows = co.sample_batches(pieces, co.SplitSizes(3000, 0), {"train": 40}, 8, 31)
+    assert windows.rdd.getNumPartitions() == 11  # 40 x 8 x 32 characters
+    pairs = co.bigram_counts(windows, "split", "step").groupBy("split", "step").agg(F.sum("n"))
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # that of the windows
+    counts = co.bigram_counts(pieces)
+    known = {r["prev"] + r["next"]: r["n"] for r in counts.collect()}
+    total = {c: sum(n for p, n in known.items() if p[0] == c) for c in "abc "}
+    expected: dict[int, list[float]] = {}
+    for r in windows.collect():
+        nll = [-math.log((known.get(p, 0) + 1) / (total[p[0]] + 4)) for p in map("".join, zip(r["text"], r["text"][1:], strict=False))]
+        expected.setdefault(r["step"], []).extend(nll)
+    got = {r["step"]: r["batch_loss"] for r in co.batch_losses(windows, counts, 4).collect()}
+    assert got == pytest.approx({s: sum(v) / len(v) for s, v in expected.items()}) and len(got) == 40

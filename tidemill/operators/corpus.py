@@ -30,6 +30,7 @@ SPLITS = ("train", "val")
 
 CODE_POINTS = 0x110000  # no alphabet can have more characters
 PAGE = 256  # code points of one page of a codec
+WINDOW_CHARS = 4_000_000  # characters of drawn windows in one task
 SPAN_BIN = 65_536  # characters of the stream in one bin of the index of pieces
 
 
@@ -349,9 +350,11 @@ def sample_batches(
     """Random windows of ``block_size + 1`` characters, drawn with replacement.
 
     ``steps`` says how many batches to draw from each split. Positions alone tell which pieces a window touches;
-    then the windows are cut out of the texts, and only what is cut out is shuffled.
+    then the windows are cut out of the texts, and only what is cut out is shuffled. All windows of a batch meet in
+    one task, and the number of tasks follows what is drawn.
     """
     spark = pieces.sparkSession
+    tasks = window_tasks(spark, sum(steps.values()) * batch_size * (block_size + 1))
     drawn = []
     for split, count in steps.items():
         n = sizes.of(split)
@@ -362,16 +365,22 @@ def sample_batches(
     length = block_size + 1
     held = pieces.where(F.col("split").isin(*steps))
     spans = held.select("split", "spos", (F.col("spos") + F.char_length("text")).alias("end"))
-    cuts = lookup_rows(held, materialize(touched(wanted, spans, length), "touched"), ["split", "spos"])
+    cuts = lookup_rows(held, materialize(touched(wanted, spans, length), "touched"), ["split", "spos"], partitions=tasks)
     part = F.expr(f"substring(text, cast(greatest(start - spos, 0) + 1 as int), cast({length} - greatest(spos - start, 0) as int))")
     return (
         cuts.select("split", "step", "row", "start", "spos", part.alias("part"))
+        .repartition(tasks, "split", "step")
         .groupBy("split", "step", "row", "start")
         .agg(F.sort_array(F.collect_list(F.struct("spos", "part"))).alias("_p"))
         .select("split", "step", "row", "start", F.array_join(F.transform("_p", lambda p: p["part"]), "").alias("text"))
     )
 
 
+def window_tasks(spark, chars: int) -> int:
+    """Tasks that share this many characters of windows, at least the shuffle partitions."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // WINDOW_CHARS))
+
+
 def touched(windows: DataFrame, spans: DataFrame, length: int, bin_size: int = SPAN_BIN) -> DataFrame:
     """Windows ``(split, ..., start)`` with the ``spos`` of each piece they touch, found from positions alone.
 
@@ -479,14 +488,14 @@ def bigram_loss(pieces: DataFrame, size: int) -> DataFrame:
 
 
 def batch_losses(windows: DataFrame, train_counts: DataFrame, size: int) -> DataFrame:
-    """Mean loss of every sampled batch under add-one smoothed train counts."""
+    """Mean loss of every sampled batch under add-one smoothed train counts.
+
+    Pairs are counted where the windows of a batch lie together; only the losses, one row per batch, are written.
+    """
     train = materialize(train_counts, "bigrams")
-    drawn = materialize(bigram_counts(windows, "split", "step"), "drawn")
-    return (
-        _smoothed(drawn, train, size, F.col("n"))
-        .groupBy("split", "step")
-        .agg((F.sum(F.col("nll") * F.col("weight")) / F.sum("weight")).alias("batch_loss"))
-    )
+    rated = _smoothed(bigram_counts(windows, "split", "step"), train, size, F.col("n"))
+    mean = (F.sum(F.col("nll") * F.col("weight")) / F.sum("weight")).alias("batch_loss")
+    return materialize(rated.groupBy("split", "step").agg(mean), "losses")
 
 
 def sampled_loss(losses: DataFrame) -> DataFrame:

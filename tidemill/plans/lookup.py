@@ -53,9 +53,17 @@ def lookup_join(
     return big.join(F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim, list(on), how)
 
 
-def lookup_rows(big: DataFrame, asked: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """All pairs of a wide table and the rows that ask for it: these travel to the table where they are few."""
-    return big.join(F.broadcast(asked) if fits_broadcast(asked, max_rows) else asked, list(on))
+def lookup_rows(
+    big: DataFrame, asked: DataFrame, on: Sequence[str], max_rows: int = BROADCAST_ROWS, partitions: int | None = None
+) -> DataFrame:
+    """All pairs of a wide table and the rows that ask for it: these travel to the table where they are few. Else both are
+    shuffled, into ``partitions`` if given."""
+    on = list(on)
+    if fits_broadcast(asked, max_rows):
+        return big.join(F.broadcast(asked), on)
+    if partitions:
+        big, asked = big.repartition(partitions, *on), asked.repartition(partitions, *on)
+    return big.join(asked, on)
 
 
 def param_join(df: DataFrame, params: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
