@@ -247,14 +247,13 @@ def test_ids_are_worked_out_once(spark):
 
 
 def test_losses_of_many_windows_take_many_small_tasks(spark, monkeypatch):
-    """Tasks follow the characters drawn, and the pairs of a batch are counted where its windows are."""
+    """Tasks follow the characters drawn, and so do those that add up the pairs of a batch."""
     monkeypatch.setattr(co, "WINDOW_CHARS", 1000)
     text = "".join(random.Random(5).choice("abc ") for _ in range(3000))
     pieces = spark.createDataFrame([("train", 0, text[:1000]), ("train", 1000, text[1000:])], "split string, spos bigint, text string")
     windows = co.sample_batches(pieces, co.SplitSizes(3000, 0), {"train": 40}, 8, 31)
     assert windows.rdd.getNumPartitions() == 11  # 40 x 8 x 32 characters
-    pairs = co.bigram_counts(windows, "split", "step").groupBy("split", "step").agg(F.sum("n"))
-    assert pairs._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1  # that of the windows
+    assert co.bigram_counts(windows, "split", "step", tasks=11).groupBy("split", "step").agg(F.sum("n")).rdd.getNumPartitions() == 11
     counts = co.bigram_counts(pieces)
     known = {r["prev"] + r["next"]: r["n"] for r in counts.collect()}
     total = {c: sum(n for p, n in known.items() if p[0] == c) for c in "abc "}
@@ -262,5 +261,17 @@ def test_losses_of_many_windows_take_many_small_tasks(spark, monkeypatch):
     for r in windows.collect():
         nll = [-math.log((known.get(p, 0) + 1) / (total[p[0]] + 4)) for p in map("".join, zip(r["text"], r["text"][1:], strict=False))]
         expected.setdefault(r["step"], []).extend(nll)
-    got = {r["step"]: r["batch_loss"] for r in co.batch_losses(windows, counts, 4).collect()}
+    got = {r["step"]: r["batch_loss"] for r in co.batch_losses(windows, counts, 4, 11).collect()}
     assert got == pytest.approx({s: sum(v) / len(v) for s, v in expected.items()}) and len(got) == 40
+
+
+@pytest.mark.parametrize("most", [1, 20, 1_000_000])
+def test_pairs_are_counted_in_blocks_of_any_size(spark, monkeypatch, most):
+    monkeypatch.setattr(co, "PAIR_BYTES", most)
+    rows = [(None, "ab\U0001f600ab"), ("x", "é"), ("x", ""), ("y", None), ("x", "ab\nab"), (None, "ab")]
+    got = co.bigram_counts(spark.createDataFrame(rows, "k string, text string").coalesce(1), "k").collect()
+    expected: dict[tuple, int] = {}
+    for k, t in rows:
+        for p in zip(t or "", (t or "")[1:], strict=False):
+            expected[(k, *p)] = expected.get((k, *p), 0) + 1
+    assert {tuple(r)[:3]: r["n"] for r in got} == expected and len(got) == len(expected)

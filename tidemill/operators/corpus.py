@@ -7,13 +7,17 @@ about the size of the text itself.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemill.functions.hashing import hash_unit, wide_draw
 from tidemill.plans import lookup_join, materialize, param_join, prefix_sum, previous
@@ -30,6 +34,7 @@ SPLITS = ("train", "val")
 
 CODE_POINTS = 0x110000  # no alphabet can have more characters
 PAGE = 256  # code points of one page of a codec
+PAIR_BYTES = 1_000_000  # bytes of text whose pairs are counted at a time
 WINDOW_CHARS = 4_000_000  # characters of drawn windows in one task
 SPAN_BIN = 65_536  # characters of the stream in one bin of the index of pieces
 
@@ -426,20 +431,41 @@ def bigram_pairs(corpus: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def bigram_counts(corpus: DataFrame, *by: str) -> DataFrame:
-    """Counts per pair, summed inside each task first."""
-    return (
-        non_empty(corpus)
-        .select(*by, F.explode(_two_sweeps()).alias("pair"))
-        .groupBy(*by, "pair")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            *by,
-            F.substring("pair", 1, 1).alias("prev"),
-            F.substring("pair", 2, 1).alias("next"),
-            "n",
-        )
-    )
+def _pair_counts(rows: pa.RecordBatch, by: Sequence[str], codes: np.ndarray, row: np.ndarray) -> pa.RecordBatch:
+    """Counts of the adjacent characters of some texts; ``row`` says which row each character is from."""
+    seen: dict[tuple, int] = {}
+    group = np.array([seen.setdefault(k, len(seen)) for k in zip(*[rows.column(b).to_pylist() for b in by], strict=True)] if by else [0] * len(rows), np.int64)
+    inside = np.flatnonzero(row[1:] == row[:-1])
+    pairs, n = np.unique(group[row[inside]] << 42 | codes[inside] << 21 | codes[inside + 1], return_counts=True)
+    _, first = np.unique(group, return_index=True)
+    owner = pa.array(first[pairs >> 42])
+    names = [np.unique(x, return_inverse=True) for x in (pairs >> 21 & 0x1FFFFF, pairs & 0x1FFFFF)]
+    texts = [pa.array([chr(c) for c in used], pa.string()).take(pa.array(at)) for used, at in names]
+    return pa.RecordBatch.from_arrays([*[rows.column(b).take(owner) for b in by], *texts, pa.array(n, pa.int64())], names=[*by, "prev", "next", "n"])
+
+
+def bigram_counts(corpus: DataFrame, *by: str, tasks: int | None = None) -> DataFrame:
+    """Counts per pair, summed inside each task first, over blocks of texts; then in ``tasks`` by ``by``, if given."""
+    slim = non_empty(corpus).select(*by, "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+            first = 0
+            while first < len(batch):
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + PAIR_BYTES, "right")))
+                rows = batch.slice(first, last - first)
+                texts = rows.column("text").to_pylist()
+                codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+                yield _pair_counts(rows, by, codes, np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
+                first = last
+
+    kinds = [slim.schema[b] for b in by] + [T.StructField(c, T.StringType()) for c in ("prev", "next")]
+    counted = slim.mapInArrow(run, T.StructType([*kinds, T.StructField("n", T.LongType())]))
+    if tasks:
+        counted = counted.repartition(tasks, *by)
+    return counted.groupBy(*by, "prev", "next").agg(F.sum("n").alias("n"))
 
 
 def bigram_model(corpus: DataFrame) -> DataFrame:
@@ -487,13 +513,13 @@ def bigram_loss(pieces: DataFrame, size: int) -> DataFrame:
     )
 
 
-def batch_losses(windows: DataFrame, train_counts: DataFrame, size: int) -> DataFrame:
+def batch_losses(windows: DataFrame, train_counts: DataFrame, size: int, tasks: int | None = None) -> DataFrame:
     """Mean loss of every sampled batch under add-one smoothed train counts.
 
-    Pairs are counted where the windows of a batch lie together; only the losses, one row per batch, are written.
+    The pairs of a batch meet in one of ``tasks``; only the losses, one row per batch, are written.
     """
     train = materialize(train_counts, "bigrams")
-    rated = _smoothed(bigram_counts(windows, "split", "step"), train, size, F.col("n"))
+    rated = _smoothed(bigram_counts(windows, "split", "step", tasks=tasks), train, size, F.col("n"))
     mean = (F.sum(F.col("nll") * F.col("weight")) / F.sum("weight")).alias("batch_loss")
     return materialize(rated.groupBy("split", "step").agg(mean), "losses")
 

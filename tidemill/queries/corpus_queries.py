@@ -287,7 +287,8 @@ def batch_losses(spark, folder) -> DataFrame:
     corpus, pieces, sizes = _stream(spark, folder)
     size = co.vocab_size(corpus).first()["vocab_size"]
     train = co.stream_bigram_counts(pieces.where(F.col("split") == "train")).drop("split")
-    return co.batch_losses(_windows(pieces, sizes), train, size)
+    drawn = sum(_epoch(sizes, split) for split in co.SPLITS) * co.BATCH_SIZE * (co.BLOCK_SIZE + 1)
+    return co.batch_losses(_windows(pieces, sizes), train, size, co.window_tasks(spark, drawn))
 
 
 @query(
