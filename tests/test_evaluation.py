@@ -351,5 +351,5 @@ def test_binned_trees_find_the_leaves_that_walking_finds():
 def test_trees_of_a_small_table_take_one_job_each(spark, monkeypatch):
     monkeypatch.setattr(bo, "_sums", None)  # the sums of single levels
     rows = table(spark, 60_000)
-    [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=1, max_depth=2))], "label", F.lit(0))
+    [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=1, max_depth=2, colsample=1.0))], "label", F.lit(0))
     assert ev.auc_roc(bo.predict(fitted, rows, "label")).first()[0] > 0.9
