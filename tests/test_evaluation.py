@@ -353,3 +353,57 @@ def test_trees_of_a_small_table_take_one_job_each(spark, monkeypatch):
     rows = table(spark, 60_000)
     [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=1, max_depth=2, colsample=1.0))], "label", F.lit(0))
     assert ev.auc_roc(bo.predict(fitted, rows, "label")).first()[0] > 0.9
+
+
+def test_rows_that_agree_share_an_entry(spark):
+    """However many rows agree, ranges stay about equal; each row is in an entry of its bins and label once."""
+    rows = [(i if i % 9 else None, 1.0 if i < 3000 else float(i % 7), None if i % 5 == 0 else float(i % 3), None if i == 8 else int(i % 2)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, label int").repartition(3)
+    cuts, part = bo.fit_cuts(df, ["a", "b"]), F.when(F.col("id") % 4 == 0, 1).otherwise(0)
+    blocks = bo.pack(bo.bin_rows(df, "id", ["a", "b"], "label", part, cuts), 2)
+    found, n, per_task = [], 0, {}
+    for b in blocks.withColumn("task", F.spark_partition_id()).collect():
+        cells = np.frombuffer(b["bins"] + b["label"], np.uint8).reshape(3, b["n"]).T
+        starts = np.frombuffer(b["starts"], np.int32) if b["starts"] else np.arange(b["n"])
+        sizes = np.diff(np.append(starts, len(b["part"])))
+        found += zip(map(tuple, np.repeat(cells, sizes, 0).tolist()), np.frombuffer(b["ids"], "<i8").tolist(), list(b["part"]), strict=True)
+        n, per_task[b["task"]] = n + b["n"], per_task.get(b["task"], 0) + len(b["part"])
+    keys = {r["id"]: r["h"] for r in df.select("id", F.xxhash64("id").alias("h")).distinct().collect()}
+    place = [[0 if v is None else 1 + sum(c < v for c in cut) for v in column] for cut, column in zip(cuts, list(zip(*rows, strict=True))[1:3], strict=True)]
+    wanted = [((x, y, r[3]), keys[r[0]], int(r[0] is not None and r[0] % 4 == 0)) for x, y, r in zip(*place, rows, strict=True) if r[3] is not None]
+    assert sorted(found) == sorted(wanted)
+    assert n <= len({w[0] for w in wanted}) + 4 + len(blocks.collect())
+    assert len(per_task) == 4 and max(per_task.values()) < 1800
+
+
+@pytest.mark.parametrize("node_rows", [50_000, 40, 0])
+def test_repeated_rows_count_as_often_as_they_come(spark, node_rows):
+    rows = [r for k, r in enumerate(small(2)) for _ in range(1 + k % 3)]
+    df = spark.createDataFrame([(i, *x, y) for i, (x, y) in enumerate(rows)], "id bigint, a double, b double, c double, label int").repartition(3)
+    params = bo.TreeParams(trees=3, max_depth=3, subsample=1.0, colsample=1.0, patience=0)
+    [booster] = bo.fit_many(df, "id", ["a", "b", "c"], [bo.Model(0, params)], "label", F.lit(0), node_rows=node_rows)
+    got = {r["id"]: r["score"] for r in bo.predict(booster, df, "id").collect()}
+    assert [got[i] for i in range(len(rows))] == pytest.approx(grown_plainly(rows, params, 3), abs=1e-6)
+
+
+@pytest.mark.parametrize("node_rows", [50_000, 0])
+def test_samples_and_losses_count_rows(spark, node_rows):
+    """One feature of few values: the same model when a second, useless one keeps rows apart."""
+    rows = spark.range(3000).select("id", (F.col("id") % 5).cast("double").alias("a"), F.col("id").cast("double").alias("z"))
+    rows = rows.withColumn("label", ((F.col("a") + F.rand(5) * 4) > 4).cast("int"))
+    fitted = []
+    for cuts in ([list(map(float, range(5))), []], [list(map(float, range(5))), [40.0 * k for k in range(63)]]):
+        model = bo.Model(0, bo.TreeParams(trees=9, max_depth=1, colsample=1.0, min_child_weight=200.0, gamma=1.0), 1)
+        bo.fit_many(rows, "id", ["a", "z"], [model], "label", mo.validation_part("id"), cuts, node_rows)
+        fitted.append(model)
+    assert {f for t in fitted[1].trees for f in t.feature} == {-1, 0}
+    assert [t.feature for t in fitted[0].trees] == [t.feature for t in fitted[1].trees]
+    assert [v for t in fitted[0].trees for v in t.value] == pytest.approx([v for t in fitted[1].trees for v in t.value])
+    assert len(fitted[0].losses) == 10 and fitted[0].losses == pytest.approx(fitted[1].losses)
+
+
+def test_trees_of_many_rows_with_few_values_take_one_job_each(spark, monkeypatch):
+    monkeypatch.setattr(bo, "_sums", None)  # the sums of single levels
+    rows = table(spark, 300_000).withColumn("b", F.round("b", 1))
+    [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=2, max_depth=2, colsample=1.0))], "label", F.lit(0))
+    assert ev.auc_roc(bo.predict(fitted, rows, "label")).first()[0] > 0.9
