@@ -407,3 +407,12 @@ def test_trees_of_many_rows_with_few_values_take_one_job_each(spark, monkeypatch
     rows = table(spark, 300_000).withColumn("b", F.round("b", 1))
     [fitted] = bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=2, max_depth=2, colsample=1.0))], "label", F.lit(0))
     assert ev.auc_roc(bo.predict(fitted, rows, "label")).first()[0] > 0.9
+
+
+def test_margins_are_written_seldom_where_entries_have_many_rows(spark, monkeypatch):
+    assert [bo._keep_rounds(*x) for x in ((0, 0, 1), (100, 100, 1), (100, 40, 1), (10**9, 100, 1), (10**9, 100, 5), (10**9, 100, 50))] == [4, 4, 8, 32, 6, 4]
+    writes, write = [], bo._with_margins
+    monkeypatch.setattr(bo, "_with_margins", lambda *a: writes.append(1) or write(*a))
+    rows = table(spark, 2000).withColumn("b", F.round("b", 1))
+    bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=8, max_depth=2))], "label", F.lit(0))
+    assert not writes
