@@ -416,3 +416,30 @@ def test_margins_are_written_seldom_where_entries_have_many_rows(spark, monkeypa
     rows = table(spark, 2000).withColumn("b", F.round("b", 1))
     bo.fit_many(rows, "id", ["a", "b"], [bo.Model(0, bo.TreeParams(trees=8, max_depth=2))], "label", F.lit(0))
     assert not writes
+
+
+def test_models_of_a_small_table_take_one_job_together(spark, monkeypatch):
+    """The same trees and losses as tree by tree, with samples of rows and columns and an early stop, in one job for all trees."""
+    rows = table(spark, 3000).withColumns({"c": F.round(F.rand(8), 1), "b": F.when(F.col("id") % 7 != 0, F.col("b"))})
+    rows = rows.withColumn("label", F.when(F.rand(9) < 0.5, F.col("id") % 2).otherwise(F.col("label")).cast("int"))
+    rows = rows.unionByName(rows.limit(50)).repartition(3).localCheckpoint()
+    params = [bo.TreeParams(trees=40, max_depth=4, learning_rate=0.5, patience=2), bo.TreeParams(trees=6, max_depth=2, learning_rate=0.3, colsample=0.5), bo.TreeParams(trees=3, max_depth=0)]
+
+    def fitted(part):
+        models = [bo.Model(i, p, part, 7 + i) for i, p in enumerate(params)]
+        bo.fit_many(rows, "id", ["a", "b", "c"], models, "label", mo.validation_part("id"))
+        return models
+
+    for part in (1, None):
+        with monkeypatch.context() as patch:
+            patch.setattr(bo, "MODEL_ROWS", 0)
+            single = fitted(part)
+        with monkeypatch.context() as patch:
+            patch.setattr(bo, "_subtrees", None)  # the job of a round
+            together = fitted(part)
+        for a, b in zip(single, together, strict=True):
+            assert [list(t.feature) for t in a.trees] == [list(t.feature) for t in b.trees]
+            assert [(list(t.cut), list(t.left)) for t in a.trees] == [(list(t.cut), list(t.left)) for t in b.trees]
+            assert [v for t in a.trees for v in t.value] == pytest.approx([v for t in b.trees for v in t.value])
+            assert a.losses == pytest.approx(b.losses) and a.best == b.best and a.done == b.done
+        assert part is None or len(together[0].trees) < 40
