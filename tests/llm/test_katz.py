@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +146,18 @@ def test_scores_do_not_depend_on_the_size_of_batches(spark):
     finally:
         spark.conf.set(key, before)
     assert found[0] == found[1] and found[0][0] == 40_000
+
+
+def test_sums_follow_what_texts_get():
+    """Many buckets of a task that touch few of many texts: added up in place, one short row a chunk at the end."""
+    sums = katz._Sums()
+    for bucket in range(50):
+        first = sums.places([7, 9], [16_000, 12_000])
+        assert first.tolist() == [0, 16_000] and sums.scores.shape[1] == 28_000
+        np.add.at(sums.scores[0], first[1] + np.array([3, 3, 11_999]), [0.5, 0.25, bucket])
+        np.add.at(sums.counts[2], first[1] + np.array([3]), 10)
+    [(kind, chunk, _, _, data)] = sums.rows()
+    text, base, score, small, wide = katz._unpack(data, ["u2", "f8", "f8", "u1", "i4"])
+    assert (kind, chunk, text.tolist(), base.tolist(), score.tolist(), len(small)) == ("sums", 9, [3, 11_999], [37.5, 1225.0], [0, 0], 0)
+    assert wide.reshape(1 + katz.K, 2)[2].tolist() == [500, 0] and wide.sum() == 500
+    assert len(data) < 200 and list(sums.rows()) == [] and sums.size == 0

@@ -13,7 +13,8 @@ one exactly. C(h) is c(h), or c(h) + 1 where no seen pair is discounted and for
 Plan: (1) word counts, a table; (2) all occurrences go to *buckets* of histories, packed as bytes, pairs of
 a text once with their count. Histories with more than ``SPLIT`` occurrences are split by the next word.
 A bucket counts its pairs over training texts, then scores all its occurrences in place. What needs
-numbers from elsewhere leaves as rows of a table partitioned by kind: sums per text, histories that an
+numbers from elsewhere leaves as rows of a table partitioned by kind: sums per text (a task adds up all its buckets, and
+sends the texts that got something), histories that an
 unseen pair backs off from, and rare words. (3) Rare words meet the word counts, histories get their
 alpha, and the parts of a text are added up. The counts of the ``FREQUENT`` most frequent words travel with
 the plan: a fixed bound; all other words are joined.
@@ -26,6 +27,7 @@ texts every unknown word has probability one, so scores are 0. Other columns are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,17 +37,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import blocks
-from tidemill.plans.scratch import scratch_path
+from tidemill.llm.common import give_back
+from tidemill.plans.scratch import materialize, scratch_path
 
 K = 5  # counts up to K are discounted
 CHUNK_TOKENS, CHUNK_TEXTS, PART_TEXTS = 1_200_000, 1 << 14, 1 << 13
 BUCKET_TOKENS, MIN_BUCKETS, MAX_BUCKETS = 400_000, 512, 1 << 20
-TASK_TOKENS, MIN_TASKS = 8_000_000, 16
+TASK_TOKENS, MIN_TASKS = 24_000_000, 16
 FREQUENT = 1 << 18
 CODE_BYTES = 6
-FLUSH_TEXTS = 600_000  # texts whose sums a task holds
+FLUSH_TEXTS = 3_500_000  # texts whose sums a task holds, 40 bytes each
+HAND_ON = 1 << 23  # bytes of sums in a batch
+BATCH_ROWS = 256  # packed rows of an Arrow batch: each may have many kilobytes
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 HELD, SAME = 1 << 14, 1 << 15  # flags beside the text's number
+RECORDS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PACKED = "bucket int, chunk bigint, kind string, data binary"
 PARTS = "kind string, key bigint, items array<bigint>, amount double, data binary"
 _U = np.uint64
@@ -144,6 +150,19 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
                 parts.clear()
     if parts:
         yield joined()
+        parts.clear()
+    give_back()
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile hands packed rows to Python a few megabytes at a time."""
+    before = spark.conf.get(RECORDS)
+    spark.conf.set(RECORDS, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(RECORDS, before)
 
 
 def _slim(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
@@ -226,11 +245,12 @@ def pack_occurrences(slim: DataFrame, known: Words) -> DataFrame:
             mark = (text + HELD * chunk.held[text] + SAME * ~new_pair).astype(np.uint16)
             cut = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             rows: tuple[list, list] = ([], [])
+            texts = np.array([len(chunk.ids)], np.int32)
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 first = np.flatnonzero(new_history[a:b])
                 packed = code[a:b][new_pair[a:b]].astype("<i8").view(np.uint8).reshape(-1, 8)[:, :CODE_BYTES].reshape(-1)
                 often = np.flatnonzero(times[a:b] > 1)
-                arrays = [history[a:b][first], np.diff(np.append(first, b - a)).astype(np.int32), packed, mark[a:b], often.astype(np.int32), times[a:b][often].astype(np.int32)]
+                arrays = [history[a:b][first], np.diff(np.append(first, b - a)).astype(np.int32), packed, mark[a:b], often.astype(np.int32), times[a:b][often].astype(np.int32), texts]
                 rows[0].append(int(bucket[a]))
                 rows[1].append(_pack(arrays))
             about = _pack([np.array([i if i is not None else 0 for i in chunk.ids], np.int64), np.array([i is None for i in chunk.ids], np.uint8), chunk.held.astype(np.uint8), chunk.lengths.astype(np.int32)])
@@ -246,51 +266,60 @@ def pack_occurrences(slim: DataFrame, known: Words) -> DataFrame:
 
 
 def _read_bucket(rows: list[tuple[int, bytes]]) -> tuple[np.ndarray, ...]:
-    """History, code, chunk, text, held and count of all entries of a bucket."""
-    out = []
+    """History, code, chunk, text, held and count of all entries of a bucket, and the number of texts of each chunk."""
+    out, sizes_of = [], []
     for k, (_, data) in enumerate(rows):
-        histories, sizes, packed, mark, often, times = _unpack(data, ["u8", "i4", "u1", "u2", "i4", "i4"])
+        histories, sizes, packed, mark, often, times, texts = _unpack(data, ["u8", "i4", "u1", "u2", "i4", "i4", "i4"])
         codes = np.zeros((len(packed) // CODE_BYTES, 8), np.uint8)
         codes[:, :CODE_BYTES] = packed.reshape(-1, CODE_BYTES)
         codes = codes.reshape(-1).view("<i8")
-        count = np.ones(len(mark), np.int64)
+        count = np.ones(len(mark), np.int32)
         count[often] = times
         pair = np.cumsum((mark & SAME) == 0) - 1
-        out.append((np.repeat(histories, sizes), codes[pair], np.full(len(mark), k), (mark & (HELD - 1)).astype(np.int64), (mark & HELD) > 0, count))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        out.append((np.repeat(histories, sizes), codes[pair], np.full(len(mark), k, np.int32), (mark & (HELD - 1)).astype(np.int32), (mark & HELD) > 0, count))
+        sizes_of.append(int(texts[0]))
+    return *(np.concatenate(x) for x in zip(*out, strict=True)), sizes_of
 
 
 class _Sums:
-    """Sums per text: base score, score, known tokens and seen pairs of each discounted count."""
+    """Sums per text: base score and score, known tokens and seen pairs of each discounted count."""
 
     def __init__(self) -> None:
-        self.of: dict[int, np.ndarray] = {}
-
-    def add(self, chunk: int, text: np.ndarray, values: list[np.ndarray]) -> None:
-        size = max(int(text.max(initial=0)) + 1, len(self.of[chunk][0]) if chunk in self.of else 0)
-        new = np.stack([np.bincount(text, v, size) for v in values])
-        if chunk in self.of:
-            old = self.of[chunk]
-            new[:, : old.shape[1]] += old
-        self.of[chunk] = new
+        self.at: dict[int, tuple[int, int]] = {}  # first text and number of texts of a chunk
+        self.size = 0
+        self.scores, self.counts = np.zeros((2, 0)), np.zeros((1 + K, 0), np.int32)
+
+    def places(self, chunks: list[int], sizes: list[int]) -> np.ndarray:
+        """The first place of each chunk."""
+        for chunk, n in zip(chunks, sizes, strict=True):
+            if chunk not in self.at:
+                self.at[chunk] = self.size, n
+                self.size += n
+        if self.size > self.scores.shape[1]:
+            more = max(self.size, min(2 * self.scores.shape[1], FLUSH_TEXTS)) - self.scores.shape[1]
+            self.scores, self.counts = (np.pad(x, ((0, 0), (0, more))) for x in (self.scores, self.counts))
+        return np.array([self.at[c][0] for c in chunks])
 
     def rows(self) -> Iterator[tuple]:
-        for chunk, x in self.of.items():
-            data = _pack([x[0], x[1], *(v.astype(np.int32) for v in x[2:])])
-            yield ("sums", chunk, None, None, data)
-        self.of.clear()
-
-    def texts(self) -> int:
-        return sum(x.shape[1] for x in self.of.values())
+        """What each chunk's texts have got, without those that got nothing."""
+        for chunk, (first, n) in self.at.items():
+            scores, counts = self.scores[:, first : first + n], self.counts[:, first : first + n]
+            some = np.flatnonzero(scores.any(0) | counts.any(0))
+            if len(some):
+                counts = counts[:, some]
+                small = counts.max() < 256
+                flat = [counts.astype(np.uint8) if small else np.empty(0, np.uint8), np.empty(0, np.int32) if small else counts]
+                yield ("sums", chunk, None, None, _pack([some.astype(np.uint16), *scores[:, some], *(x.reshape(-1) for x in flat)]))
+        self.__init__()
 
 
 def _score_bucket(rows: list[tuple[int, bytes]], known: Words, sums: _Sums) -> Iterator[tuple]:
-    history, code, chunk, text, held, count = _read_bucket(rows)
+    history, code, chunk, text, held, count, sizes = _read_bucket(rows)
     order = np.lexsort((code, history))
     history, code, chunk, text, held, count = (x[order] for x in (history, code, chunk, text, held, count))
     first_h = np.append(True, history[1:] != history[:-1])
     first_p = first_h | np.append(True, code[1:] != code[:-1])
-    pair, hist = np.cumsum(first_p) - 1, np.cumsum(first_h) - 1
+    pair, hist = np.cumsum(first_p, dtype=np.int32) - 1, np.cumsum(first_h, dtype=np.int32) - 1
     seen = np.bincount(pair, count * ~held).astype(np.int64)
     pair_hist, pair_code, hist_word = hist[first_p], code[first_p], history[first_h]
     n_hist = len(hist_word)
@@ -301,23 +330,30 @@ def _score_bucket(rows: list[tuple[int, bytes]], known: Words, sums: _Sums) -> I
     plus = ((np.bincount(pair_hist, low, n_hist) == 0) | (split >= 0)) & (total > 0)
     yield ("counts", 0, [int((seen == r).sum()) for r in range(1, K + 2)], None, None)
 
-    c, h = seen[pair], total[hist]
-    with np.errstate(divide="ignore"):
-        bottom = np.where(h > 0, np.log10(np.maximum(h + plus[hist], 1)), 0.0)
-        top = np.where(c > K, np.log10(np.maximum(c, 1)), 0.0)
+    # What an entry adds follows from its pair or its history.
+    bottom = np.where(total > 0, np.log10(np.maximum(total + plus, 1)), 0.0)
+    top = np.where(seen > K, np.log10(np.maximum(seen, 1)), 0.0)
     share_at = _look_up(pair_code, known.codes)
     pair_share = np.where(share_at >= 0, known.shares[share_at] if len(known.shares) else 0.0, 0.0)
     frequent = share_at >= 0
-    score = np.where(c > 0, top - bottom, np.where(frequent[pair], np.log10(np.where(pair_share > 0, pair_share, 1.0))[pair], 0.0))
-    is_word = history != START
-    base = np.where(is_word, np.log10(h + 1.0), 0.0)
-    values = [count * base, count * score, count * (is_word & (h > 0)), *(count * (c == r) for r in range(1, K + 1))]
-    for k in np.unique(chunk):
-        mine = chunk == k
-        sums.add(rows[k][0], text[mine], [v[mine] for v in values])
+    unseen = np.where(frequent, np.log10(np.where(pair_share > 0, pair_share, 1.0)), 0.0)
+    pair_score = np.where(seen > 0, top - bottom[pair_hist], unseen)
+    is_word = hist_word != START
+    base = np.where(is_word, np.log10(total + 1.0), 0.0)
+    place = sums.places([name for name, _ in rows], sizes)[chunk] + text
+    np.add.at(sums.scores[0], place, count * base[hist])
+    np.add.at(sums.scores[1], place, count * pair_score[pair])
+    at = np.flatnonzero((is_word & (total > 0))[hist])
+    np.add.at(sums.counts[0], place[at], count[at])
+    for r in range(1, K + 1):
+        at = np.flatnonzero((seen == r)[pair])
+        np.add.at(sums.counts[r], place[at], count[at])
+    del place, at
+    c, h = seen[pair], total[hist]
 
     names = np.array([name for name, _ in rows], np.int64)
     key = names[chunk] * CHUNK_TEXTS + text
+    del text, chunk
     late = np.flatnonzero((c == 0) & ~frequent[pair])  # an unseen pair with a word that is not frequent
     for group in np.split(late, np.flatnonzero(np.diff(pair[late])) + 1) if len(late) else []:
         yield ("late", int(code[group[0]]), np.repeat(key[group], count[group]).tolist(), None, None)
@@ -348,14 +384,25 @@ def _score_task(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[pa.
     def made(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for row in sums.rows():
+            rows.append(row)
+            size += len(row[4])
+            if size >= HAND_ON:
+                yield made(rows)
+                rows, size = [], 0
+        if rows:
+            yield made(rows)
+
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("bucket", "chunk", "kind", "data")]
         for bucket, chunk, kind, data in zip(*columns, strict=True):
             if bucket != current and waiting:
                 yield made(list(_score_bucket(waiting, known, sums)))
                 waiting = []
-                if sums.texts() > FLUSH_TEXTS:
-                    yield made(list(sums.rows()))
+                if sums.size > FLUSH_TEXTS:
+                    yield from handed_on()
             current = bucket
             if kind == "texts":
                 yield made([("texts", chunk, None, None, data)])
@@ -363,23 +410,19 @@ def _score_task(batches: Iterator[pa.RecordBatch], known: Words) -> Iterator[pa.
                 waiting.append((chunk, data))
     if waiting:
         yield made(list(_score_bucket(waiting, known, sums)))
-    rows = list(sums.rows())
-    if rows:
-        yield made(rows)
+        waiting = []
+    yield from handed_on()
+    give_back()
 
 
 def _add_up(batches: Iterator[pa.RecordBatch], known: Words, discounts: list[float]) -> Iterator[pa.RecordBatch]:
     """Rows come in order of chunk; its texts come with their ids, its sums in parts."""
     weights = np.log10([d * r for r, d in enumerate(discounts, 1)])
     about: list[np.ndarray] = []
-    parts: list[list[np.ndarray]] = []
+    total = np.zeros((3 + K, 0))
 
     def made(chunk: int) -> pa.RecordBatch:
         ids, null_ids, held, lengths = about
-        total = np.zeros((3 + K, len(ids)))
-        for part in parts:
-            for row, values in zip(total, part, strict=True):
-                row[: len(values)] += values
         base = total[0] + np.log10(known.texts + 1) - lengths * np.log10(known.n + known.v + 1)
         return pa.RecordBatch.from_arrays(
             [
@@ -399,14 +442,17 @@ def _add_up(batches: Iterator[pa.RecordBatch], known: Words, discounts: list[flo
         for kind, chunk, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "key", "data")), strict=True):
             if chunk != current and about:
                 yield made(current)
-                about, parts = [], []
+                about = []
             current = chunk
             if kind == "texts":
                 about = _unpack(data, ["i8", "u1", "u1", "i4"])
+                total = np.zeros((3 + K, len(about[0])))
             else:
-                parts.append(_unpack(data, ["f8", "f8", *["i4"] * (1 + K)]))
+                text, base, score, small, wide = _unpack(data, ["u2", "f8", "f8", "u1", "i4"])
+                total[:, text] += np.stack([base, score, *(small if len(small) else wide).reshape(1 + K, -1)])
     if about:
         yield made(current)
+    give_back()
 
 
 def _alphas(parts: DataFrame, counts: DataFrame, known: Words, discounts: list[float]) -> DataFrame:
@@ -437,7 +483,8 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
     tasks = max(MIN_TASKS, known.n // TASK_TOKENS)
     packed = pack_occurrences(slim, known).repartition(tasks, "bucket").sortWithinPartitions("bucket")
     path = scratch_path(spark, "katz")
-    packed.mapInArrow(lambda batches: _score_task(batches, known), PARTS).write.partitionBy("kind").parquet(path)
+    with _small_batches(spark):
+        packed.mapInArrow(lambda batches: _score_task(batches, known), PARTS).write.partitionBy("kind").parquet(path)
     schema = "key bigint, items array<bigint>, amount double, data binary, kind string"
     parts = spark.read.schema(schema).parquet(path)
     seen = parts.where("kind = 'counts'").agg(*[F.sum(F.get("items", r)).alias(f"n{r}") for r in range(K + 1)]).first()
@@ -454,6 +501,8 @@ def katz_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
         lambda batches: _add_up(batches, known, discounts),
         "key bigint, id bigint, held boolean, n_tokens bigint, n_known bigint, base double, score double",
     )
+    with _small_batches(spark):
+        sums = materialize(sums, "sums")
     return sums.join(more, "key", "left").select(
         F.col("id").alias("doc_id"),
         F.col("held").alias("held_out"),
